@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 # Full-width / half-width character ranges used by the width
 # conversions.  U+3000 (ideographic space) <-> U+0020, and the full-width
 # block U+FF01..U+FF5E <-> ASCII 33..126 (offset 0xFEE0).
-_HALF = " " + "".join(chr(c) for c in range(33, 127))
-_FULL = "　" + "".join(chr(c + 0xFEE0) for c in range(33, 127))
+HALF_WIDTH = " " + "".join(chr(c) for c in range(33, 127))
+FULL_WIDTH = "\u3000" + "".join(chr(c + 0xFEE0) for c in range(33, 127))
 
 # Fixed value: the marker that starts a rating entry in a log line.
 RATING_PREFIX = "MOVIE_RATING_PREFIX:"
@@ -52,12 +52,12 @@ def contains_ci(text, needle) -> Column:
 
 def to_half_width(text) -> Column:
     """Full-width characters -> half-width."""
-    return F.translate(col(text), _FULL, _HALF)
+    return F.translate(col(text), FULL_WIDTH, HALF_WIDTH)
 
 
 def to_full_width(text) -> Column:
     """Half-width characters -> full-width."""
-    return F.translate(col(text), _HALF, _FULL)
+    return F.translate(col(text), HALF_WIDTH, FULL_WIDTH)
 
 
 def tokens(text) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ratewise.plans import statistics  # noqa: F401
+from ratewise.plans import loading, maintenance, statistics  # noqa: F401
 from ratewise.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]

@@ -75,11 +75,29 @@ FROM (SELECT w, count(DISTINCT k) AS df
       GROUP BY w) y""",
     "stop_words": "SELECT word FROM word_freq WHERE rk < 20",
     "word_vectors": "SELECT word, embedding AS vec FROM word_freq JOIN embeddings ON vec_id = rk",
+    # raw text lines for the parsers (our own derivations, same rule in Spark)
+    "raw_ratings": """
+SELECT concat_ws(',', CAST(uid AS VARCHAR), CAST(mid AS VARCHAR), CAST(score AS VARCHAR), CAST(ts AS VARCHAR)) AS line
+FROM ratings""",
+    "raw_tags": """
+SELECT concat_ws(',', CAST(uid AS VARCHAR), CAST(mid AS VARCHAR), concat(' ', tag, ' '), CAST(ts AS VARCHAR)) AS line
+FROM item_tags""",
+    "raw_comments_v2": """
+SELECT concat_ws(',', concat('"', CAST(uid AS VARCHAR), '-', CAST(mid AS VARCHAR), '"'), concat('"', content, '"'),
+                 '""', '""', concat('"', CAST(mid AS VARCHAR), '"'), '""', '""', '""',
+                 concat('"', CAST(uid AS VARCHAR), '"'),
+                 concat('"', CASE WHEN (uid + mid) % 6 = 0 THEN '' ELSE CAST((uid + mid) % 5 + 1 AS VARCHAR) END, '"'),
+                 '""', '""', '""', '""') AS line
+FROM comments""",
+    "raw_word_vectors": """
+SELECT concat(word, ' ', array_to_string(list_transform(vec, lambda x: CAST(x AS VARCHAR)), ' ')) AS line
+FROM word_vectors""",
 }
 
 # dependency order (a view only references views listed before it)
 ORDER = ["items", "ratings", "rating_events", "rating_log", "item_tags", "comments", "docs", "users",
-         "categories", "raw_caret", "raw_quoted", "word_freq", "stop_words", "word_vectors"]
+         "categories", "raw_caret", "raw_quoted", "word_freq", "stop_words", "word_vectors", "raw_ratings",
+         "raw_tags", "raw_comments_v2", "raw_word_vectors"]
 
 
 def _refs(sql: str) -> set[str]:

@@ -8,9 +8,7 @@ rule.  Each view is a lazy DataFrame; its DuckDB twin lives in
 
 from __future__ import annotations
 
-from functools import cached_property
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewise.functions.columns import epoch_seconds, tokens
@@ -159,3 +157,28 @@ class Fixtures:
         emb = self.table("embeddings").select("vec_id", "embedding")
         return (self.word_freq().join(emb, F.col("rk") == F.col("vec_id"))
                 .select("word", F.col("embedding").alias("vec")))
+
+    # -- raw text lines for the parsers --------------------------------------
+    def raw_ratings(self) -> DataFrame:
+        r = self.ratings()
+        return r.select(F.concat_ws(",", *[F.col(c).cast("string") for c in ("uid", "mid", "score", "ts")]).alias("line"))
+
+    def raw_tags(self) -> DataFrame:
+        t = self.item_tags()
+        return t.select(F.concat_ws(",", F.col("uid").cast("string"), F.col("mid").cast("string"),
+                                    F.concat(F.lit(" "), "tag", F.lit(" ")), F.col("ts").cast("string")).alias("line"))
+
+    def raw_comments_v2(self) -> DataFrame:
+        c = self.comments()
+        q = lambda x: F.concat(F.lit('"'), x, F.lit('"'))
+        e = F.lit('""')
+        k = F.col("uid") + F.col("mid")
+        score = F.when(k % 6 == 0, F.lit("")).otherwise((k % 5 + 1).cast("string"))
+        return c.select(F.concat_ws(",", q(F.concat(F.col("uid").cast("string"), F.lit("-"), F.col("mid").cast("string"))),
+                                    q(F.col("content")), e, e, q(F.col("mid").cast("string")), e, e, e,
+                                    q(F.col("uid").cast("string")), q(score), e, e, e, e).alias("line"))
+
+    def raw_word_vectors(self) -> DataFrame:
+        wv = self.word_vectors()
+        return wv.select(F.concat("word", F.lit(" "),
+                                  F.array_join(F.transform("vec", lambda x: x.cast("string")), " ")).alias("line"))
