@@ -20,6 +20,11 @@ BASE_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Local runs only: executors live inside the driver JVM.
+LOCAL_CONF = {
+    "spark.driver.memory": "16g",
+}
+
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "ratewise", extra: dict | None = None) -> SparkSession:
@@ -27,6 +32,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     as-is; only missing settings are filled in by ``ensure_conf``."""
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(BASE_CONF)
+    if master.startswith("local"):
+        conf.update(LOCAL_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
@@ -84,3 +91,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs.exists(p)
+
+
+def materialize(df, eager: bool = True):
+    """Cut lineage of a derived table that several branches of one job read.
+
+    Reliable ``checkpoint()`` into the shared checkpoint folder (survives a
+    lost executor, unlike a local checkpoint)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)

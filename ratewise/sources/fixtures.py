@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ratewise.functions.columns import epoch_seconds, tokens
 from ratewise.operators.ranking import global_row_number
+from ratewise.session import materialize
 from ratewise.sources.tables import read_table
 
 # The category list used by the per-category top-k (stands in
@@ -32,6 +33,14 @@ class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._memo: dict[str, DataFrame] = {}
+
+    def shared(self, name: str, build) -> DataFrame:
+        """A derived table several branches of one query read, computed once
+        (checkpointed to the shared folder) per Fixtures instance."""
+        if name not in self._memo:
+            self._memo[name] = materialize(build())
+        return self._memo[name]
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
@@ -150,13 +159,16 @@ class Fixtures:
 
     def stop_words(self) -> DataFrame:
         # top-N by document frequency: TakeOrderedAndProject, N rows.
-        return (self.word_df().orderBy(F.col("df").desc(), F.col("w").asc())
-                .limit(N_STOP_WORDS).select(F.col("w").alias("word")))
+        return self.shared("stop_words", lambda: (
+            self.word_df().orderBy(F.col("df").desc(), F.col("w").asc())
+            .limit(N_STOP_WORDS).select(F.col("w").alias("word"))))
 
     def word_vectors(self) -> DataFrame:
-        emb = self.table("embeddings").select("vec_id", "embedding")
-        return (self.word_freq().join(emb, F.col("rk") == F.col("vec_id"))
-                .select("word", F.col("embedding").alias("vec")))
+        def build():
+            emb = self.table("embeddings").select("vec_id", "embedding")
+            return (self.word_freq().join(emb, F.col("rk") == F.col("vec_id"))
+                    .select("word", F.col("embedding").alias("vec")))
+        return self.shared("word_vectors", build)
 
     # -- raw text lines for the parsers --------------------------------------
     def raw_ratings(self) -> DataFrame:
