@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ratewise.plans import content, loading, maintenance, realtime, statistics  # noqa: F401
+from ratewise.plans import content, loading, maintenance, realtime, search, statistics  # noqa: F401
 from ratewise.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
