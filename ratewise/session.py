@@ -100,3 +100,13 @@ def materialize(df, eager: bool = True):
     lost executor, unlike a local checkpoint)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def list_subdirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the sub-folders of ``path`` (empty when it does not exist)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
