@@ -24,12 +24,10 @@ QUALIFY rank <= {LIST_N}"""
 
 
 def item_lists(fx: Fixtures):
-    """The stored similar-item list of every item some user rated."""
-    keys = fx.rating_events().select("mid")
-    lists = shared_sim(fx).select("mid", F.col("other").alias("o"), F.col("cos").alias("score"))
-    # the list layout is (key, mid, score); key = requested item
-    long = lists.select(F.col("mid").alias("key"), F.col("o").alias("mid"), "score")
-    top = serving.lists_for_keys(keys.select(F.col("mid").alias("key")), long, "key", LIST_N)
+    """The stored similar-item list of every item some user rated,
+    read from the per-vector ranked lists (first n entries per key)."""
+    from ratewise.operators.realtime import top_lists
+    top = top_lists(shared_sim(fx), fx.rating_events().select("mid"), LIST_N)
     return top.select(F.col("key").alias("mid"), F.col("mid").alias("other"), "score", "rank")
 
 

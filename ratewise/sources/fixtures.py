@@ -143,7 +143,11 @@ class Fixtures:
                                      F.lit('""')).alias("line"))
 
     def word_df(self) -> DataFrame:
-        """Document frequency of every token over comments and docs."""
+        """Document frequency of every token over comments and docs (whole
+        texts), computed once per run: stop words and vocabulary read it."""
+        return self.shared("word_df", self._word_df)
+
+    def _word_df(self) -> DataFrame:
         c = self.comments().select(
             F.concat(F.lit("c"), F.col("uid").cast("string"), F.lit("-"), F.col("mid").cast("string")).alias("k"),
             F.explode(tokens("content")).alias("w"))
