@@ -35,6 +35,7 @@ SELECT TRY_CAST(trim(split_part(line, '^', 1)) AS INT) AS mid, trim(split_part(l
        trim(split_part(line, '^', 9)) AS actors, trim(split_part(line, '^', 10)) AS directors
 FROM raw_caret""")
 def load_caret_items(fx: Fixtures):
+    """A1: ``^``-separated item lines -> typed, trimmed rows."""
     return tf.parse_caret_items(fx.raw_caret())
 
 
@@ -43,6 +44,7 @@ SELECT TRY_CAST(split_part(line, ',', 1) AS INT) AS uid, TRY_CAST(split_part(lin
        TRY_CAST(split_part(line, ',', 3) AS DOUBLE) AS score, TRY_CAST(split_part(line, ',', 4) AS BIGINT) AS ts
 FROM raw_ratings""")
 def load_csv_ratings(fx: Fixtures):
+    """A2: comma rating lines -> (uid, mid, score, ts)."""
     return tf.parse_csv_ratings(fx.raw_ratings())
 
 
@@ -51,6 +53,7 @@ SELECT TRY_CAST(split_part(line, ',', 1) AS INT) AS uid, TRY_CAST(split_part(lin
        trim(split_part(line, ',', 3)) AS tag, TRY_CAST(split_part(line, ',', 4) AS BIGINT) AS ts
 FROM raw_tags""")
 def load_csv_tags(fx: Fixtures):
+    """A3: comma tag lines -> (uid, mid, tag trimmed, ts)."""
     return tf.parse_csv_tags(fx.raw_tags())
 
 
@@ -58,6 +61,7 @@ def load_csv_tags(fx: Fixtures):
 SELECT TRY_CAST(f[1] AS INT) AS mid, f[2] AS name, f[3] AS timelong, f[4] AS tag
 FROM (SELECT {DUCK_QUOTED} AS f FROM raw_quoted WHERE line <> 'mid,name,minutes,tag') t""")
 def load_quoted_items(fx: Fixtures):
+    """A4-A6 + A10: quoted item lines, header dropped, quote-aware split, unquoted."""
     return tf.parse_quoted_items(fx.raw_quoted(), header="mid,name,minutes,tag")
 
 
@@ -76,6 +80,7 @@ SELECT mid, name, timelong, year FROM (
   FROM raw_caret) t
 WHERE timelong <> '0.0' AND TRY_CAST(year AS INT) <= 2021""")
 def filter_valid_items(fx: Fixtures):
+    """Items with a non-zero duration and a year up to 2021."""
     it = tf.parse_caret_items(fx.raw_caret())
     it = it.select("mid", "name", F.concat("timelong", F.lit(".0")).alias("timelong"),
                    F.substring("issue", 1, 4).alias("year"))
@@ -88,6 +93,7 @@ SELECT TRY_CAST(f[9] AS INT) AS uid, TRY_CAST(f[5] AS INT) AS mid, TRY_CAST(f[10
 FROM (SELECT {DUCK_QUOTED} AS f FROM raw_comments_v2 WHERE line <> '{V2_HEADER}' AND {DUCK_NAIVE_COUNT} = 14) t
 WHERE f[10] <> ''""")
 def load_v2_ratings(fx: Fixtures):
+    """A8 + A10: 14-field comment lines with a score -> ratings."""
     return tf.parse_v2_ratings(fx.raw_comments_v2(), header=V2_HEADER)
 
 
@@ -95,6 +101,7 @@ def load_v2_ratings(fx: Fixtures):
 SELECT TRY_CAST(f[9] AS INT) AS uid, TRY_CAST(f[5] AS INT) AS mid, f[2] AS content, f[1] AS timestamp
 FROM (SELECT {DUCK_QUOTED} AS f FROM raw_comments_v2 WHERE line <> '{V2_HEADER}' AND {DUCK_NAIVE_COUNT} = 14) t""")
 def load_v2_comments(fx: Fixtures):
+    """A9 + A10: 14-field comment lines -> comments."""
     return tf.parse_v2_comments(fx.raw_comments_v2(), header=V2_HEADER)
 
 
@@ -104,6 +111,7 @@ FROM (SELECT split_part(trim(line), ' ', 1) AS word,
              list_transform(string_split(trim(line), ' ')[2:], lambda x: TRY_CAST(x AS FLOAT)) AS vec
       FROM raw_word_vectors) t""")
 def load_word_vectors(fx: Fixtures):
+    """``word f1 .. fn`` lines -> (word, vector); reported as dims and norm."""
     wv = tf.parse_word_vectors(fx.raw_word_vectors())
     sq = F.aggregate(F.transform("vec", lambda x: x.cast("double") * x.cast("double")), F.lit(0.0), lambda a, b: a + b)
     return wv.select("word", F.size("vec").alias("dims"), F.round(F.sqrt(sq), 4).alias("norm"))
@@ -151,6 +159,7 @@ def text_width_normalise(fx: Fixtures):
 SELECT uid, username, translate(regexp_replace(md5(username), '(.).', '\\1', 'g'), 'abcdef', '012345') AS num_key
 FROM users""")
 def md5_numeric_key_q(fx: Fixtures):
+    """16-digit numeric key of each user name."""
     return fx.users().select("uid", "username", md5_numeric_key("username").alias("num_key"))
 
 

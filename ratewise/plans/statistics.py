@@ -26,6 +26,7 @@ def category_top10(fx: Fixtures):
 
 @query("rate_more", sql="SELECT mid, count(*) AS count FROM ratings GROUP BY mid")
 def rate_more(fx: Fixtures):
+    """Rating count per item."""
     return stats.rate_more(fx.ratings())
 
 
@@ -33,17 +34,20 @@ def rate_more(fx: Fixtures):
 SELECT CAST(strftime(make_timestamp(ts * 1000000), '%Y%m') AS INT) AS yearmonth, mid, count(*) AS count
 FROM ratings GROUP BY 1, 2""")
 def hot_by_month(fx: Fixtures):
+    """C1 + C2 + E2: rating count per (yyyyMM, item)."""
     return stats.rate_more_recently(fx.ratings())
 
 
 @query("average_score", sql="SELECT mid, round(avg(score), 6) AS avg FROM ratings GROUP BY mid")
 def average_score(fx: Fixtures):
+    """Average score per item."""
     return stats.average_score(fx.ratings()).select("mid", F.round("avg", 6).alias("avg"))
 
 
 @query("rating_histogram", sql="""
 SELECT uid, CAST(floor(score / 0.5 + 0.5) AS INT) AS bucket, count(*) AS count FROM ratings GROUP BY 1, 2""")
 def rating_histogram(fx: Fixtures):
+    """C19 + E13: per-user histogram over 11 half-star buckets."""
     return stats.rating_histogram(fx.ratings())
 
 
@@ -51,6 +55,7 @@ def rating_histogram(fx: Fixtures):
 SELECT DISTINCT 'uid' AS kind, uid AS id FROM ratings
 UNION ALL SELECT DISTINCT 'mid' AS kind, mid AS id FROM ratings""")
 def distinct_users_items(fx: Fixtures):
+    """Distinct users and distinct items."""
     return stats.distinct_ids(fx.ratings())
 
 
@@ -58,6 +63,7 @@ def distinct_users_items(fx: Fixtures):
 SELECT mid, count(*) AS count, CAST(0.0 AS DOUBLE) AS score FROM ratings GROUP BY mid
 ORDER BY count DESC, mid LIMIT {TOP_N}""")
 def top_rate_more(fx: Fixtures):
+    """Top 10 items by rating count (report)."""
     return stats.top_rate_more(stats.rate_more(fx.ratings()), TOP_N)
 
 
@@ -67,6 +73,7 @@ SELECT yearmonth, mid, count, CAST(0.0 AS DOUBLE) AS score FROM (
   FROM ratings GROUP BY 1, 2) t
 ORDER BY yearmonth DESC, count DESC, mid LIMIT {TOP_N}""")
 def top_hot(fx: Fixtures):
+    """Latest month first, top 10 by count (report)."""
     return stats.top_hot(stats.rate_more_recently(fx.ratings()), TOP_N)
 
 
@@ -74,4 +81,5 @@ def top_hot(fx: Fixtures):
 SELECT mid, name, CAST(floor(epoch(issue)) AS BIGINT) AS issue_ts FROM items
 ORDER BY issue DESC NULLS LAST, mid LIMIT {TOP_N}""")
 def top_new(fx: Fixtures):
+    """10 newest items by first shipment (report)."""
     return stats.top_new(fx.items(), TOP_N)
