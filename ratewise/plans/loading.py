@@ -114,7 +114,7 @@ def load_word_vectors(fx: Fixtures):
     """``word f1 .. fn`` lines -> (word, vector); reported as dims and norm."""
     wv = tf.parse_word_vectors(fx.raw_word_vectors())
     sq = F.aggregate(F.transform("vec", lambda x: x.cast("double") * x.cast("double")), F.lit(0.0), lambda a, b: a + b)
-    return wv.select("word", F.size("vec").alias("dims"), F.round(F.sqrt(sq), 4).alias("norm"))
+    return wv.select("word", F.size("vec").cast("long").alias("dims"), F.round(F.sqrt(sq), 4).alias("norm"))
 
 
 RATING_SCHEMA = T.StructType([
@@ -143,7 +143,7 @@ FROM documents""")
 def text_width_widen(fx: Fixtures):
     """C6 over whole documents; digest of the widened text."""
     d = fx.docs()
-    return d.select("mid", F.md5(to_full_width("descri")).alias("digest"), F.length("descri").alias("n_chars"))
+    return d.select("mid", F.md5(to_full_width("descri")).alias("digest"), F.length("descri").cast("long").alias("n_chars"))
 
 
 @query("text_width_normalise", sql="""

@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from ratewise.sources.tables import BASE_TABLES
-from tools.check_oracle import key, norm
+from tools.check_oracle import key, norm, type_diff
 
 from conftest import SF_SMALL
 
@@ -37,6 +37,8 @@ def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     cols = df.columns
     got = sorted((tuple(norm(v) for v in r) for r in df.collect()), key=key)
+    rel = duck.sql(E.oracle_sql()[name])
+    assert type_diff(df.dtypes, rel.columns, rel.types) == {}
     res = duck.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in res.description]
     assert sorted(cols) == sorted(dcols)
