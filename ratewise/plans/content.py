@@ -108,24 +108,22 @@ def item_similarity(fx: Fixtures, threshold: float = ITEM_SIM_THRESHOLD) -> Data
 
 
 def factored_similarity(fx: Fixtures, threshold: float = ITEM_SIM_THRESHOLD):
-    """D5 in factored form (members, vector pairs, ranked lists), each part
-    computed once per run; cos rounded to 6 digits as stored."""
-    from ratewise.operators.realtime import FactoredSim, factor_similarity
-
-    def parts():
-        members, w = item_vectors(fx)
-        ww = w.select("vkey", "term", "w")
-        vpairs = sim.cosine_pairs_sparse(ww, None, "vkey", "okey", threshold)
-        live = sim.normalise_sparse(ww, "vkey").select("vkey").distinct()
-        return members.join(live, "vkey"), vpairs.select("vkey", "okey", F.round("cos", 6).alias("cos"))
+    """D5 in factored form (members, vector pairs, member positions); the
+    item vectors are built once and each part is materialised once per run;
+    cos rounded to 6 digits as stored."""
+    from ratewise.operators.realtime import FactoredSim, member_positions
 
     key = f"factored{threshold}"
     if key not in fx._memo:
-        m, v = parts()
-        m = fx.shared(key + "m", lambda: m)
-        v = fx.shared(key + "v", lambda: v)
-        f = factor_similarity(m, v)
-        fx._memo[key] = FactoredSim(m, fx.shared(key + "vs", lambda: f.vsim), fx.shared(key + "r", lambda: f.ranked))
+        members_all, w = item_vectors(fx)
+        w = fx.shared("item_w", lambda: w.select("vkey", "term", "w"))
+        unit = sim.normalise_sparse(w, "vkey")
+        m = fx.shared(key + "m", lambda: members_all.join(unit.select("vkey").distinct(), "vkey"))
+        pairs = sim.cosine_pairs_sparse(w, None, "vkey", "okey", threshold)
+        same = m.select("vkey").distinct().select("vkey", F.col("vkey").alias("okey"), F.lit(1.0).alias("cos"))
+        vs = fx.shared(key + "vs", lambda: pairs.select("vkey", "okey", F.round("cos", 6).alias("cos"))
+                       .unionByName(same))
+        fx._memo[key] = FactoredSim(m, vs, fx.shared(key + "p", lambda: member_positions(m)))
     return fx._memo[key]
 
 
