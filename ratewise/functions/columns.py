@@ -14,9 +14,6 @@ FULL_WIDTH = "\u3000" + "".join(chr(c + 0xFEE0) for c in range(33, 127))
 # Fixed value: the marker that starts a rating entry in a log line.
 RATING_PREFIX = "MOVIE_RATING_PREFIX:"
 
-# Fixed value: separator of a rating message ``uid|mid|score|epoch``.
-MESSAGE_SEP = "|"
-
 
 def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c

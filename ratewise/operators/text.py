@@ -1,12 +1,13 @@
 """Text features: tokens, stop words, vocabulary filters, exact TF-IDF,
-hashed TF-IDF, synonym expansion (C7-C9, D10, F1-F3, F9)."""
+hashed TF-IDF (C7, C8, F1-F3).  Synonym expansion (D10, F9) is in
+``ratewise.plans.content.expanded``."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.functions.columns import category_spaces, tokens, whitespace_tokens
+from ratewise.functions.columns import category_spaces, whitespace_tokens
 
 
 def category_tokens(items: DataFrame) -> DataFrame:
@@ -16,11 +17,6 @@ def category_tokens(items: DataFrame) -> DataFrame:
     return items.select("mid", F.posexplode(toks).alias("pos", "token")).where(F.col("token") != "")
 
 
-def doc_terms(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, term) rows, one per token occurrence of the whole text."""
-    return docs.select(id_col, F.explode(tokens(text_col)).alias("term"))
-
-
 def filter_terms(terms: DataFrame, stop_words: DataFrame | None = None,
                  vocabulary: DataFrame | None = None) -> DataFrame:
     """Drop stop words (anti join) and keep vocabulary words (semi
@@ -59,20 +55,3 @@ def hashed_tfidf(docs: DataFrame, id_col: str, tokens_col: str, num_features: in
     tfv = HashingTF(inputCol=tokens_col, outputCol="_tf", numFeatures=num_features).transform(docs)
     model = IDF(inputCol="_tf", outputCol="features").fit(tfv)
     return model.transform(tfv).select(id_col, "features")
-
-
-def synonyms_for_terms(terms: DataFrame, synonyms: DataFrame, k: int) -> DataFrame:
-    """Each term followed by its k nearest vocabulary words, joined on
-    the precomputed (word, syn, rank) table (E9) - no per-token model call."""
-    syn = synonyms.where(F.col("rank") <= k).select(F.col("word").alias("term"), F.col("syn"))
-    return terms.join(syn, "term").select(*[c for c in terms.columns if c != "term"], F.col("syn").alias("term"))
-
-
-def expand_text(terms: DataFrame, id_col: str, synonyms: DataFrame, k: int) -> DataFrame:
-    """F9 + C9: token set of each text together with the synonyms of its
-    tokens, de-duplicated, sorted, joined by spaces; empty results dropped."""
-    own = terms.select(id_col, "term")
-    expanded = own.unionByName(synonyms_for_terms(own, synonyms, k).select(id_col, "term")).distinct()
-    return (expanded.groupBy(id_col).agg(F.array_sort(F.collect_list("term")).alias("_t"))
-            .where(F.size("_t") > 0)
-            .select(id_col, F.concat_ws(" ", "_t").alias("text")))
