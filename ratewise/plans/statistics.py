@@ -83,3 +83,21 @@ ORDER BY issue DESC NULLS LAST, mid LIMIT {TOP_N}""")
 def top_new(fx: Fixtures):
     """10 newest items by first shipment (report)."""
     return stats.top_new(fx.items(), TOP_N)
+
+
+# The same statistics as SQL text over temp views (the Spark SQL path);
+# The reference's date UDF is the built-in date_format, so the whole
+# query stays in Catalyst and codegen.  View names are prefixed so they never
+# shadow a caller's own views.
+HOT_BY_MONTH_SQL = """
+SELECT CAST(date_format(timestamp_seconds(ts), 'yyyyMM') AS INT) AS yearmonth, mid, count(*) AS count
+FROM rw_ratings GROUP BY 1, 2"""
+
+
+@query("hot_by_month_sql", sql="""
+SELECT CAST(strftime(make_timestamp(ts * 1000000), '%Y%m') AS INT) AS yearmonth, mid, count(*) AS count
+FROM ratings GROUP BY 1, 2""")
+def hot_by_month_sql(fx: Fixtures):
+    """I1 + I2 + E2: monthly popularity as a SQL string over a temp view."""
+    fx.ratings().createOrReplaceTempView("rw_ratings")
+    return fx.spark.sql(HOT_BY_MONTH_SQL)
