@@ -45,11 +45,11 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def ensure_conf(spark: SparkSession) -> None:
-    """Fill in runtime SQL settings the queries depend on, without
-    overriding anything the cluster already set."""
-    for k in ("spark.sql.session.timeZone",):
-        if not spark.conf.get(k, None) or spark.conf.get(k) != "UTC":
-            spark.conf.set(k, "UTC")
+    """Runtime SQL settings the queries depend on: epoch <-> timestamp
+    conversions are defined in UTC.  Nothing else of the caller's session
+    is changed."""
+    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def checkpoint_dir(spark: SparkSession, sub: str = "") -> str:
