@@ -20,9 +20,18 @@ BASE_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
-# Local runs only: executors live inside the driver JVM.
+def _local_heap() -> str:
+    """Local runs only: executors live inside the driver JVM, so the heap is
+    sized from physical memory (about 60%, at most 16 GB)."""
+    try:
+        phys = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(1, min(16, int(phys * 0.6 / 2**30)))}g"
+
+
 LOCAL_CONF = {
-    "spark.driver.memory": "16g",
+    "spark.driver.memory": _local_heap(),
 }
 
 
