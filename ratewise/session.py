@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -59,20 +62,25 @@ def ensure_conf(spark: SparkSession) -> None:
     is changed."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
 
 
 def checkpoint_dir(spark: SparkSession, sub: str = "") -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Uses ``spark.checkpoint.dir`` from the session (the cluster's shared
-    folder).  Only when it is unset (local tests) a scratch folder is made
-    and registered, so the same code path works in both places."""
+    folder).  Only a local master may go without: a scratch folder is made
+    and registered, as in tests.  On any other master executors would write
+    to their own disks, so an unset folder is an error there."""
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
         base = sc._jsc.sc().getCheckpointDir()
         base = base.get() if base.isDefined() else None
     if not base:
+        if not is_single_machine(sc.master):
+            raise RuntimeError(f"master {sc.master} needs spark.checkpoint.dir: a folder that the driver "
+                               "and all executors share")
         base = tempfile.mkdtemp(prefix="ratewise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     current = sc._jsc.sc().getCheckpointDir()
@@ -83,23 +91,34 @@ def checkpoint_dir(spark: SparkSession, sub: str = "") -> str:
     return base
 
 
+def is_single_machine(master: str) -> bool:
+    """True for ``local``, ``local[n]`` and ``local[n,f]``: driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
+
+
 def new_subdir(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder under the shared checkpoint folder."""
-    import uuid
     return checkpoint_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
+_SHIPPED: set[str] = set()
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    if is_local_path(path):
-        return os.path.exists(path.replace("file:", ""))
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Kernels are pickled by module reference, so workers must be able to
+    import the package even where only the driver has it on its path."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    out = Path(tempfile.mkdtemp(prefix="ratewise-py-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(out))
+    _SHIPPED.add(sc.applicationId)
 
 
 def materialize(df, eager: bool = True):

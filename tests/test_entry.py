@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from ratewise.plans.catalog import ORACLE, QUERIES
 from ratewise.sources.tables import BASE_TABLES
 from tools.check_oracle import key, norm, type_diff
 
@@ -20,7 +21,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_is_rows_only():
-    assert set(E.queries()) - set(E.oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
+    assert set(QUERIES) <= set(E.queries())
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
@@ -32,7 +34,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     cols = df.columns
