@@ -20,7 +20,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ratewise.functions.columns import RATING_PREFIX, epoch_seconds, extract_after_prefix
 from ratewise.operators import maintain
 from ratewise.operators import realtime as rt
-from ratewise.session import list_subdirs, new_subdir, path_exists
+from ratewise.session import list_subdirs, new_subdir
 
 BATCH_INTERVAL = "2 seconds"   # fixed value: the reference's batch interval
 
