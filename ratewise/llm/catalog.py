@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ratewise.llm import bpe_codec, token_counts, url_rules
+from ratewise.llm import bpe_codec, language_crf, ngram_join, substring_dedup, token_counts, url_rules
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -66,6 +67,35 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_documents(spark, sf_dir))
 
 
+# -- 3: n-gram Jaccard join --------------------------------------------------------
+
+@_query("op3_ngram_jaccard_join")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle set size and component of every whole document (5 words, 80 %)."""
+    return ngram_join.jaccard_components(_documents(spark, sf_dir))
+
+
+# -- 4: language ID ------------------------------------------------------------------
+
+@_query("op4_language_id")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole document text, learned from the documents that aren't held out."""
+    docs = _documents(spark, sf_dir)
+    out = language_crf.held_out(F.col("doc_id"))
+    model = language_crf.fit(docs, where=~out)
+    return (language_crf.identify(docs, model).withColumn("held_out", out)
+            .select("doc_id", "held_out", "lang_pred", "score"))
+
+
+# -- 6: substring dedup --------------------------------------------------------------
+
+@_query("op6_substring_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document without the 20-word passages that occur earlier."""
+    return (substring_dedup.dedup_substrings(_documents(spark, sf_dir))
+            .select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")))
+
+
 # -- 7: byte-level BPE -------------------------------------------------------------
 
 @_query("op7_byte_bpe")

@@ -11,6 +11,8 @@ import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -139,3 +141,36 @@ def shingle_hashes(w: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
     for i in range(width):
         out = mix(out ^ w[i:i + count]) + np.uint64(i + 1)
     return out
+
+
+# -- groups of texts, bitmaps ---------------------------------------------------
+
+def text_groups(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with about ``most`` bytes of text each."""
+    for b in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < b.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+            yield b.slice(start, stop - start)
+            start = stop
+
+
+def bitmap_of(df: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A bitmap of 2 ** ``bits`` bits with one set for the leading bits of each
+    64-bit hash in ``column``: a filter of fixed size that lets too much through
+    as it fills, never too little.  At most 2 ** bits / 8 bytes reach the driver."""
+    bit = F.shiftrightunsigned(F.col(column), 64 - bits) + 1
+    maps = (df.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("k"))
+              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect())
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    for r in maps:
+        out[(r["k"] - 1) * 4096:r["k"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Which of the 64-bit hashes the filter lets through."""
+    bit = (hashes.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+    return ((bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1).astype(bool)
