@@ -44,7 +44,6 @@ from pyspark.sql import functions as F
 
 from ratewise.llm.common import WordHashes, bitmap_of, in_bitmap, kernel, shingle_hashes, text_groups, written
 from ratewise.llm.components import components
-from ratewise.session import materialize
 
 SKETCH_BITS = 20
 SEGMENT = 1 << 14
@@ -312,13 +311,13 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
                           .withColumn("label", F.coalesce("label", "cls")))
         pairs = (rows.select("h", "cls", "n", "pos", "label").repartition("h").sortWithinPartitions("h", "n", "cls")
                      .mapInArrow(partial(_pairs, percent=percent, hubs=hubs, down=down), "a long, b long").distinct())
-        pairs = materialize(pairs.withColumn("chunk", F.pmod(F.xxhash64("b"), F.lit(64))))
+        pairs = written(pairs.withColumn("chunk", F.pmod(F.xxhash64("b"), F.lit(64))), "ngram-pairs")
         records = pairs.join(grams.withColumnRenamed("cls", "b"), "b").select("a", "chunk", "b", "grams")
         queries = (pairs.select("a", "chunk").distinct().join(grams.withColumnRenamed("cls", "a"), "a")
                         .select("a", "chunk", F.lit(None).cast("long").alias("b"), "grams"))
         found = (records.unionByName(queries).repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
                         .mapInArrow(partial(_verify, percent=percent), "a long, b long"))
-        found = materialize(found)
+        found = written(found, "ngram-links")
         links = found if links is None else links.unionByName(found)
         labels = components(links)
 
