@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import bpe_codec, language_crf, ngram_join, substring_dedup, token_counts, url_rules
+from ratewise.llm import (bpe_codec, decontaminate, language_crf, line_dedup, ngram_join, order_minhash, substring_dedup,
+                          token_counts, url_rules)
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -87,6 +88,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "lang_pred", "score"))
 
 
+# -- 5: benchmark decontamination ----------------------------------------------------
+
+@_query("op5_benchmark_decontamination")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that it contains, with the best window."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.contaminated(_documents(spark, sf_dir), items).drop("th")
+
+
 # -- 6: substring dedup --------------------------------------------------------------
 
 @_query("op6_substring_dedup")
@@ -102,3 +112,19 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole document text and the bytes they decode to, as digests."""
     return bpe_codec.round_trip(_documents(spark, sf_dir))
+
+
+# -- 8: line dedup -----------------------------------------------------------------
+
+@_query("op8_line_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document without the lines that are like an earlier line."""
+    return line_dedup.clean_lines(_documents(spark, sf_dir)).select("doc_id", "text", "n_lines", "n_removed")
+
+
+# -- 10: document fingerprints --------------------------------------------------------
+
+@_query("op10_document_fingerprints")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order MinHash of every whole document and of its edited text, and their likeness."""
+    return order_minhash.document_fingerprints(_documents(spark, sf_dir))

@@ -5,7 +5,8 @@ item's number of words (the whole text, if that is shorter) has a weighted
 shingle similarity of 0.8 or more with the item: sum of the smaller weights
 over sum of the larger ones, where the shingles are five lower-cased words (all
 words of a shorter window) and a shingle's weight is the number of times it
-occurs.
+occurs.  An item of fewer than five words is too short to be looked for inside
+longer texts; it matches a text of just these words.
 
 1.  Places.  A window without any shingle of an item can't be similar to one, so
     each document's shingles pass a filter of fixed size with those of all
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewise.llm.common import written
-from ratewise.llm.native import bit_filter, in_filter, shingles, split_words, word_hashes
+from ratewise.llm.native import as_literal, bit_filter, held, in_filter, shingles, split_words, word_hashes
 from ratewise.session import materialize
 
 PERCENT = 80
@@ -51,11 +52,10 @@ def _blocks() -> list[tuple[int, int]]:
 
 
 def _hashed(rows: DataFrame, text: Column) -> DataFrame:
-    """Adds w (word hashes), n (words) and s (shingle hashes by place); rows without words go."""
-    lowered = F.lower(text)
-    return (rows.withColumn("w", word_hashes(split_words(lowered))).withColumn("n", F.size("w"))
-                .where(~F.btrim(lowered, F.lit(" \t\n\x0b\x0c\r")).eqNullSafe("") & text.isNotNull())
-                .withColumn("s", shingles("w", "n", SHINGLE)))
+    """Adds n (words) and s (shingle hashes by place); rows without words go."""
+    plain = F.btrim(F.lower(text), F.lit(" \t\n\x0b\x0c\r"))
+    rows = held(rows.where(text.isNotNull() & (plain != "")), "w", word_hashes(split_words(F.lower(text))))
+    return held(rows.withColumn("n", F.size("w")), "s", shingles("w", "n", SHINGLE)).drop("w")
 
 
 def _fingerprints(weights: DataFrame, key: list[str]) -> DataFrame:
@@ -78,17 +78,16 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     item that match, with the first of the most similar windows."""
     things = _hashed(items.select(F.col(item_id_col).alias("item_id"), F.col(item_text_col).alias("text")), F.col("text"))
     things = materialize(things.withColumn("item", F.xxhash64("item_id", "text")).select("item", "item_id", "n", "s").dropDuplicates(["item"]))
-    parts = things.select("item", "n", F.posexplode("s").alias("q", "x"))
-    picked = materialize(bit_filter(parts, "x", FILTER_BITS))
+    parts = things.select("item", "n", F.posexplode_outer("s").alias("q", "x"))
+    picked = as_literal(bit_filter(parts, "x", FILTER_BITS))
 
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    texts = (_hashed(src, F.col("text")).withColumn("th", F.xxhash64("text")).drop("text", "w")
-             .withColumn("hits", F.filter("s", lambda x: in_filter(picked.scalar(), x, FILTER_BITS)))
-             .where(F.size("hits") > 0).drop("hits"))
+    texts = (_hashed(src, F.col("text")).withColumn("th", F.xxhash64("text")).drop("text")
+             .where(F.exists("s", lambda x: in_filter(picked, x, FILTER_BITS))))
     texts = written(texts.withColumn("doc", F.xxhash64("doc_id", "th", "n")).dropDuplicates(["doc"]), "decontaminate-texts")
 
-    hits = (texts.select("doc", F.col("n").alias("words"), F.posexplode("s").alias("p", "x"))
-                 .where(in_filter(picked.scalar(), F.col("x"), FILTER_BITS)))
+    hits = (texts.select("doc", F.col("n").alias("words"), F.posexplode_outer("s").alias("p", "x"))
+                 .where(in_filter(picked, F.col("x"), FILTER_BITS)))
     start = F.greatest(F.least(F.col("p") - F.col("q"), F.col("words") - F.col("n")), F.lit(0))
     places = hits.join(parts, "x").select("doc", start.alias("start"), F.col("n").alias("size")).distinct()
     width = F.least(F.col("size"), F.col("n")) - SHINGLE + 1

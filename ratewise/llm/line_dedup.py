@@ -33,12 +33,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewise.llm.common import written
-from ratewise.llm.native import bit_filter, dense, in_filter, shingles, split_words, word_hashes
+from ratewise.llm.native import as_literal, bit_filter, dense, held, in_filter, shingles, split_words, word_hashes
 from ratewise.session import materialize
 
 PERCENT = 80
 SHINGLE = 5
-SKETCH_BITS = 16
+SKETCH_BITS = 14
 FILTER_BITS = 23
 _NULL_ID = -(1 << 63)
 
@@ -53,8 +53,8 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _with_shingles(lines: DataFrame) -> DataFrame:
     """Adds s: the distinct shingle hashes of a line."""
-    return (lines.withColumn("w", word_hashes(split_words(F.col("line"))))
-                 .withColumn("s", F.array_distinct(shingles("w", None, SHINGLE))).drop("w", "line"))
+    rows = held(lines, "w", word_hashes(split_words(F.col("line"))))
+    return held(rows.drop("line"), "s", F.array_distinct(shingles("w", None, SHINGLE))).drop("w")
 
 
 def _needed(a: Column, b: Column) -> Column:
@@ -73,14 +73,14 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     src = docs.where(F.col(text_col).isNotNull())
     lines = _lines(src, id_col, text_col)
     shift = 64 - SKETCH_BITS
-    counts = (_with_shingles(lines).select(F.explode("s").alias("x"))
+    counts = (_with_shingles(lines).select(F.explode_outer("s").alias("x"))
               .groupBy(F.shiftrightunsigned("x", shift).alias("k")).agg(F.count("*").alias("c"))
               .select("k", F.floor(4 * F.log2(F.col("c") + 1.0)).alias("v")))
-    sketch = materialize(dense(counts, 1 << SKETCH_BITS))
+    sketch = as_literal(dense(counts, 1 << SKETCH_BITS))
 
     def key(x: Column) -> Column:
         """Rarity above the leading bits of the hash, in one long."""
-        rank = F.get(sketch.scalar(), F.shiftrightunsigned(x, shift).cast("int"))
+        rank = F.get(sketch, F.shiftrightunsigned(x, shift).cast("int"))
         return F.shiftleft(rank, 55).bitwiseOR(F.shiftrightunsigned(x, 9))
 
     n = F.size("s")
@@ -92,7 +92,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     member = F.struct("at", "h", "n", "pos")
     token = Window.partitionBy("t")
-    groups = (classes.select("h", "at", "n", "copies", F.posexplode("prefix").alias("pos", "t")).withColumn("pos", F.col("pos") + 1)
+    groups = (classes.select("h", "at", "n", "copies", F.posexplode_outer("prefix").alias("pos", "t")).withColumn("pos", F.col("pos") + 1)
                      .withColumn("members", F.count("*").over(token))
                      .withColumn("hub", F.min(member).over(token))
                      .withColumn("top", F.max(F.struct("copies", F.col("h").alias("by"), member.alias("m"))).over(token)["m"])

@@ -1,7 +1,9 @@
 """Column expressions for the operators that use DataFrame and SQL functions only.
 
-Filters and frequency sketches are arrays of a fixed size, made by aggregations
-and read through a scalar subquery: one row, whatever the size of the input."""
+Filters and frequency sketches are arrays of a fixed size, made by aggregations:
+one row, whatever the size of the input.  They are read through a scalar
+subquery or, within a higher-order function (where Spark allows no subquery),
+as a literal."""
 
 from __future__ import annotations
 
@@ -11,6 +13,13 @@ from pyspark.sql import functions as F
 from ratewise.llm.common import BLANKS, WORD_SPLIT
 
 
+def held(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that is computed once.  A plain column would be copied by
+    the optimizer into each place that reads it (a filter, each turn of a
+    lambda); it doesn't look into a generator."""
+    return df.select("*", F.explode_outer(F.array(value)).alias(name))
+
+
 def split_words(text: Column) -> Column:
     """Words of a text that isn't null; a blank text gives one empty word."""
     return F.split(F.btrim(text, F.lit(BLANKS)), WORD_SPLIT)
@@ -44,10 +53,15 @@ def dense(counts: DataFrame, size: int) -> DataFrame:
 def bit_filter(hashes: DataFrame, column: str, bits: int) -> DataFrame:
     """One row with 2 ** ``bits`` bits (as longs): one set for the leading bits of each hash."""
     h = F.shiftrightunsigned(F.col(column), 64 - bits)
-    words = hashes.select(F.shiftright(h, 6).alias("k"), F.shiftleft(F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int")).alias("b"))
+    words = hashes.select(F.shiftright(h, 6).alias("k"), F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int")).alias("b"))
     return dense(words.groupBy("k").agg(F.bit_or("b").alias("v")), 1 << (bits - 6))
 
 
+def as_literal(one: DataFrame) -> Column:
+    """The array of a ``dense`` row as a literal; for arrays of a few thousand numbers."""
+    return F.split(F.lit(",".join(map(str, one.first()["a"]))), ",").cast("array<bigint>")
+
+
 def in_filter(array: Column, h: Column, bits: int) -> Column:
     """True if the filter lets the hash through (always for a hash that went in)."""
     at = F.shiftrightunsigned(h, 64 - bits)
