@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import (bpe_codec, decontaminate, language_crf, line_dedup, ngram_join, order_minhash, substring_dedup,
-                          token_counts, url_rules)
+from ratewise.llm import (bpe_codec, class_lm, decontaminate, language_crf, line_dedup, ngram_join, order_minhash,
+                          substring_dedup, token_counts, url_rules)
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -122,6 +122,14 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.clean_lines(_documents(spark, sf_dir)).select("doc_id", "text", "n_lines", "n_removed")
 
 
+# -- 9: LM scoring -----------------------------------------------------------------
+
+@_query("op9_lm_scoring")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class-based log10 probability of every whole document, learned from nine folds of ten."""
+    return class_lm.score_documents(_documents(spark, sf_dir), class_lm.held_out(F.col("doc_id")))
+
+
 # -- 10: document fingerprints --------------------------------------------------------
 
 @_query("op10_document_fingerprints")
