@@ -87,7 +87,10 @@ def update_preferences(users: DataFrame, updates: DataFrame) -> DataFrame:
                     (F.col("first") & F.col("new_prefs").isNull()).alias("first")))
 
 
-def replace_lists(current: DataFrame, fresh: DataFrame, key: str = "uid") -> DataFrame:
-    """Per-key upsert of a whole list: keys in ``fresh`` replace their
-    row in ``current``, other rows stay (delete-then-insert, set-based)."""
-    return current.join(fresh.select(key), key, "left_anti").unionByName(fresh)
+def replace_lists(current: DataFrame, fresh: DataFrame, key: str = "uid", touched: DataFrame | None = None) -> DataFrame:
+    """Per-key upsert of a whole list: the lists of ``touched`` keys are
+    replaced by their rows in ``fresh`` - by nothing, where there is none -
+    and other rows stay (delete-then-insert, set-based).  Without
+    ``touched`` the keys of ``fresh`` are replaced."""
+    keys = (fresh if touched is None else touched).select(key).distinct()
+    return current.join(keys, key, "left_anti").unionByName(fresh)

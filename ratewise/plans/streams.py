@@ -1,21 +1,35 @@
 """Streaming queries.
 
-Each query runs its stream to completion (``availableNow``) over the events
-file and returns the sink table; the result equals the batch twin, which is
-why the batch twin's SQL is the oracle.
+Each query lets the events arrive in four steps, in order of event id, and
+starts its job again on the same folder after each (``availableNow``): state,
+history and lists cross micro-batches and restarts.  The sink table equals the
+batch twin, which is why the batch twin's SQL is the oracle.
 """
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from ratewise.plans.realtime import CAND_SQL, RECENT_SQL, SCORED_SQL, SIM_VIEWS, shared_sim
 from ratewise.plans.registry import ORACLE, query
+from ratewise.session import new_subdir
 from ratewise.sources.fixtures import Fixtures
 from ratewise.streaming import jobs
 
 
-def _events_glob(fx: Fixtures) -> str:
-    return f"{fx.sf_dir.rstrip('/')}/events.parq*"
+STEPS = 4
+
+
+def _arriving(fx: Fixtures, name: str):
+    """(job folder, events stream) after each step of the arrival."""
+    base = new_subdir(fx.spark, name)
+    ev = fx.spark.read.schema(jobs.EVENTS_SCHEMA).parquet(f"{fx.sf_dir.rstrip('/')}/events.parquet")
+    cuts = [int(c) for c in ev.approxQuantile("event_id", [i / STEPS for i in range(1, STEPS)], 0.001)]
+    bounds = [None, *cuts, None]
+    for i, (low, high) in enumerate(zip(bounds, bounds[1:])):
+        part = ev.where(F.lit(low is None) | (F.col("event_id") > F.lit(low))).where(F.lit(high is None) | (F.col("event_id") <= F.lit(high)))
+        part.write.parquet(f"{base}/arrived/step{i}")
+        yield base, jobs.read_event_stream(fx.spark, f"{base}/arrived/step*")
 
 
 def _n_items(fx: Fixtures) -> int:
@@ -26,16 +40,16 @@ def _n_items(fx: Fixtures) -> int:
 @query("stream_log_filter")
 def stream_log_filter(fx: Fixtures):
     """A14 + H1 + C15: log-line stream -> rating messages (file sink)."""
-    ev = jobs.read_event_stream(fx.spark, _events_glob(fx))
-    out = jobs.run_to_table(jobs.log_filter(jobs.log_lines_of(ev, _n_items(fx))), fx.spark, "log-filter")
+    for base, ev in _arriving(fx, "log-filter"):
+        out = jobs.run_to_table(jobs.log_filter(jobs.log_lines_of(ev, _n_items(fx))), fx.spark, "log-filter", base)
     return fx.spark.read.parquet(out).select("event_id", "msg")
 
 
 @query("stream_recent_k")
 def stream_recent_k(fx: Fixtures):
     """H3 as keyed state (applyInPandasWithState), bounded queue per user."""
-    ev = jobs.rating_events_of(jobs.read_event_stream(fx.spark, _events_glob(fx)), _n_items(fx))
-    out = jobs.run_to_table(jobs.recent_k_stream(ev), fx.spark, "recent-k")
+    for base, ev in _arriving(fx, "recent-k"):
+        out = jobs.run_to_table(jobs.recent_k_stream(jobs.rating_events_of(ev, _n_items(fx))), fx.spark, "recent-k", base)
     return fx.spark.read.parquet(out).select("event_id", "pos", "rmid", "rscore")
 
 
@@ -48,8 +62,9 @@ WHERE e.event_id IN (SELECT event_id FROM (
        extra_views={**SIM_VIEWS, "rec": RECENT_SQL, "cand": CAND_SQL, "scored": SCORED_SQL})
 def stream_recs_upsert(fx: Fixtures):
     """H6 + B5 + H2: rating stream -> per-batch scoring -> per-user list upsert."""
-    ev = jobs.rating_events_of(jobs.read_event_stream(fx.spark, _events_glob(fx)), _n_items(fx))
-    out = jobs.stream_recs(ev, fx.spark, shared_sim(fx))
+    sim = shared_sim(fx)
+    for base, ev in _arriving(fx, "stream-recs"):
+        out = jobs.stream_recs(jobs.rating_events_of(ev, _n_items(fx)), fx.spark, sim, base)
     return fx.spark.read.parquet(out).select("uid", "mid", "score", "rank")
 
 

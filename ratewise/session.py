@@ -138,3 +138,9 @@ def list_subdirs(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+
+
+def has_file(spark: SparkSession, path: str) -> bool:
+    """True if ``path`` exists, in whatever store it lies."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

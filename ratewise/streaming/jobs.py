@@ -1,11 +1,12 @@
 """Structured Streaming jobs.
 
 Sources are file streams (the same DataFrame API as a message-queue source,
-whose connector jar is not installed here).  Every query sets a
-``checkpointLocation`` in the shared checkpoint folder, so a restarted
-driver resumes from the last committed batch; sinks are idempotent per
-batch id.  ``trigger(processingTime='2 seconds')`` is the reference's batch
-interval; tests and the registered queries use ``availableNow``.
+whose connector jar is not installed here).  A job lives in a folder that the
+caller names: its ``checkpoint`` and its tables.  Starting a job again on the
+same folder resumes after the last committed batch; sinks are idempotent per
+batch id.  Every ``start_*`` hands the running ``StreamingQuery`` back.
+``trigger(processingTime='2 seconds')`` is the batch interval of a service;
+tests and the registered queries use ``availableNow``.
 """
 
 from __future__ import annotations
@@ -15,12 +16,13 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ratewise.functions.columns import RATING_PREFIX, epoch_seconds, extract_after_prefix
 from ratewise.operators import maintain
 from ratewise.operators import realtime as rt
-from ratewise.session import list_subdirs, new_subdir
+from ratewise.session import has_file, list_subdirs, new_subdir
 
 BATCH_INTERVAL = "2 seconds"   # fixed value: the reference's batch interval
 
@@ -64,17 +66,23 @@ def log_filter(lines: DataFrame) -> DataFrame:
     return lines.select("event_id", extract_after_prefix("line").alias("msg")).where(F.col("msg").isNotNull())
 
 
-def run_to_table(stream: DataFrame, spark: SparkSession, name: str, trigger_now: bool = True) -> str:
-    """Run a stateless/append stream into a parquet table in the shared
-    folder; returns the table path (exactly-once file sink + checkpoint)."""
-    out = new_subdir(spark, f"{name}-out")
-    ck = new_subdir(spark, f"{name}-ckpt")
-    w = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck) \
-        .outputMode("append")
-    w = w.trigger(availableNow=True) if trigger_now else w.trigger(processingTime=BATCH_INTERVAL)
-    q = w.start()
-    q.awaitTermination()
-    return out
+def _triggered(writer, now: bool):
+    return writer.trigger(availableNow=True) if now else writer.trigger(processingTime=BATCH_INTERVAL)
+
+
+def start_table(stream: DataFrame, base: str, trigger_now: bool = True) -> StreamingQuery:
+    """Start a stateless/append stream into the parquet table ``base``/out
+    (exactly-once file sink), resuming from ``base``/checkpoint."""
+    w = (stream.writeStream.format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/checkpoint").outputMode("append"))
+    return _triggered(w, trigger_now).start()
+
+
+def run_to_table(stream: DataFrame, spark: SparkSession, name: str, base: str | None = None) -> str:
+    """Run a stream over what there is now; returns the table path."""
+    base = base or new_subdir(spark, name)
+    start_table(stream, base).awaitTermination()
+    return f"{base}/out"
 
 
 # ---------------------------------------------------------------- H3 state
@@ -129,8 +137,9 @@ class RecsUpserter:
 
     def _versions(self, sub: str, key: str, before: int) -> list[int]:
         names = list_subdirs(self.spark, f"{self.base}/{sub}")
-        return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(key + "=")
-                      and int(n.split("=", 1)[1]) < before)
+        ids = sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(key + "="))
+        # a folder counts once its write was committed
+        return [i for i in ids if i < before and has_file(self.spark, f"{self.base}/{sub}/{key}={i}/_SUCCESS")]
 
     def history(self, before: int) -> DataFrame | None:
         """Ratings of the committed batches before ``before``."""
@@ -150,22 +159,30 @@ class RecsUpserter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         ev = batch.select("event_id", "uid", "mid", "score", "ts")
+        users = ev.select("uid").distinct()
         hist = self.history(batch_id)
+        if hist is not None:  # only the batch's users are scored
+            hist = hist.join(users, "uid", "left_semi")
         recs = rt.realtime_recommendations(ev, self.sim, history=hist)
         fresh = rt.latest_per_user(recs, ev).drop("event_id")
         cur = self.current(batch_id)
-        new = fresh if cur is None else maintain.replace_lists(cur, fresh.select(*cur.columns), "uid")
+        new = fresh if cur is None else maintain.replace_lists(cur, fresh.select(*cur.columns), "uid", users)
         # history first: a replayed batch rewrites both of its own folders
         ev.write.mode("overwrite").parquet(f"{self.base}/history/batch={batch_id}")
         new.write.mode("overwrite").parquet(f"{self.base}/recs/v={batch_id}")
 
 
-def stream_recs(ratings: DataFrame, spark: SparkSession, sim: DataFrame, trigger_now: bool = True) -> str:
-    """Run H6 over a rating stream; returns the folder of the final lists."""
-    base = new_subdir(spark, "stream-recs")
+def start_recs(ratings: DataFrame, spark: SparkSession, sim: DataFrame, base: str,
+               trigger_now: bool = True) -> tuple[StreamingQuery, RecsUpserter]:
+    """Start H6 over a rating stream in the folder ``base`` (resuming what
+    is there); the sink knows the folder of the latest lists."""
     sink = RecsUpserter(spark, sim, base)
-    ck = new_subdir(spark, "stream-recs-ckpt")
-    w = ratings.writeStream.foreachBatch(sink).option("checkpointLocation", ck)
-    w = w.trigger(availableNow=True) if trigger_now else w.trigger(processingTime=BATCH_INTERVAL)
-    w.start().awaitTermination()
+    w = ratings.writeStream.foreachBatch(sink).option("checkpointLocation", f"{base}/checkpoint")
+    return _triggered(w, trigger_now).start(), sink
+
+
+def stream_recs(ratings: DataFrame, spark: SparkSession, sim: DataFrame, base: str | None = None) -> str:
+    """Run H6 over what there is now; returns the folder of the final lists."""
+    query, sink = start_recs(ratings, spark, sim, base or new_subdir(spark, "stream-recs"))
+    query.awaitTermination()
     return sink.latest()

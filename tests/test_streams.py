@@ -101,3 +101,36 @@ def test_upsert_sink_replay_and_restart_are_idempotent(spark):
     want = {(r.uid, r.mid, r.score, r.rank)
             for r in rt.latest_per_user(rt.realtime_recommendations(ev, sim), ev).collect()}
     assert {(u, m, s, k) for u, m, s, k in first} == want
+
+
+def _events_of(spark, rows):
+    return spark.createDataFrame(rows, "event_id long, uid int, mid int, score double, ts long")
+
+
+def test_list_without_scored_items_is_emptied(spark):
+    """A user whose latest event scores nothing loses the old list."""
+    from ratewise.session import new_subdir
+    fx = Fixtures(spark, SF_SMALL)
+    sink = jobs.RecsUpserter(spark, shared_sim(fx), new_subdir(spark, "t-stale"))
+    seen = fx.rating_events().limit(1).first().mid
+    sink(_events_of(spark, [(1, 7, seen, 5.0, 100), (2, 8, seen, 5.0, 100)]), 0)
+    before = {r.uid for r in spark.read.parquet(sink.latest()).collect()}
+    sink(_events_of(spark, [(3, 7, 10_000_000, 5.0, 200)]), 1)
+    after = {r.uid for r in spark.read.parquet(sink.latest()).collect()}
+    assert before == {7, 8} and after == {8}
+
+
+def test_stop_and_restart_on_the_same_folder(spark, split_events):
+    """A second start reads only what is new; an uncommitted version is not read."""
+    from ratewise.session import new_subdir
+    fx = Fixtures(spark, SF_SMALL)
+    n = fx.table("part").count()
+    base = new_subdir(spark, "t-resume")
+    for _ in range(2):
+        query = jobs.start_table(jobs.log_filter(jobs.log_lines_of(jobs.read_event_stream(spark, split_events, 1), n)), base)
+        query.awaitTermination()
+    got = spark.read.parquet(f"{base}/out")
+    assert got.count() == got.distinct().count() == jobs.log_filter(jobs.log_lines_of(spark.read.parquet(split_events), n)).count()
+    sink = jobs.RecsUpserter(spark, shared_sim(fx), base)
+    spark.range(1).coalesce(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{base}/recs/v=3")
+    assert sink.latest() == "" and sink.current(9) is None
