@@ -238,6 +238,10 @@ def cosine_pairs_dense(left: DataFrame, left_id: str, vec_col: str, threshold: f
     return pairs.mapInPandas(_threshold_kernel(float(threshold), right is None), "a long, b long, cos double")
 
 
+# more than the rounding to 6 digits can move a value
+TIE_SLACK = 2e-6
+
+
 def _topk_kernel(k: int):
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
@@ -252,9 +256,9 @@ def _topk_kernel(k: int):
                     kk = min(k, s.shape[1])
                     if kk == 0:
                         continue
-                    idx = np.argpartition(-s, kk - 1, axis=1)[:, :kk]
-                    rows = np.repeat(np.arange(s.shape[0]), kk)
-                    cols = idx.reshape(-1)
+                    # all that may tie with the k-th value once rounded
+                    kth = -np.partition(-s, kk - 1, axis=1)[:, kk - 1]
+                    rows, cols = np.nonzero(s >= kth[:, None] - TIE_SLACK)
                     vals = s[rows, cols]
                     ok = np.isfinite(vals)
                     out_a.append(ids_q[rows[ok]])
@@ -268,12 +272,16 @@ def _topk_kernel(k: int):
 
 def nearest_dense(df: DataFrame, id_col: str, vec_col: str, k: int,
                   block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """K nearest other rows by cosine.  Each block pair emits at most k
-    candidates per row (ties at the k-th value kept by the final rank step
-    only through the exact order cos desc, id asc), then a grouped top-k."""
+    """The k nearest other rows by cosine, with every row that ties with
+    the k-th one: (a, b, cos), cos rounded to 6 digits.
+
+    A block pair emits each row's k best and all that tie with the k-th, so
+    the result doesn't depend on the number of blocks.  The caller ranks
+    ties by what it knows of ``b`` and keeps k."""
     lu = _normalise_dense(df, id_col, vec_col)
     packed, nb = _blocks(lu, block_rows)
-    # over-fetch by one: ties at position k are resolved by id in the final rank
-    cand = _block_pairs(packed, nb).mapInPandas(_topk_kernel(k + 1), "a long, b long, cos double")
-    w = Window.partitionBy("a").orderBy(F.col("cos").desc(), F.col("b").asc())
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    cand = (_block_pairs(packed, nb).mapInPandas(_topk_kernel(k), "a long, b long, cos double")
+            .withColumn("cos", F.round("cos", 6)))
+    # rank 1 + the number of strictly nearer rows
+    w = Window.partitionBy("a").orderBy(F.col("cos").desc())
+    return cand.withColumn("_near", F.rank().over(w)).where(F.col("_near") <= k).drop("_near")

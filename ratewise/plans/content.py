@@ -1,5 +1,5 @@
 """Content-similarity and text queries (C3, C7-C9, C11, D5, D6, D10, E6,
-E9, E17, F1-F3, F9, F10, A13)."""
+E9, F1-F3, F9, F10, A13)."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ratewise.functions.columns import tokens
 from ratewise.operators import similarity as sim
 from ratewise.operators import text
+from ratewise.operators.ranking import top_k_per_group
 from ratewise.operators.serving import pack_lists
 from ratewise.plans.registry import query
 from ratewise.sources.fixtures import Fixtures
@@ -149,9 +150,10 @@ def _synonyms(fx: Fixtures, k: int) -> DataFrame:
     ids = wv.select("word", F.xxhash64("word").alias("wid"), "vec")
     near = sim.nearest_dense(ids, "wid", "vec", k)
     names = ids.select("wid", "word")
-    return (near.join(names.withColumnRenamed("wid", "a"), "a")
-            .join(names.select(F.col("wid").alias("b"), F.col("word").alias("syn")), "b")
-            .select("word", "syn", "cos", F.col("rank").cast("long").alias("rank")))
+    named = (near.join(names.withColumnRenamed("wid", "a"), "a")
+             .join(names.select(F.col("wid").alias("b"), F.col("word").alias("syn")), "b"))
+    ranked = top_k_per_group(named, ["word"], [F.col("cos").desc(), F.col("syn").asc()], k)
+    return ranked.select("word", "syn", "cos", F.col("rank").cast("long").alias("rank"))
 
 
 def expanded(terms: DataFrame, keys: list[str], syn: DataFrame, k: int) -> DataFrame:
@@ -255,7 +257,7 @@ def expand_comments(fx: Fixtures):
 SELECT mid, array_to_string(list_sort(list(term)), ' ') AS text FROM d_exp GROUP BY mid""",
        extra_views=VOCAB_VIEWS)
 def expand_items(fx: Fixtures):
-    """D10 + F9 (+E17 as an option, off here): each item text's token set
+    """D10 + F9: each item text's token set
     widened by 2 synonyms per token, over all items."""
     ex = expanded(doc_terms_filtered(fx), ["mid"], synonyms(fx), ITEM_SYNONYMS)
     return (ex.groupBy("mid").agg(F.array_sort(F.collect_list("term")).alias("t"))

@@ -47,7 +47,7 @@ FROM events""",
     "comments": """
 SELECT CAST(conv_id AS INT) AS uid, CAST((conv_id * 7 + turn) % (SELECT count(*) FROM part) AS INT) AS mid,
        text AS content
-FROM conversations WHERE role = 'user'""",
+FROM conversations""",
     "docs": "SELECT CAST(doc_id AS INT) AS mid, source AS name, text AS descri FROM documents",
     "users": """
 SELECT CAST(c_custkey AS INT) AS uid, c_name AS username,

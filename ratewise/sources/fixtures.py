@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.functions.columns import epoch_seconds, tokens
+from ratewise.functions.columns import RATING_PREFIX, epoch_seconds, tokens
 from ratewise.operators.ranking import global_row_number
 from ratewise.session import materialize
 from ratewise.sources.tables import read_table
@@ -89,7 +89,7 @@ class Fixtures:
         r = self.rating_events()
         line = F.when(F.col("event_type") == "error",
                       F.concat(F.lit("INFO page hit "), F.col("event_id").cast("string"))) \
-            .otherwise(F.concat(F.lit("INFO "), F.lit("MOVIE_RATING_PREFIX:"),
+            .otherwise(F.concat(F.lit("INFO "), F.lit(RATING_PREFIX),
                                 F.col("uid").cast("string"), F.lit("|"),
                                 F.col("mid").cast("string"), F.lit("|"),
                                 F.col("score").cast("decimal(3,1)").cast("string"), F.lit("|"),
@@ -105,8 +105,7 @@ class Fixtures:
 
     def comments(self) -> DataFrame:
         cv = self.table("conversations")
-        return (cv.where(F.col("role") == "user")
-                .select(F.col("conv_id").cast("int").alias("uid"),
+        return (cv.select(F.col("conv_id").cast("int").alias("uid"),
                         ((F.col("conv_id") * 7 + F.col("turn")) % self.n_items()).cast("int").alias("mid"),
                         F.col("text").alias("content")))
 
