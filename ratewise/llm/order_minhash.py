@@ -113,7 +113,8 @@ def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
     text = F.coalesce(F.col(text_col), F.lit(""))
     order = F.coalesce(F.lit(0).cast("long") - F.col(id_col).cast("long"), F.lit(_LAST).cast("long"))
     rows = docs.select(F.col(id_col).alias("doc_id"), order.alias("ord"), F.xxhash64(text).alias("th"), text.alias("text"))
-    cuts, _ = _ranges(rows, spark)
+    cuts, ranges = _ranges(rows, spark)
+    parts = max(ranges, int(spark.conf.get("spark.sql.shuffle.partitions")))
     if cuts:
         limits = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<bigint>")
         at = F.size(F.filter(limits, lambda c: c < F.col("ord")))
@@ -128,21 +129,25 @@ def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
     ghosts = (rows.drop("range").join(F.broadcast(before), ["ord", "th"]).dropDuplicates(["to"])
                   .select("doc_id", "ord", "th", "text", F.col("to").alias("range"), F.lit(1).alias("ghost")))
     dealt = (rows.select("doc_id", "ord", "th", "text", "range", F.lit(0).alias("ghost")).unionByName(ghosts)
-                 .repartition("range"))
+                 .repartition(parts, "range"))
     line = Window.partitionBy("range").orderBy("ghost", "ord", "th")
     near = dealt.select("*", F.row_number().over(line).alias("row"), F.lead("text").over(line).alias("after"))
     near = held(near, "edited", F.when(F.col("ghost") == 0, _half(F.col("text"), F.col("after"))))
 
-    own = near.select("range", "row", F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("text")),
-                                                          F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))).alias("e"))
-    own = own.select("range", "row", "e.which", "e.text").where("which = 0 or text is not null")
-    prints = fingerprints(own, ["range", "row", "which"])
-    both = prints.groupBy("range", "row").agg(F.max(F.when(F.col("which") == 0, F.col("parts"))).alias("parts"),
-                                              F.max(F.when(F.col("which") == 1, F.col("parts"))).alias("edited_parts"))
+    # three rows a document: its text, its edited text, and what else is to be told of it
+    string, long = F.lit(None).cast("string"), F.lit(None).cast("long")
+    def entry(which: int, text: Column, n_chars: Column = long, sha: Column = string) -> Column:
+        return F.struct(F.lit(which).alias("which"), text.alias("text"), n_chars.alias("n_chars"), sha.alias("edited_sha256"))
+
+    entries = F.array(entry(0, F.col("text")), entry(1, F.col("edited")),
+                      entry(2, string, F.length("text").cast("long"), F.sha2(F.col("edited").cast("binary"), 256)))
+    own = near.select("range", "row", "doc_id", "ghost", F.explode(entries).alias("e")).where("ghost = 0 or e.which = 0")
+    prints = fingerprints(own.select("range", "row", "doc_id", "e.*"), ["range", "row", "doc_id", "which", "n_chars", "edited_sha256"])
+    both = prints.groupBy("range", "row", "doc_id").agg(
+        F.max(F.when(F.col("which") == 0, F.col("parts"))).alias("parts"), F.max(F.when(F.col("which") == 1, F.col("parts"))).alias("edited_parts"),
+        F.max("n_chars").alias("n_chars"), F.max("edited_sha256").alias("edited_sha256"))
     both = both.withColumn("next_parts", F.lead("parts").over(Window.partitionBy("range").orderBy("row")))
-    facts = near.where("ghost = 0").select("range", "row", "doc_id", F.length("text").cast("long").alias("n_chars"),
-                                            F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
-    return (facts.join(both, ["range", "row"])
+    return (both.where(F.col("edited_sha256").isNotNull())
                  .select("doc_id", "n_chars", "edited_sha256", as_text(F.col("parts")).alias("fingerprint"),
                          as_text(F.col("edited_parts")).alias("edited_fingerprint"),
                          likeness(F.col("parts"), F.col("edited_parts")).alias("near_edited"),
