@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratewise.llm import bpe_codec, decontaminate, language_crf, line_dedup, ngram_join
-from ratewise.llm.common import written
+from ratewise.llm.common import free_name, written
 
 #: Least mean probability of a document's language.  Four languages share
 #: a probability of 1, so this drops only text that is like none of them.
@@ -29,8 +29,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The model learns from a bounded sample of the labelled documents."""
     model = language_crf.fit(docs)
-    judged = docs.withColumn("_language", language_crf.language_of(docs, model, F.col("text")))
-    return judged.where((F.col("_language.lang_pred") != language_crf.UNKNOWN) & (F.col("_language.score") >= MIN_SCORE)).select(*docs.columns)
+    name = free_name(docs, "language")
+    judged = docs.withColumn(name, language_crf.language_of(docs, model, F.col("text")))
+    found = (F.col(f"{name}.lang_pred") != language_crf.UNKNOWN) & (F.col(f"{name}.score") >= MIN_SCORE)
+    return judged.where(found).select(*docs.columns)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,11 +44,12 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each component of near copies: the one of smallest id."""
+    kept_id, th, row = (free_name(docs, c) for c in ("kept_id", "th", "row"))
     kept = (ngram_join.jaccard_components(docs).where(F.col("component_id").isNull() | (F.col("component_id") == F.col("doc_id")))
-                      .select(F.col("doc_id").alias("_id")).distinct())
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    one = Window.partitionBy("doc_id", "_th").orderBy(*(F.col(c) for c in docs.columns if c != "text"))
-    return (rows.withColumn("_th", F.xxhash64("text")).withColumn("_r", F.row_number().over(one)).where("_r = 1")
+                      .select(F.col("doc_id").alias(kept_id)).distinct())
+    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col(kept_id)), "left_semi")
+    one = Window.partitionBy("doc_id", th).orderBy(*(F.col(c) for c in docs.columns if c != "text"))
+    return (rows.withColumn(th, F.xxhash64("text")).withColumn(row, F.row_number().over(one)).where(F.col(row) == 1)
                 .select(*docs.columns))
 
 

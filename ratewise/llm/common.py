@@ -7,6 +7,7 @@ touches A-Z only.  In Python that is ``text.encode().lower().split()``
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Iterable, Iterator
 
@@ -38,13 +39,48 @@ def fold(id_col: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, path: str | None = None, release: bool = True) -> DataFrame:
     """Write ``df`` to a fresh table in the shared checkpoint folder and read
-    it back: cuts lineage, and several later steps read it by column."""
-    spark = df.sparkSession
-    path = new_subdir(spark, name)
+    it back: cuts lineage, and several later steps read it by column.  Before
+    that, shuffle files of finished steps are let go: Spark removes them once
+    the driver has collected the plans that refer to them."""
+    spark, schema = df.sparkSession, df.schema
+    path = path or new_subdir(spark, name)
+    if release:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+class Scratch:
+    """Intermediate tables of one operator, in one folder that is removed when
+    the operator has written its result: ``with Scratch(spark, name) as tmp``."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.base, self.made = spark, new_subdir(spark, name), 0
+
+    def path(self, name: str) -> str:
+        self.made += 1
+        return f"{self.base}/{self.made:02d}-{name}"
+
+    def keep(self, df: DataFrame, name: str, release: bool = True) -> DataFrame:
+        return written(df, name, self.path(name), release)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *error) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.base)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def kernel(df: DataFrame) -> SparkSession:

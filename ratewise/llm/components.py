@@ -5,27 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import written
+from ratewise.llm.common import Scratch
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(links: DataFrame, tmp: Scratch, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label): every node that has a link, with the smallest node it reaches.
 
     Each step takes the smallest label among a node and its neighbours and then
     the label of that label (pointer jumping), so the number of steps grows
     with the logarithm of the longest chain.  Only the count of changed nodes
-    reaches the driver; each step is written to the shared folder and read back
-    (a checkpoint would carry the plan's constraints on, which grow with the steps).  A node with
+    reaches the driver; each step is written to ``tmp`` and read back (a checkpoint
+    would carry the plan's constraints on, which grow with the steps).  A node with
     very many links meets them in an aggregation with map-side combine."""
     pairs = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
-    edges = written(pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "links")
-    labels = written(edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("label")), "labels")
+    edges = tmp.keep(pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "links", release=False)
+    labels = tmp.keep(edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("label")), "labels", release=False)
     while True:
         near = (edges.join(labels.withColumnRenamed("node", "v"), "v").groupBy("u").agg(F.min("label").alias("near"))
                      .withColumnRenamed("u", "node"))
         step = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("above"))
-        step = written(step.join(up, "label", "left").select("node", "old", F.least("label", "above").alias("label")), "labels")
+        step = tmp.keep(step.join(up, "label", "left").select("node", "old", F.least("label", "above").alias("label")), "labels", release=False)
         changed = step.where("old <> label").limit(1).count()
         labels = step.select("node", "label")
         if not changed:

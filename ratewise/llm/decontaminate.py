@@ -9,7 +9,7 @@ occurs.  An item of fewer than five words is too short to be looked for inside
 longer texts; it matches a text of just these words.
 
 1.  Places.  A window without any shingle of an item can't be similar to one, so
-    each document's shingles pass a filter of fixed size with those of all
+    each document's shingles pass filters of fixed size with those of all
     items; documents without a hit go no further.  A hit at word p of a
     document and at word q of an item of n words places a window of n words at
     p - q.
@@ -35,9 +35,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import written
+from ratewise.llm.common import Scratch, free_name, written
 from ratewise.llm.native import as_literal, bit_filter, held, in_filter, shingles, split_words, word_hashes
-from ratewise.session import materialize
 
 PERCENT = 80
 SHINGLE = 5
@@ -76,18 +75,29 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                  item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc_id, th, item_id, start, n_words, similarity): each document (its id and text hash) and
     item that match, with the first of the most similar windows."""
+    with Scratch(docs.sparkSession, "decontaminate") as tmp:
+        return written(_matches(docs, items, id_col, text_col, item_id_col, item_text_col, tmp), "contaminated")
+
+
+def _matches(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_id_col: str, item_text_col: str, tmp: Scratch) -> DataFrame:
     things = _hashed(items.select(F.col(item_id_col).alias("item_id"), F.col(item_text_col).alias("text")), F.col("text"))
-    things = materialize(things.withColumn("item", F.xxhash64("item_id", "text")).select("item", "item_id", "n", "s").dropDuplicates(["item"]))
+    things = tmp.keep(things.withColumn("item", F.xxhash64("item_id", "text")).select("item", "item_id", "n", "s").dropDuplicates(["item"]), "items")
     parts = things.select("item", "n", F.posexplode_outer("s").alias("q", "x"))
-    picked = as_literal(bit_filter(parts, "x", FILTER_BITS))
+    # two filters, by the leading and by later bits of a hash: few texts pass both by chance
+    leading = as_literal(bit_filter(parts, "x", FILTER_BITS))
+    later = as_literal(bit_filter(parts.select(F.shiftleft("x", 32).alias("x")), "x", FILTER_BITS))
+
+    def picked(x: Column) -> Column:
+        return in_filter(leading, x, FILTER_BITS) & in_filter(later, F.shiftleft(x, 32), FILTER_BITS)
+
 
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     texts = (_hashed(src, F.col("text")).withColumn("th", F.xxhash64("text")).drop("text")
-             .where(F.exists("s", lambda x: in_filter(picked, x, FILTER_BITS))))
-    texts = written(texts.withColumn("doc", F.xxhash64("doc_id", "th", "n")).dropDuplicates(["doc"]), "decontaminate-texts")
+             .where(F.exists("s", picked)))
+    texts = tmp.keep(texts.withColumn("doc", F.xxhash64("doc_id", "th", "n")).dropDuplicates(["doc"]), "texts")
 
     hits = (texts.select("doc", F.col("n").alias("words"), F.posexplode_outer("s").alias("p", "x"))
-                 .where(in_filter(picked, F.col("x"), FILTER_BITS)))
+                 .where(picked(F.col("x"))))
     start = F.greatest(F.least(F.col("p") - F.col("q"), F.col("words") - F.col("n")), F.lit(0))
     places = hits.join(parts, "x").select("doc", start.alias("start"), F.col("n").alias("size")).distinct()
     width = F.least(F.col("size"), F.col("n")) - SHINGLE + 1
@@ -95,8 +105,8 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     window = F.when(F.col("n") <= SHINGLE, F.col("s")).otherwise(F.slice("s", F.col("start") + 1, F.greatest(width, F.lit(1))))
     weights = (places.join(texts.select("doc", "n", "s"), "doc").select("doc", "start", "size", F.explode(window).alias("x"))
                      .groupBy("doc", "start", "size", "x").agg(F.count("*").alias("c")))
-    weights = written(weights, "decontaminate-windows")
-    own = written(parts.groupBy("item", "n", "x").agg(F.count("*").alias("c")), "decontaminate-items")
+    weights = tmp.keep(weights, "windows")
+    own = tmp.keep(parts.groupBy("item", "n", "x").agg(F.count("*").alias("c")), "weights")
 
     windows = _fingerprints(weights, ["doc", "start", "size"])
     prints = _fingerprints(own, ["item", "n"]).withColumnsRenamed({"fp": "item_fp", "total": "item_total"})
@@ -119,6 +129,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
 def clean_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without those that match an item."""
-    bad = contaminated(docs, items, id_col, text_col).select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th")).distinct()
-    keyed = docs.withColumn("_th", F.xxhash64(F.col(text_col)))
-    return keyed.join(bad, keyed[id_col].eqNullSafe(bad["_doc"]) & (keyed["_th"] == bad["_th"]), "left_anti").drop("_th")
+    th, bad_id, bad_th = (free_name(docs, c) for c in ("th", "bad_id", "bad_th"))
+    bad = contaminated(docs, items, id_col, text_col).select(F.col("doc_id").alias(bad_id), F.col("th").alias(bad_th)).distinct()
+    keyed = docs.withColumn(th, F.xxhash64(F.col(text_col)))
+    return keyed.join(bad, F.col(id_col).eqNullSafe(F.col(bad_id)) & (F.col(th) == F.col(bad_th)), "left_anti").drop(th)

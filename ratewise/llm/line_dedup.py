@@ -32,9 +32,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import written
+from ratewise.llm.common import Scratch, free_name, written
 from ratewise.llm.native import as_literal, bit_filter, dense, held, in_filter, shingles, split_words, word_hashes
-from ratewise.session import materialize
 
 PERCENT = 80
 SHINGLE = 5
@@ -70,8 +69,12 @@ def _may_match(n1: Column, p1: Column, n2: Column, p2: Column) -> Column:
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, th, gone): the line numbers to remove from each text (by id and text hash)."""
-    src = docs.where(F.col(text_col).isNotNull())
-    lines = _lines(src, id_col, text_col)
+    with Scratch(docs.sparkSession, "line-dedup") as tmp:
+        lines = _lines(docs.where(F.col(text_col).isNotNull()), id_col, text_col)
+        return written(_removed(lines, tmp), "removed-lines")
+
+
+def _removed(lines: DataFrame, tmp: Scratch) -> DataFrame:
     shift = 64 - SKETCH_BITS
     counts = (_with_shingles(lines).select(F.explode_outer("s").alias("x"))
               .groupBy(F.shiftrightunsigned("x", shift).alias("k")).agg(F.count("*").alias("c"))
@@ -85,19 +88,20 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     n = F.size("s")
     first = F.struct("doc", "th", "line_no")
-    ordered = (_with_shingles(lines).select("h", first.alias("at"), n.alias("n"),
-                                            F.slice(F.sort_array(F.transform("s", key)), F.lit(1), n - F.ceil(n * PERCENT / F.lit(100)).cast("int") + 1).alias("prefix")))
-    classes = written(ordered.groupBy("h").agg(F.min(F.struct("at", "n", "prefix")).alias("c"), F.count("*").alias("copies"))
-                             .select("h", "c.*", "copies"), "line-classes")
+    prefix = F.slice(F.sort_array(F.transform("s", key)), F.lit(1), n - F.ceil(n * PERCENT / F.lit(100)).cast("int") + 1)
+    classes = tmp.keep(_with_shingles(lines).select("h", first.alias("at"), n.alias("n"), prefix.alias("prefix"))
+                       .groupBy("h").agg(F.min(F.struct("at", "n", "prefix")).alias("c"), F.count("*").alias("copies"))
+                       .select("h", "c.*", "copies"), "classes")
 
-    member = F.struct("at", "h", "n", "pos")
+    # narrow rows find the shingles that classes share; places are joined to what is left
     token = Window.partitionBy("t")
-    groups = (classes.select("h", "at", "n", "copies", F.posexplode_outer("prefix").alias("pos", "t")).withColumn("pos", F.col("pos") + 1)
-                     .withColumn("members", F.count("*").over(token))
-                     .withColumn("hub", F.min(member).over(token))
-                     .withColumn("top", F.max(F.struct("copies", F.col("h").alias("by"), member.alias("m"))).over(token)["m"])
-                     .where("members > 1").drop("members"))
-    groups = written(groups, "line-groups")
+    tokens = classes.select("h", "n", F.posexplode_outer("prefix").alias("pos", "t")).select("t", "h", "n", (F.col("pos") + 1).alias("pos"))
+    shared = tmp.keep(tokens.withColumn("members", F.count("*").over(token)).where("members > 1").drop("members"), "shared")
+    member = F.struct("at", "h", "n", "pos")
+    groups = (shared.join(classes.select("h", "at", "copies"), "h")
+                    .withColumn("hub", F.min(member).over(token))
+                    .withColumn("top", F.max(F.struct("copies", F.col("h").alias("by"), member.alias("m"))).over(token)["m"]))
+    groups = tmp.keep(groups, "groups")
 
     def hub_pairs(hub: str) -> DataFrame:
         a = F.col(hub)
@@ -105,20 +109,20 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                       .select(a["h"].alias("a"), F.col("h").alias("b")))
 
     names = groups.select("h", "at").distinct()
-    picked = materialize(bit_filter(names, "h", FILTER_BITS))
+    picked = tmp.keep(bit_filter(names, "h", FILTER_BITS), "picked")
     sets = (lines.where(in_filter(picked.scalar(), F.col("h"), FILTER_BITS)).withColumn("at", first)
                  .join(names.select("h", F.col("at").alias("own")), "h").where("at = own").dropDuplicates(["h"])
                  .select("h", "line"))
-    sets = written(_with_shingles(sets), "line-sets")
+    sets = tmp.keep(_with_shingles(sets), "sets")
 
     def similar(pairs: DataFrame) -> DataFrame:
         """The later lines of the pairs that are similar."""
         both = (pairs.join(sets.select(F.col("h").alias("a"), F.col("s").alias("sa")), "a")
                      .join(sets.select(F.col("h").alias("b"), F.col("s").alias("sb")), "b"))
-        shared = F.size(F.array_intersect("sa", "sb"))
-        return both.where(shared * (100 + PERCENT) >= PERCENT * (F.size("sa") + F.size("sb"))).select(F.col("b").alias("h")).distinct()
+        common = F.size(F.array_intersect("sa", "sb"))
+        return both.where(common * (100 + PERCENT) >= PERCENT * (F.size("sa") + F.size("sb"))).select(F.col("b").alias("h")).distinct()
 
-    near = materialize(similar(hub_pairs("hub").unionByName(hub_pairs("top")).distinct()))
+    near = tmp.keep(similar(hub_pairs("hub").unionByName(hub_pairs("top")).distinct()), "near")
     late = groups.where(F.col("hub.h") != F.col("h")).join(near, "h", "left_anti")
     x = late.select("t", F.col("h").alias("b"), F.col("at").alias("at_b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"), F.col("hub.h").alias("hub_h"))
     rest = (x.join(groups.select("t", F.col("h").alias("a"), "at", "n", "pos"), "t")
@@ -136,13 +140,14 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the remaining lines as text, and n_lines, n_removed (0 for a null text)."""
-    gone = removed_lines(docs, id_col, text_col).select(F.col("doc").alias("_doc"), F.col("th").alias("_th"), "gone")
-    keyed = (docs.withColumn("_doc", F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID))).withColumn("_th", F.xxhash64(F.col(text_col))))
-    both = keyed.join(gone.withColumnRenamed("gone", "_gone"), ["_doc", "_th"], "left")
+    doc, th, gone = (free_name(docs, c) for c in ("doc", "th", "gone"))
+    found = removed_lines(docs, id_col, text_col).select(F.col("doc").alias(doc), F.col("th").alias(th), F.col("gone").alias(gone))
+    keyed = docs.withColumn(doc, F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID))).withColumn(th, F.xxhash64(F.col(text_col)))
+    both = keyed.join(found, [doc, th], "left")
     all_ = F.split(F.col(text_col), "\n")
-    keep = F.array_except(F.sequence(F.lit(0), F.size(all_) - 1), F.col("_gone"))
-    both = both.withColumn("n_lines", F.when(F.col(text_col).isNull(), 0).otherwise(F.size(all_)).cast("long"))
-    both = both.withColumn("n_removed", F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long"))
+    keep = F.array_except(F.sequence(F.lit(0), F.size(all_) - 1), F.col(gone))
     left = F.array_join(F.transform(keep, lambda i: F.get(all_, i)), "\n")
-    both = both.withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(left))
-    return both.select(*[c for c in docs.columns if c not in ("n_lines", "n_removed")], "n_lines", "n_removed")
+    text = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(left)
+    rest = [text.alias(c) if c == text_col else F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return both.select(*rest, F.when(F.col(text_col).isNull(), 0).otherwise(F.size(all_)).cast("long").alias("n_lines"),
+                       F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).cast("long").alias("n_removed"))

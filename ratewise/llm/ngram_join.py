@@ -10,6 +10,7 @@ class and never compared.  The classes that links connect form components.
 2.  Candidates.  Two sets can link only if they share one of the rarest
     ``n - ceil(n * percent / 100) + 1`` n-grams of each.  These prefixes are
     dealt out by n-gram; an n-gram of one class alone is dropped.
+    So is what passes the length and position filters with no other.
 3.  Rounds.  In each group of classes that share a prefix n-gram, everyone is
     paired with one hub of a fitting size (first the smallest, then the
     largest), the pairs are verified, and links merge labels.  The last round
@@ -25,7 +26,8 @@ class and never compared.  The classes that links connect form components.
 
 Sets are made from 64-bit n-gram hashes.  Texts are scanned three times rather
 than stored again: for order and classes, for prefixes, and for the sets of the
-classes that have a candidate (a bitmap of fixed size says which).
+classes that have a candidate (a bitmap of fixed size says which).  The sets are
+stored in buckets by class, so no round shuffles them for its join.
 
 Defined results: a null text, or one without words, has no n-gram, size 0, and
 links with nothing; a text of fewer words than n is one n-gram; equal texts
@@ -34,6 +36,7 @@ one, a component's id is its smallest id that isn't null)."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import partial
 
@@ -42,18 +45,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import WordHashes, bitmap_of, in_bitmap, kernel, shingle_hashes, text_groups, written
+from ratewise.llm.common import Scratch, WordHashes, bitmap_of, in_bitmap, kernel, shingle_hashes, text_groups, written
 from ratewise.llm.components import components
 
-SKETCH_BITS = 20
-SEGMENT = 1 << 14
+SKETCH_BITS = 18
+SEGMENT = 1 << 13
 FILTER_BITS = 24
 GROUP_BYTES = 4 << 20
 TRIE_SETS = 256
+SMALL_GROUP = 64
+BUCKETS = 64
 
 
 def _sets(texts: list[str | None], hashes: WordHashes, n: int) -> list[np.ndarray]:
-    return [np.unique(shingle_hashes(hashes((t or "").encode().lower().split()), n)) for t in texts]
+    """The sorted n-gram set of each text; n-grams are hashed for all texts together."""
+    words = [(t or "").encode().lower().split() for t in texts]
+    flat = hashes([w for ws in words for w in ws])
+    grams = shingle_hashes(flat, n) if len(flat) >= n else flat[:0]
+    out, at = [], 0
+    for ws in words:
+        k = len(ws)
+        out.append(np.unique(grams[at:at + k - n + 1] if k >= n else shingle_hashes(flat[at:at + k], n)))
+        at += k
+    return out
 
 
 def _classes(sets: list[np.ndarray]) -> np.ndarray:
@@ -62,8 +76,13 @@ def _classes(sets: list[np.ndarray]) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(s.tobytes(), 7) for s in sets], np.uint64).view(np.int64)
 
 
-def _rare_first(s: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    return s[np.lexsort((s, counts[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))]
+def _counter(s: np.ndarray) -> np.ndarray:
+    return (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+
+
+def _rare_first(s: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The set in the global order: by rarity, then by hash."""
+    return s[np.argsort((rank[_counter(s)].astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8)), kind="stable")]
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -137,7 +156,8 @@ def _run_pairs(rows: tuple[np.ndarray, ...], percent: int, hubs: bool, down: boo
             small, big = np.minimum(size[at:], size[at]), np.maximum(size[at:], size[at])
             fits = 100 * small >= percent * big
             stop = len(fits) if fits.all() else int(np.argmin(fits))
-            ok = label[at:at + stop] != label[at]
+            bound = 1 + np.minimum(size[at:at + stop] - pos[at:at + stop], size[at] - pos[at])
+            ok = (label[at:at + stop] != label[at]) & (bound >= needed_overlap(size[at:at + stop], size[at], percent))
             right.append(cls[at:at + stop][ok])
             left.append(np.full(len(right[-1]), cls[at]))
             at += stop
@@ -154,6 +174,23 @@ def _run_pairs(rows: tuple[np.ndarray, ...], percent: int, hubs: bool, down: boo
     return np.concatenate(left or none), np.concatenate(right or none)
 
 
+def _with_partner(b: pa.RecordBatch, percent: int) -> pa.RecordBatch:
+    """Rows (sorted by h, n) that pass the length and position filters with another
+    row of their n-gram; groups over SMALL_GROUP rows are kept as they are."""
+    h, n, pos = (b.column(c).to_numpy() for c in ("h", "n", "pos"))
+    run = np.cumsum(np.concatenate([[False], h[1:] != h[:-1]]))
+    keep = np.bincount(run)[run] > SMALL_GROUP
+    for d in range(1, SMALL_GROUP):
+        i = np.flatnonzero((run[d:] == run[:-d]) & ~(keep[d:] & keep[:-d])) if d < len(run) else run[:0]
+        if not len(i):
+            break
+        j = i + d
+        bound = 1 + np.minimum(n[i] - pos[i], n[j] - pos[j])
+        ok = (100 * n[i] >= percent * n[j]) & (bound >= needed_overlap(n[i], n[j], percent))
+        keep[i[ok]] = keep[j[ok]] = True
+    return b.filter(pa.array(keep))
+
+
 def _pairs(batches: Iterator[pa.RecordBatch], percent: int, hubs: bool, down: bool) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (h, n, cls); the group at the end of a batch waits for the next."""
     names = ["cls", "n", "pos", "label"]
@@ -191,7 +228,7 @@ def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         return pa.RecordBatch.from_arrays([pa.array([at[0]] * len(hit), pa.int64()), pa.array(hit, pa.int64())], ["a", "b"])
 
     for batch in batches:
-        for start in range(0, batch.num_rows, 256):
+        for start in range(0, batch.num_rows, 256):  # sets become Python lists few at a time
             part = batch.slice(start, 256)
             for a, chunk, b, grams in zip(*(part.column(c).to_pylist() for c in ("a", "chunk", "b", "grams"))):
                 if (a, chunk) != at:
@@ -214,6 +251,12 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
                        text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
     spark = kernel(docs)
+    with Scratch(spark, "ngram-join") as tmp:
+        return written(_components_of(docs, n, percent, id_col, text_col, tmp), "ngram-components")
+
+
+def _components_of(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str, tmp: Scratch) -> DataFrame:
+    spark = docs.sparkSession
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
 
@@ -224,8 +267,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
         for b in text_groups(batches, "text", GROUP_BYTES):
             sets = _sets(b.column("text").to_pylist(), hashes, n)
             ids, id_type = b.column("doc_id"), b.column("doc_id").type
-            for s in sets:
-                np.add.at(counts, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
+            counts += np.bincount(_counter(np.concatenate(sets)), minlength=len(counts)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(_classes(sets)),
                                               pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), none)], names)
         for k, part in enumerate(counts.reshape(-1, SEGMENT)):
@@ -233,7 +275,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
                 yield pa.RecordBatch.from_arrays([pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()),
                                                   pa.array([part], none)], names)
 
-    scanned = written(src.mapInArrow(first_scan, f"doc_id {kind}, n long, cls long, segment int, counts array<int>"), "ngram-scan")
+    scanned = tmp.keep(src.mapInArrow(first_scan, f"doc_id {kind}, n long, cls long, segment int, counts array<int>"), "ngram-scan")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
@@ -280,28 +322,36 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
             keep = new & np.repeat(distinct > 1, np.diff(np.append(starts, len(h))))
             keep[tail:] = False
             if keep.any():
-                yield b.filter(pa.array(keep))
+                yield _with_partner(b.filter(pa.array(keep)), percent)
             held = b.slice(tail).filter(pa.array(new[tail:]))
         if held is not None and held.num_rows > 1:
-            yield held
+            yield _with_partner(held, percent)
 
-    groups = written(src.select("text").mapInArrow(prefixes, "h long, cls long, n int, pos int").repartition("h")
+    groups = tmp.keep(src.select("text").mapInArrow(prefixes, "h long, cls long, n int, pos int").repartition("h")
                         .sortWithinPartitions("h", "n", "cls").mapInArrow(shared_only, "h long, cls long, n int, pos int"), "ngram-groups")
 
-    names = groups.select("cls").distinct()
-    bits = spark.sparkContext.broadcast(bitmap_of(names, "cls", FILTER_BITS))
+    # the sets of one document of each class that is in a group
+    owners = (scanned.where("segment is null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
+                     .join(groups.select("cls").distinct(), "cls"))
+    owner = F.xxhash64("doc_id")
+    bits = spark.sparkContext.broadcast(bitmap_of(owners.select(F.col("cls").bitwiseXOR(owner).alias("k")), "k", FILTER_BITS))
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, rank = WordHashes(), rarity.value
         for b in text_groups(batches, "text", GROUP_BYTES):
             sets = _sets(b.column("text").to_pylist(), hashes, n)
             cls = _classes(sets)
-            keep = [i for i in np.unique(cls, return_index=True)[1] if len(sets[i]) and in_bitmap(bits.value, cls[i:i + 1], FILTER_BITS)[0]]
+            hit = in_bitmap(bits.value, cls ^ b.column("owner").to_numpy(), FILTER_BITS)
+            keep = [i for i in np.flatnonzero(hit) if len(sets[i])]
+            keep = [keep[k] for k in np.unique(cls[keep], return_index=True)[1]]
             lists = [_rare_first(sets[i], rank)[::-1].view(np.int64) for i in keep]  # most common first
             yield pa.RecordBatch.from_arrays([pa.array(cls[keep]), pa.array(lists, pa.list_(pa.int64()))], ["cls", "grams"])
 
-    grams = written(src.select("text").mapInArrow(wanted, "cls long, grams array<long>")
-                       .groupBy("cls").agg(F.first("grams").alias("grams")), "ngram-sets")
+    # bucketed by class: the joins of all rounds read it where it lies
+    table = f"ngram_sets_{uuid.uuid4().hex[:12]}"
+    (src.select(owner.alias("owner"), "text").mapInArrow(wanted, "cls long, grams array<long>")
+        .write.bucketBy(BUCKETS, "cls").option("path", tmp.path("ngram-sets")).saveAsTable(table))
+    grams = spark.table(table)
 
     links, labels = None, None
     for hubs, down in ((True, False), (True, True), (False, False)):
@@ -311,15 +361,16 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
                           .withColumn("label", F.coalesce("label", "cls")))
         pairs = (rows.select("h", "cls", "n", "pos", "label").repartition("h").sortWithinPartitions("h", "n", "cls")
                      .mapInArrow(partial(_pairs, percent=percent, hubs=hubs, down=down), "a long, b long").distinct())
-        pairs = written(pairs.withColumn("chunk", F.pmod(F.xxhash64("b"), F.lit(64))), "ngram-pairs")
-        records = pairs.join(grams.withColumnRenamed("cls", "b"), "b").select("a", "chunk", "b", "grams")
-        queries = (pairs.select("a", "chunk").distinct().join(grams.withColumnRenamed("cls", "a"), "a")
-                        .select("a", "chunk", F.lit(None).cast("long").alias("b"), "grams"))
-        found = (records.unionByName(queries).repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
-                        .mapInArrow(partial(_verify, percent=percent), "a long, b long"))
-        found = written(found, "ngram-links")
+        pairs = tmp.keep(pairs.withColumn("chunk", F.pmod(F.xxhash64("b"), F.lit(64))), "ngram-pairs")
+        roles = (pairs.select(F.col("b").alias("cls"), "a", "chunk", "b")
+                      .unionByName(pairs.select(F.col("a").alias("cls"), "a", "chunk", F.lit(None).cast("long").alias("b")).distinct()))
+        found = (roles.join(grams, "cls").select("a", "chunk", "b", "grams").repartition("a", "chunk")
+                      .sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
+                      .mapInArrow(partial(_verify, percent=percent), "a long, b long").distinct())
+        found = tmp.keep(found, "ngram-links")
         links = found if links is None else links.unionByName(found)
-        labels = components(links)
+        labels = components(links, tmp)
+    spark.sql(f"DROP TABLE {table}")
 
     docs_ = scanned.where("segment is null").select("doc_id", "n", "cls")
     known = docs_.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
