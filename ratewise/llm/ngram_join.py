@@ -11,9 +11,10 @@ class and never compared.  The classes that links connect form components.
     ``n - ceil(n * percent / 100) + 1`` n-grams of each.  These prefixes are
     dealt out by n-gram; an n-gram of one class alone is dropped.
     So is what passes the length and position filters with no other.
-3.  Rounds.  In each group of classes that share a prefix n-gram, everyone is
-    paired with one hub of a fitting size (first the smallest, then the
-    largest), the pairs are verified, and links merge labels.  The last round
+3.  Rounds.  In each group of classes that share a prefix n-gram, everyone has
+    one hub of a fitting size and another label (the smallest, then the
+    largest, then again the smallest); each class is paired with two of its
+    hubs at most, the pairs are verified, and links merge labels.  The last round
     pairs all that share an n-gram but still have different labels, by length
     and position filters.  A group of thousands of near copies costs one pair
     a member, because its members have one label after the first round; no
@@ -48,7 +49,7 @@ from pyspark.sql import functions as F
 from ratewise.llm.common import Scratch, WordHashes, bitmap_of, in_bitmap, kernel, shingle_hashes, text_groups, written
 from ratewise.llm.components import components
 
-SKETCH_BITS = 18
+SKETCH_BITS = 20
 SEGMENT = 1 << 13
 FILTER_BITS = 24
 GROUP_BYTES = 4 << 20
@@ -82,7 +83,7 @@ def _counter(s: np.ndarray) -> np.ndarray:
 
 def _rare_first(s: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """The set in the global order: by rarity, then by hash."""
-    return s[np.argsort((rank[_counter(s)].astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8)), kind="stable")]
+    return s[np.argsort((rank[_counter(s)].astype(np.uint64) << np.uint64(53)) | (s >> np.uint64(11)), kind="stable")]
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -97,48 +98,34 @@ def needed_overlap(a, b, percent: int):
 def walk_trie(query: list[int], records: list[list[int]], percent: int) -> list[int]:
     """Indices of the records that link with the query; all lists follow one global order.
 
-    A trie node is [children, least size, greatest size, records that end here].
-    The walk carries the overlap so far and the query items that were passed."""
-    root: list = [{}, 1 << 60, 0, []]
-    for i, rec in enumerate(records):
-        node, size = root, len(rec)
-        node[1], node[2] = min(node[1], size), max(node[2], size)
-        for x in rec:
-            child = node[0].get(x)
-            if child is None:
-                child = node[0][x] = [{}, size, size, []]
-            elif size < child[1]:
-                child[1] = size
-            elif size > child[2]:
-                child[2] = size
-            node = child
-        node[3].append(i)
-    at = {x: i + 1 for i, x in enumerate(query)}
+    The trie is the sorted list of the records: those that share a path are
+    neighbours, and the path's overlaps with the query, kept by depth, serve
+    them all.  A record is left, and with it every one below the same node, at
+    the depth where the lengths that remain can't reach the needed overlap."""
+    at = {x: i + 1 for i, x in enumerate(query)}.get
     nq, found = len(query), []
-    stack = [(root, 0, 0, 0)]
-    while stack:
-        node, depth, overlap, passed = stack.pop()
-        # chains need no stack
-        while True:
-            if node[3]:
-                size = depth
-                if overlap >= needed_overlap(nq, size, percent):
-                    found.extend(node[3])
-            if depth - overlap > node[2] - needed_overlap(nq, node[2], percent):
-                break  # too many misses even for the largest set below
-            if overlap + nq - passed < needed_overlap(nq, node[1], percent):
-                break  # too little of the query is left even for the smallest set below
-            children = node[0]
-            if len(children) == 1:
-                (x, node), = children.items()
-                depth += 1
-                if (p := at.get(x)):
-                    overlap, passed = overlap + 1, p
-                continue
-            for x, child in children.items():
-                p = at.get(x)
-                stack.append((child, depth + 1, overlap + 1, p) if p else (child, depth + 1, overlap, passed))
-            break
+    overlaps, passed = [0], [0]  # along the current path, by depth
+    path: list[int] = []
+    for i in sorted(range(len(records)), key=records.__getitem__):
+        rec = records[i]
+        size = len(rec)
+        need = needed_overlap(nq, size, percent)
+        spare, spare_q = size - need, nq - need  # what may be missed on either side
+        depth, known = 0, min(len(overlaps) - 1, size)
+        while depth < known and path[depth] == rec[depth]:
+            depth += 1
+        del overlaps[depth + 1:], passed[depth + 1:]
+        path = rec
+        o, p = overlaps[depth], passed[depth]
+        while depth < size and depth - o <= spare and p - o <= spare_q:
+            q = at(rec[depth])
+            if q:
+                o, p = o + 1, q
+            depth += 1
+            overlaps.append(o)
+            passed.append(p)
+        if depth == size and o >= need:
+            found.append(i)
     return found
 
 
@@ -289,8 +276,8 @@ def _components_of(docs: DataFrame, n: int, percent: int, id_col: str, text_col:
     counts = np.zeros((1 << SKETCH_BITS) // SEGMENT * SEGMENT, np.int64).reshape(-1, SEGMENT)
     for r in segments.collect():  # at most 2 ** SKETCH_BITS numbers
         counts[r["segment"]] = r["counts"]
-    # halves of a power of two are fine enough for an order
-    rarity = spark.sparkContext.broadcast(np.round(2 * np.log2(counts.ravel() + 1.0)).astype(np.uint8))
+    # steps of 2 percent, up to 2 ** 64
+    rarity = spark.sparkContext.broadcast(np.round(32 * np.log2(counts.ravel() + 1.0)).astype(np.uint16))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, rank = WordHashes(), rarity.value
@@ -354,13 +341,18 @@ def _components_of(docs: DataFrame, n: int, percent: int, id_col: str, text_col:
     grams = spark.table(table)
 
     links, labels = None, None
-    for hubs, down in ((True, False), (True, True), (False, False)):
+    for hubs, down in ((True, False), (True, True), (True, False), (False, False)):
         rows = groups.withColumn("label", F.col("cls"))
         if labels is not None:
             rows = (groups.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
                           .withColumn("label", F.coalesce("label", "cls")))
         pairs = (rows.select("h", "cls", "n", "pos", "label").repartition("h").sortWithinPartitions("h", "n", "cls")
-                     .mapInArrow(partial(_pairs, percent=percent, hubs=hubs, down=down), "a long, b long").distinct())
+                     .mapInArrow(partial(_pairs, percent=percent, hubs=hubs, down=down), "a long, b long"))
+        if hubs:  # of the hubs of all its groups, two for each class
+            ends = pairs.groupBy("b").agg(F.min("a").alias("low"), F.max("a").alias("high"))
+            pairs = ends.select("b", F.explode(F.array_distinct(F.array("low", "high"))).alias("a"))
+        else:
+            pairs = pairs.distinct()
         pairs = tmp.keep(pairs.withColumn("chunk", F.pmod(F.xxhash64("b"), F.lit(64))), "ngram-pairs")
         roles = (pairs.select(F.col("b").alias("cls"), "a", "chunk", "b")
                       .unionByName(pairs.select(F.col("a").alias("cls"), "a", "chunk", F.lit(None).cast("long").alias("b")).distinct()))
