@@ -334,10 +334,11 @@ def _components_of(docs: DataFrame, n: int, percent: int, id_col: str, text_col:
             lists = [_rare_first(sets[i], rank)[::-1].view(np.int64) for i in keep]  # most common first
             yield pa.RecordBatch.from_arrays([pa.array(cls[keep]), pa.array(lists, pa.list_(pa.int64()))], ["cls", "grams"])
 
-    # bucketed by class: the joins of all rounds read it where it lies
+    # bucketed by class, a file a bucket: the joins of all rounds read it where it lies
+    buckets = max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     table = f"ngram_sets_{uuid.uuid4().hex[:12]}"
-    (src.select(owner.alias("owner"), "text").mapInArrow(wanted, "cls long, grams array<long>")
-        .write.bucketBy(BUCKETS, "cls").option("path", tmp.path("ngram-sets")).saveAsTable(table))
+    (src.select(owner.alias("owner"), "text").mapInArrow(wanted, "cls long, grams array<long>").repartition(buckets, "cls")
+        .write.bucketBy(buckets, "cls").option("path", tmp.path("ngram-sets")).saveAsTable(table))
     grams = spark.table(table)
 
     links, labels = None, None
