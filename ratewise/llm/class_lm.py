@@ -8,14 +8,22 @@ Classes.  Words that make up at least 1 / ``CLUSTERED`` of the training tokens -
 at most ``CLUSTERED`` words, at any size of the corpus - are put into
 ``CLASSES`` classes by exchange clustering: from classes by frequency rank, each
 word in turn moves to the class that raises the likelihood of the training
-bigrams most.  All other words, also unknown ones, belong to one of ``ENDINGS``
-classes by their last two bytes, and the end of a text is a class of its own.
-Bigrams of symbols (clustered word, ending, end) are counted over all training
-documents in one scan; the rounds of the exchange work on that table, and only
-a words-by-classes matrix of bounded size reaches the driver.
-Scores.  One scan turns every text into its class sequence.  Counts of words
-that make up 1 / ``KNOWN`` of the tokens are at hand there (at most ``KNOWN``
-words); the others' counts are joined by word.
+bigrams most.  Bigrams of symbols (such a word, ending, end) are counted over
+all training documents in one scan; the rounds of the exchange work on that
+table, and only a words-by-classes matrix of bounded size reaches the driver.
+Every other word that occurs ``SEEN`` times or more in training - a set that
+grows with the corpus - starts in the class of its ending and moves to the class
+that fits its neighbours best, of all those of the exchange and of the endings as
+they then are: an occurrence between classes l and r adds the first-order gain of the
+bigram likelihood, log P(r | class) + log P(l before class), and the gains of
+all its occurrences are summed in an exchange by word.  Only words that occur
+less often, also unknown ones, stay in one of ``ENDINGS`` classes by their last
+two bytes; the end of a text is a class of its own.
+Scores.  One scan turns every text into its class sequence, a byte a token.
+Counts and classes of words that make up 1 / ``KNOWN`` of the tokens are at hand
+there (at most ``KNOWN`` words); the others are joined by word and filled in by
+place.  Class bigrams are counted over the sequences of the training texts, and
+the scores are read off the sequences.
 
 Probabilities are smoothed: transitions by ``ALPHA`` for each class, words by
 ``DELTA`` for each word of the class and one unknown word.
@@ -44,6 +52,7 @@ from pyspark.sql import functions as F
 from ratewise.llm.common import fold, kernel, text_groups, written
 
 CLUSTERED = 1 << 13
+SEEN = 5
 KNOWN = 1 << 17
 CLASSES = 64
 ENDINGS = 32
@@ -51,6 +60,7 @@ ROUNDS = 6
 ALPHA = 0.1
 DELTA = 0.1
 GROUP_BYTES = 6 << 20
+_OPEN = 255  # class of a word that isn't at hand
 
 
 def _words(texts: list[str | None]) -> list[list[bytes]]:
@@ -130,6 +140,23 @@ def exchange(rounds: int, classes: int, words: int, endings: int, contexts) -> t
     return best[1], best[2]
 
 
+def merits(pairs: np.ndarray, classes: int) -> np.ndarray | None:
+    """(left class * classes in all + right class, class) table of what a word's
+    occurrence between two classes adds to the log likelihood in each of the first
+    ``classes`` classes, in millionths (whole numbers: sums don't depend on their
+    order); None if these classes have no words."""
+    total = len(pairs)
+    n_out, n_in = pairs.sum(axis=1), pairs.sum(axis=0)
+    used = n_in[:classes] > 0
+    if not used.any():
+        return None
+    after = np.log((pairs[:classes] + ALPHA) / (n_out[:classes, None] + ALPHA * total))
+    before = np.log((pairs[:, :classes] + ALPHA) / (n_in[:classes] + ALPHA * total))
+    gain = np.rint(1e6 * (before[:, None, :] + after.T[None, :, :])).astype(np.int64)
+    gain[:, :, ~used] = -(1 << 40)
+    return gain.reshape(total * total, classes)
+
+
 def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
                     rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of
@@ -191,73 +218,163 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
         flat[got.column("cell").to_numpy()] = got.column("n").to_numpy()
         return tuple(flat.reshape(2, n_symbols, n_classes))
 
-    class_of, class_pairs = exchange(rounds, CLASSES, size, ENDINGS, contexts)
-    after = class_pairs.sum(axis=1, keepdims=True)
-    transition = np.log10((class_pairs + ALPHA) / (after + ALPHA * n_classes))
-    tokens_in = class_pairs.sum(axis=0)
-    # words of each class: of a clustered class its own, of an ending's class all others that end so
-    members = np.bincount(class_of[:size], minlength=n_classes).astype(float)
+    class_of, core_pairs = exchange(rounds, CLASSES, size, ENDINGS, contexts)
+    placed = context.broadcast((class_of, merits(core_pairs, CLASSES + ENDINGS)))
+
+    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The classes around each word outside the exchange, as left * n_classes + right."""
+        sym, class_of = shared.value, placed.value[0]
+        held: Counter = Counter()
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in held], pa.binary()), pa.array([k for _, k in held], pa.int32()),
+                                               pa.array(list(held.values()), pa.int64())], ["word", "cell", "n"])
+        for b in text_groups(batches, "text", GROUP_BYTES):
+            words = _words(b.column("text").to_pylist())
+            s, _ = sym.text_symbols(words)
+            c = class_of[s]
+            at = np.flatnonzero(s != sym.end)
+            other = np.flatnonzero(s[at] >= sym.size)
+            at = at[other]
+            flat = [w for ws in words for w in ws]
+            held.update(zip([flat[i] for i in other.tolist()], (c[at - 1] * n_classes + c[at + 1]).tolist()))
+            if len(held) > 400_000:
+                yield out()
+                held.clear()
+        yield out()
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Count and class of each word of rows sorted by word; the last word of a batch may go on in the next."""
+        gain = placed.value[1]
 
-    def endings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(words: list[bytes], n: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+            to = sums.argmax(axis=1)
+            for i in range(len(words)) if gain is None else np.flatnonzero(n < SEEN).tolist():
+                to[i] = CLASSES + _ending(words[i])
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n), pa.array(to, pa.int32())], ["word", "c", "class"])
+        rest: tuple = ([], np.zeros(0, np.int64), np.zeros((0, CLASSES + ENDINGS), np.int64))
         for b in batches:
-            n = np.bincount([_ending(w) for w in b.column("word").to_pylist()], minlength=ENDINGS)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(ENDINGS)), pa.array(n)], ["e", "n"])
-
-    for e, n in vocabulary.select("word").mapInArrow(endings, "e long, n long").groupBy("e").agg(F.sum("n")).collect():
-        members[CLASSES + e] = n
-    for w, _ in known[:size]:
-        members[CLASSES + _ending(w)] -= 1
-    floor = np.log10(tokens_in + DELTA * (members + 1))  # log of each class's denominator
-    base_floor = float(np.log10(n_train + 0.1 * (n_kinds + 1)))
-    counts = {w: c for w, c in known}
-    model = context.broadcast((counts, class_of, transition, floor))
+            if not b.num_rows:
+                continue
+            index = b.column("word").dictionary_encode().indices.to_numpy()
+            first = np.flatnonzero(np.diff(index, prepend=-1))
+            words, n = b.column("word").take(pa.array(first)).to_pylist(), b.column("n").to_numpy()
+            sums = np.zeros((len(first), CLASSES + ENDINGS), np.int64)
+            if gain is not None:
+                sums = np.add.reduceat(gain[b.column("cell").to_numpy()] * n[:, None], first)
+            n = np.add.reduceat(n, first)
+            if rest[0] and rest[0][0] == words[0]:
+                n[0] += rest[1][0]
+                sums[0] += rest[2][0]
+            elif rest[0]:
+                yield out(*rest)
+            if len(words) > 1:
+                yield out(words[:-1], n[:-1], sums[:-1])
+            rest = (words[-1:], n[-1:], sums[-1:])
+        if rest[0]:
+            yield out(*rest)
+
+    # no word outside the exchange makes up more than 1 / CLUSTERED of the rows
+    around = train.mapInArrow(occurrences, "word binary, cell int, n long").repartition("word").sortWithinPartitions("word")
+    others = written(around.mapInArrow(assign, "word binary, c long, class int"), "lm-classes")
+    members = np.bincount(class_of[:size], minlength=n_classes).astype(float)  # distinct words of each class
+    for r in others.groupBy("class").count().collect():
+        members[r["class"]] += r["count"]
+    near = others.where(F.col("c") * KNOWN >= n_train).collect()
+    index = {w: i for i, (w, _) in enumerate(known[:size])} | {bytes(r["word"]): size + i for i, r in enumerate(near)}
+    # the last entry is for words that aren't at hand
+    count_of = np.array([c for _, c in known[:size]] + [r["c"] for r in near] + [0], float)
+    place_of = np.array(class_of[:size].tolist() + [r["class"] for r in near] + [_OPEN], np.uint8)
+    model = context.broadcast((index, count_of, place_of))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each text (word null) and for each of its words whose count isn't at hand."""
-        sym, (counts, class_of, transition, floor) = shared.value, model.value
+        """A row for each text (word null) and for each of its words that isn't at hand."""
+        index, count_of, place_of = model.value
         row = TaskContext.get().partitionId() << 40
-        names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "word", "n"]
+        names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "own", "classes", "word", "place"]
         for b in text_groups(batches, "text", GROUP_BYTES):
             words = _words(b.column("text").to_pylist())
-            s, lengths = sym.text_symbols(words)
-            c = class_of[s]
-            first = np.cumsum(lengths) - lengths
+            lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+            last = np.cumsum(lengths)
+            first = last - lengths
             flat = [w for ws in words for w in ws]
-            n = np.insert(np.fromiter(map(counts.get, flat, repeat(-1)), np.float64, len(flat)), np.cumsum(lengths - 1), float(ends))
-            have = n >= 0
-            own = np.where(have, np.log10(np.maximum(n, 0) + 0.1), 0.0)  # DELTA and the base's 0.1 are one number
-            prev = class_of[_before(s, sym.end)]
-            score = np.add.reduceat(transition[prev, c] + own - floor[c], first)
-            base = np.add.reduceat(own, first) - lengths * base_floor
-            seen = np.add.reduceat((have & (n > 0)).astype(np.int64), first)
+            at = np.fromiter(map(index.get, flat, repeat(-1)), np.int64, len(flat))
+            cut = np.cumsum(lengths - 1)
+            n = np.insert(count_of[at], cut, float(ends))
+            c = np.insert(place_of[at], cut, n_classes - 1)
+            own = np.where(c != _OPEN, np.log10(n + 0.1), 0.0)  # DELTA and the base's 0.1 are one number
             rows = row + np.arange(len(words))
             row += len(words)
             k = len(words)
-            yield pa.RecordBatch.from_arrays([pa.array(rows), b.column("doc_id"), b.column("held_out"), pa.array(lengths), pa.array(seen),
-                                              pa.array(base), pa.array(score), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int64())], names)
-            owner, rare, times = [], [], []
-            for i, ws in enumerate(words):
-                for w, t in Counter(w for w in ws if w not in counts).items():
-                    owner.append(i)
-                    rare.append(w)
-                    times.append(t)
-            k = len(rare)
-            yield pa.RecordBatch.from_arrays([pa.array(rows[owner], pa.int64()), pa.nulls(k, b.column("doc_id").type), pa.nulls(k, pa.bool_()), pa.nulls(k, pa.int64()),
-                                              pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64()), pa.array(rare, pa.binary()),
-                                              pa.array(times, pa.int64())], names)
+            line = c.tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows), b.column("doc_id"), b.column("held_out"), pa.array(lengths), pa.array(np.add.reduceat((n > 0).astype(np.int64), first)),
+                 pa.array(np.add.reduceat(own, first)), pa.array([line[i:j] for i, j in zip(first.tolist(), last.tolist())], pa.binary()),
+                 pa.nulls(k, pa.binary()), pa.nulls(k, pa.int64())], names)
+            open_ = np.flatnonzero(c == _OPEN)
+            owner = np.searchsorted(last, open_, side="right")
+            k = len(open_)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows[owner], pa.int64()), pa.nulls(k, b.column("doc_id").type), pa.nulls(k, pa.bool_()), pa.nulls(k, pa.int64()),
+                 pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.binary()),
+                 pa.array([flat[i] for i in np.flatnonzero(at < 0).tolist()], pa.binary()), pa.array(open_ - first[owner], pa.int64())], names)
 
     kind = src.schema["doc_id"].dataType.simpleString()
-    scanned = written(src.mapInArrow(scan, f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, "
-                                           "score double, word binary, n long"), "lm-scan")
-    rare = (scanned.where("word is not null").select("row", "word", "n")
-                   .join(vocabulary.where(~(F.col("c") * KNOWN >= n_train)), "word", "left")
-                   .groupBy("row").agg(F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.1)).alias("own"),
-                                       F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more")))
-    return (scanned.where("word is null").drop("word", "n").join(rare, "row", "left")
-                   .select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-                           F.lit(n_train).cast("long").alias("train_tokens"),
-                           (F.col("base") + F.coalesce("own", F.lit(0.0))).alias("base_score"),
-                           (F.col("score") + F.coalesce("own", F.lit(0.0))).alias("score")))
+    scanned = written(src.mapInArrow(scan, f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, own double, "
+                                           "classes binary, word binary, place long"), "lm-scan")
+    ending = CLASSES + F.pmod(F.crc32(F.substring("word", -2, 2)), F.lit(ENDINGS))
+    rare = (scanned.where("word is not null").select("row", "word", "place")
+                   .join(others.where(~(F.col("c") * KNOWN >= n_train)), "word", "left")
+                   .select("row", "c", F.shiftleft("place", 8).bitwiseOR(F.coalesce("class", ending).cast("long")).alias("filled"))
+                   .groupBy("row").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + 0.1)).alias("more_own"),
+                                       F.sum(F.when(F.col("c") > 0, 1).otherwise(0)).alias("more"), F.collect_list("filled").alias("filled")))
+    joined = (scanned.where("word is null").drop("word", "place").join(rare, "row", "left")
+                     .select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
+                             (F.col("own") + F.coalesce("more_own", F.lit(0.0))).alias("own"), "classes", "filled"))
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            full = []
+            for line, filled in zip(b.column("classes").to_pylist(), b.column("filled")):
+                if filled.is_valid:
+                    line, got = np.frombuffer(line, np.uint8).copy(), filled.values.to_numpy()
+                    line[got >> 8] = got & 255
+                    line = line.tobytes()
+                full.append(line)
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(full, pa.binary())], [*b.schema.names[:5], "classes"])
+
+    lines = written(joined.mapInArrow(fill, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, own double, classes binary"), "lm-lines")
+
+    def class_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(n_classes * n_classes, np.int64)
+        for b in batches:
+            c = np.frombuffer(b"".join(b.column("classes").to_pylist()), np.uint8).astype(np.int64)
+            held += np.bincount(_before(c, n_classes - 1) * n_classes + c, minlength=len(held)) if len(c) else 0
+        cell = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(held[cell])], ["cell", "n"])
+
+    class_pairs = np.zeros(n_classes * n_classes)
+    for r in (lines.where("not held_out").select("classes").mapInArrow(class_bigrams, "cell long, n long")
+                   .groupBy("cell").agg(F.sum("n").alias("n")).collect()):
+        class_pairs[r["cell"]] = r["n"]
+    class_pairs = class_pairs.reshape(n_classes, n_classes)
+    transition = np.log10((class_pairs + ALPHA) / (class_pairs.sum(axis=1, keepdims=True) + ALPHA * n_classes))
+    floor = np.log10(class_pairs.sum(axis=0) + DELTA * (members + 1))  # log of each class's denominator
+    base_floor = float(np.log10(n_train + 0.1 * (n_kinds + 1)))
+    steps = context.broadcast(transition - floor)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            c = np.frombuffer(b"".join(b.column("classes").to_pylist()), np.uint8)
+            lengths = b.column("n_tokens").to_numpy()
+            own = b.column("own").to_numpy()
+            got = own + np.add.reduceat(steps.value[_before(c, n_classes - 1), c], np.cumsum(lengths) - lengths)
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(np.full(b.num_rows, n_train, np.int64)), pa.array(own - lengths * base_floor), pa.array(got)],
+                                             [*b.schema.names[:4], "train_tokens", "base_score", "score"])
+
+    return lines.mapInArrow(score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def held_out(id_col: Column) -> Column:

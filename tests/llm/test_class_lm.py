@@ -1,6 +1,7 @@
 """Class-based language model: base score against plain Python, exchange, smoothing, held-out gain."""
 
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -79,6 +80,27 @@ def test_exchange_finds_the_classes():
     assert len(set(class_of[0:10:2])) == 1 and len(set(class_of[1:10:2])) == 1
 
 
+def test_words_outside_the_exchange_get_classes_from_their_neighbours(spark, monkeypatch):
+    rng = random.Random(5)
+    monkeypatch.setattr(lm, "CLUSTERED", 40)
+    monkeypatch.setattr(lm, "KNOWN", 120)  # half of the words aren't at hand in the scan
+    tail = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))
+    names, verbs = ([f"{kind}{tail()}" for _ in range(120)] for kind in ("n", "v"))
+
+    def text(first, second):
+        return " ".join(w for _ in range(40) for w in ("the", rng.choice(first), "will", rng.choice(second)))
+    rows = [(i, False, text(names, verbs)) for i in range(100)]
+    rows += [(1000 + i, True, text(names, verbs)) for i in range(10)] + [(2000 + i, True, text(verbs, names)) for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, held boolean, text string").repartition(3)
+    got = {r.doc_id: r for r in lm.score_documents(docs, F.col("held")).collect()}
+    right = sum(got[1000 + i].score / got[1000 + i].n_tokens for i in range(10)) / 10
+    swapped = sum(got[2000 + i].score / got[2000 + i].n_tokens for i in range(10)) / 10
+    # classes by endings cannot tell the two kinds apart
+    assert right > swapped + 0.5
+    # the best any class model can do here: two certain words of four, two of 120 each
+    assert right > -0.5 * math.log10(120) - 0.1
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     assert lm.score_documents(docs.where("false"), lm.held_out(F.col("doc_id"))).count() == 0
