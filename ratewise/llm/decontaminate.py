@@ -1,4 +1,4 @@
-"""Benchmark decontamination with SimHash windows, in DataFrame operations only.
+"""Benchmark decontamination by exact window counts, in DataFrame operations only.
 
 A document is contaminated by a benchmark item when one of its windows of the
 item's number of words (the whole text, if that is shorter) has a weighted
@@ -8,22 +8,19 @@ words of a shorter window) and a shingle's weight is the number of times it
 occurs.  An item of fewer than five words is too short to be looked for inside
 longer texts; it matches a text of just these words.
 
-1.  Places.  A window without any shingle of an item can't be similar to one, so
-    each document's shingles pass filters of fixed size with those of all
-    items; documents without a hit go no further.  A hit at word p of a
-    document and at word q of an item of n words places a window of n words at
-    p - q.
-2.  Fingerprints.  Windows and items get a 64-bit SimHash of their weighted
-    shingles.
-3.  Multi-index.  The fingerprint is cut into ``RADIUS + 1`` blocks.  Two
-    fingerprints within ``RADIUS`` bits agree in a block at least, so an equal
-    join on (window size, block, value) finds every pair within the radius;
-    the distance is then checked.
-4.  The exact weighted similarity of the pairs that remain decides.
-
-At similarity 0.8 two fingerprints differ in 10 of 64 bits on average with a
-deviation of 3; a radius of 18 leaves out about one such pair in 500, and
-none of those that are closer to equal.
+1.  Hits.  Each document's shingles pass filters of fixed size with those of all
+    items; documents without a hit go no further.  Hits are joined to the items
+    that have the shingle, and all of a (document, item) pair meet in one task:
+    no more rows than the document has words.
+2.  Bound.  A window can't share more with the item than the whole document
+    does; pairs that cannot reach 0.8 go.
+3.  Intervals.  A shingle that the item has c times counts c times at most in a
+    window, so its j-th place in the document counts in the windows that
+    contain it and don't contain the (j - c)-th place: those that start within
+    one interval.  The number of intervals over a start is the exact weighted
+    overlap of its window, and one running sum over the ends of the intervals
+    gives it for every start.  No window is left out, in whatever order its
+    shingles are.
 
 Defined results: null texts, texts and items without words match nothing;
 items of equal text all match; ids of documents and items are kept as they
@@ -40,16 +37,9 @@ from ratewise.llm.native import as_literal, bit_filter, held, in_filter, shingle
 
 PERCENT = 80
 SHINGLE = 5
-RADIUS = 18
 FILTER_BITS = 20
 
 
-def _blocks() -> list[tuple[int, int]]:
-    """(first bit, number of bits) of RADIUS + 1 blocks that make up 64 bits."""
-    cuts = [64 * i // (RADIUS + 1) for i in range(RADIUS + 2)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
-
-
 def _hashed(rows: DataFrame, text: Column) -> DataFrame:
     """Adds n (words) and s (shingle hashes by place); rows without words go."""
     plain = F.btrim(F.lower(text), F.lit(" \t\n\x0b\x0c\r"))
@@ -57,20 +47,6 @@ def _hashed(rows: DataFrame, text: Column) -> DataFrame:
     return held(rows.withColumn("n", F.size("w")), "s", shingles("w", "n", SHINGLE)).drop("w")
 
 
-def _fingerprints(weights: DataFrame, key: list[str]) -> DataFrame:
-    """(key, total, fp) from (key, x, c): SimHash of the shingles x weighted by c."""
-    bits = [F.sum(F.when(F.getbit("x", F.lit(i)) == 1, F.col("c")).otherwise(-F.col("c"))).alias(f"b{i}") for i in range(64)]
-    sums = weights.groupBy(*key).agg(F.sum("c").alias("total"), *bits)
-    fp = F.lit(0).cast("long")
-    for i in range(64):
-        fp = fp.bitwiseOR(F.when(F.col(f"b{i}") > 0, F.shiftleft(F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
-    return sums.select(*key, "total", fp.alias("fp"))
-
-
-def _block_values(fp: Column) -> Column:
-    return F.array(*(F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << k) - 1).cast("long")) for a, k in _blocks()))
-
-
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc_id, th, item_id, start, n_words, similarity): each document (its id and text hash) and
@@ -90,41 +66,40 @@ def _matches(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item
     def picked(x: Column) -> Column:
         return in_filter(leading, x, FILTER_BITS) & in_filter(later, F.shiftleft(x, 32), FILTER_BITS)
 
-
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    texts = (_hashed(src, F.col("text")).withColumn("th", F.xxhash64("text")).drop("text")
-             .where(F.exists("s", picked)))
-    texts = tmp.keep(texts.withColumn("doc", F.xxhash64("doc_id", "th", "n")).dropDuplicates(["doc"]), "texts")
-
-    hits = (texts.select("doc", F.col("n").alias("words"), F.posexplode_outer("s").alias("p", "x"))
-                 .where(picked(F.col("x"))))
-    start = F.greatest(F.least(F.col("p") - F.col("q"), F.col("words") - F.col("n")), F.lit(0))
-    places = hits.join(parts, "x").select("doc", start.alias("start"), F.col("n").alias("size")).distinct()
-    width = F.least(F.col("size"), F.col("n")) - SHINGLE + 1
-    # a window under five words is one shingle, which a longer text has no list of
-    window = F.when(F.col("n") <= SHINGLE, F.col("s")).otherwise(F.slice("s", F.col("start") + 1, F.greatest(width, F.lit(1))))
-    weights = (places.join(texts.select("doc", "n", "s"), "doc").select("doc", "start", "size", F.explode(window).alias("x"))
-                     .groupBy("doc", "start", "size", "x").agg(F.count("*").alias("c")))
-    weights = tmp.keep(weights, "windows")
+    texts = _hashed(src, F.col("text")).select("doc_id", F.xxhash64("text").alias("th"), F.col("n").alias("words"), "s")
+    places = F.transform("s", lambda x, p: F.struct(p.alias("p"), x.alias("x")))
+    texts = held(texts, "hits", F.filter(places, lambda h: picked(h["x"]))).drop("s").where(F.size("hits") > 0)
+    texts = tmp.keep(texts.withColumn("doc", F.xxhash64("doc_id", "th", "words")).dropDuplicates(["doc"]), "texts")
     own = tmp.keep(parts.groupBy("item", "n", "x").agg(F.count("*").alias("c")), "weights")
 
-    windows = _fingerprints(weights, ["doc", "start", "size"])
-    prints = _fingerprints(own, ["item", "n"]).withColumnsRenamed({"fp": "item_fp", "total": "item_total"})
-    pairs = (windows.select("*", F.posexplode(_block_values(F.col("fp"))).alias("block", "value"))
-             .join(prints.select("*", F.col("n").alias("size"), F.posexplode(_block_values(F.col("item_fp"))).alias("block", "value")),
-                   ["size", "block", "value"])
-             .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
-             .select("doc", "start", "size", "total", "item", "item_total").distinct())
-    shared = (pairs.join(weights, ["doc", "start", "size"])
-                   .join(own.select("item", "x", F.col("c").alias("item_c")), ["item", "x"])
-                   .groupBy("doc", "start", "size", "total", "item", "item_total").agg(F.sum(F.least("c", "item_c")).alias("both")))
-    union = F.col("total") + F.col("item_total") - F.col("both")
-    best = Window.partitionBy("doc", "item").orderBy(F.desc("similarity"), "start")
-    found = (shared.where(100 * F.col("both") >= PERCENT * union).withColumn("similarity", F.col("both") / union)
-                   .withColumn("r", F.row_number().over(best)).where("r = 1"))
-    return (found.join(things.select("item", "item_id"), "item").join(texts.select("doc", "doc_id", "th", F.col("n").alias("words")), "doc")
-                 .select("doc_id", "th", "item_id", F.col("start").cast("long").alias("start"),
-                         F.least("size", "words").cast("long").alias("n_words"), "similarity"))
+    # all that follows is grouped within (doc, item), by one exchange
+    pair = ["doc", "item", "n", "words"]
+    hits = (texts.select("doc", "words", F.explode("hits").alias("h")).select("doc", "words", "h.*")
+                 .join(own, "x").repartition("doc", "item"))
+    at = hits.groupBy(*pair, "x", "c").agg(F.sort_array(F.collect_list("p")).alias("ps"))
+    size = F.least("n", "words")
+    width = F.greatest(size - SHINGLE + 1, F.lit(1))
+    both_sizes = width + F.greatest(F.col("n") - SHINGLE + 1, F.lit(1))
+
+    def enough(both: Column) -> Column:
+        return (100 + PERCENT) * both >= PERCENT * both_sizes
+
+    def interval(p: Column, j: Column) -> Column:
+        before = F.coalesce(F.get("ps", j - F.col("c").cast("int")), F.lit(-1))
+        return F.struct(F.greatest(p - width + 1, before + 1, F.lit(0)).alias("lo"), F.least(p, F.col("words") - size).alias("hi"))
+
+    at = (at.groupBy(*pair).agg(F.sum(F.least(F.size("ps"), "c")).alias("most"), F.collect_list(F.transform("ps", interval)).alias("spans"))
+            .where(enough(F.col("most"))).select(*pair, F.explode(F.flatten("spans")).alias("span")).where("span.lo <= span.hi"))
+    ends = F.array(F.struct(F.col("span.lo").alias("start"), F.lit(1).alias("step")), F.struct((F.col("span.hi") + 1).alias("start"), F.lit(-1).alias("step")))
+    steps = at.select(*pair, F.explode(ends).alias("e")).groupBy(*pair, F.col("e.start").alias("start")).agg(F.sum("e.step").alias("step"))
+    both = F.sum("step").over(Window.partitionBy(*pair).orderBy("start"))
+    best = (steps.withColumn("both", both).where(enough(F.col("both")))
+                 .groupBy(*pair).agg(F.max(F.struct("both", (-F.col("start")).alias("back"))).alias("b")))
+    found = best.select("doc", "item", (-F.col("b.back")).cast("long").alias("start"), size.cast("long").alias("n_words"),
+                        (F.col("b.both") / (both_sizes - F.col("b.both"))).alias("similarity"))
+    return (found.join(things.select("item", "item_id"), "item").join(texts.select("doc", "doc_id", "th"), "doc")
+                 .select("doc_id", "th", "item_id", "start", "n_words", "similarity"))
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

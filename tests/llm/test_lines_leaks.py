@@ -122,6 +122,26 @@ def test_leaks_equal_brute_force(spark):
     assert {r.doc_id for r in clean.collect()} == {i for i, _ in rows} - {i for i, _ in got}
 
 
+def leaks(spark, rows, items):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    table = spark.createDataFrame(items, "item_id long, text string")
+    return {(r.doc_id, r.item_id): r.similarity for r in decontaminate.contaminated(docs, table).collect()}
+
+
+def test_reordered_items_equal_brute_force(spark):
+    rng = random.Random(6)
+    some = lambda n: [f"v{rng.randrange(900)}" for _ in range(n)]
+    parts = [[some(n) for _ in range(k)] for n, k in [(25, 2), (30, 2), (40, 3), (40, 4), (28, 3), (60, 2)] * 4]
+    items = [(j, " ".join(w for p in ps for w in p)) for j, ps in enumerate(parts)]
+    rows = []
+    for j, ps in enumerate(parts):
+        w = [w for p in ps[1:] + ps[:1] for w in p]  # every part moved
+        rows.append((j, " ".join(some(rng.randrange(40)) + w + some(rng.randrange(40)))))
+    want = brute_leaks(rows, items)
+    assert (0, 0) in want and len(want) > 15
+    assert leaks(spark, rows, items) == pytest.approx(want)
+
+
 def test_leaks_empty_tables(spark):
     docs = spark.createDataFrame([(1, "some text of five words here"), (None, "some text of five words here")], "doc_id long, text string")
     items = spark.createDataFrame([(1, "some text of five words here")], "item_id long, text string")
