@@ -142,6 +142,18 @@ def test_reordered_items_equal_brute_force(spark):
     assert leaks(spark, rows, items) == pytest.approx(want)
 
 
+def test_repeated_shingles_equal_brute_force(spark):
+    rng = random.Random(7)
+    some = lambda n: [f"v{rng.randrange(9000)}" for _ in range(n)]
+    texts = [some(136) for _ in range(20)]
+    # a row of blanks in the item, one shingle twelve times, that the document has filled in
+    items = [(j, " ".join(w + ["_"] * 16)) for j, w in enumerate(texts)]
+    rows = [(j, " ".join(some(rng.randrange(9)) + w + some(16))) for j, w in enumerate(texts)]
+    want = brute_leaks(rows, items)
+    assert len(want) == 20
+    assert leaks(spark, rows, items) == pytest.approx(want)
+
+
 def test_leaks_empty_tables(spark):
     docs = spark.createDataFrame([(1, "some text of five words here"), (None, "some text of five words here")], "doc_id long, text string")
     items = spark.createDataFrame([(1, "some text of five words here")], "item_id long, text string")
