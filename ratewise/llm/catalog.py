@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewise.llm import (bpe_codec, class_lm, decontaminate, hard_negatives, language_crf, line_dedup, merkle, ngram_join,
-                          order_minhash, substring_dedup, token_counts, url_rules)
+                          order_minhash, substring_dedup, token_counts, toxicity, url_rules)
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -206,6 +206,16 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(_documents(spark, sf_dir), merkle.tampered(F.col("doc_id")), proofs=False)
 
 
+# -- 12: toxicity --------------------------------------------------------------------
+
+@_query("op12_toxicity")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole document after undoing disguises, learned from four folds of five."""
+    docs, out = _documents(spark, sf_dir), toxicity.held_out(F.col("doc_id"))
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~out)
+    return toxicity.score_documents(docs, model).select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
 # -- 13: hard-negative mining ---------------------------------------------------------
 
 OP13_SQL = """
