@@ -254,7 +254,7 @@ class Reader:
             self.odds_of.clear()
         tokens = text.split()
         left = set(tokens) - self.plain
-        for t in left - self.words.keys():
+        for t in [t for t in left if t not in self.words]:
             self._read(t, restored(t, self.model))
         found = {w for t in left if t in self.words for w in self.words[t]}
         for run in spaced_runs(tokens):
