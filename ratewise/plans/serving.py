@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ratewise.operators import serving
-from ratewise.operators.realtime import latest_per_user
+from ratewise.operators.realtime import latest_recommendations
 from ratewise.operators.stats import average_score, category_top_k
 from ratewise.plans.content import ITEM_TFIDF_VIEWS
 from ratewise.plans.realtime import CAND_SQL, RECENT_SQL, SCORED_SQL, SIM_VIEWS, shared_sim
@@ -95,10 +95,8 @@ WHERE rank <= {CATEGORY_K}"""})
 def coldstart_fallback(fx: Fixtures):
     """G7 + G8: users keep their real-time list (latest event); users
     without one get the top list of their preferred category."""
-    from ratewise.operators.realtime import realtime_recommendations
-    ev = fx.rating_events()
-    recs = realtime_recommendations(ev, shared_sim(fx))
-    latest = latest_per_user(recs, ev).select("uid", "mid", "score")
+    ev = fx.shared("events", fx.rating_events)
+    latest = latest_recommendations(ev, shared_sim(fx), fx.ratings()).select("uid", "mid", "score")
     users = fx.users().select("uid", F.array("pref_genre").alias("prefs"))
     users = users.select("uid", serving.preferred_category(F.col("prefs"), F.col("uid")).alias("pref"))
     top = category_top_k(fx.items(), average_score(fx.ratings()), fx.categories(), CATEGORY_K)

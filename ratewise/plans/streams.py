@@ -47,9 +47,9 @@ def stream_log_filter(fx: Fixtures):
 
 @query("stream_recent_k")
 def stream_recent_k(fx: Fixtures):
-    """H3 as keyed state (applyInPandasWithState), bounded queue per user."""
+    """H3 as keyed state (transformWithState), a bounded list per user."""
     for base, ev in _arriving(fx, "recent-k"):
-        out = jobs.run_to_table(jobs.recent_k_stream(jobs.rating_events_of(ev, _n_items(fx))), fx.spark, "recent-k", base)
+        out = jobs.recent_k_job(jobs.rating_events_of(ev, _n_items(fx)), fx.spark, base)
     return fx.spark.read.parquet(out).select("event_id", "pos", "rmid", "rscore")
 
 
@@ -62,10 +62,10 @@ WHERE e.event_id IN (SELECT event_id FROM (
        extra_views={**SIM_VIEWS, "rec": RECENT_SQL, "cand": CAND_SQL, "scored": SCORED_SQL})
 def stream_recs_upsert(fx: Fixtures):
     """H6 + B5 + H2: rating stream -> per-batch scoring -> per-user list upsert."""
-    sim = shared_sim(fx)
+    sim, stored = shared_sim(fx), fx.shared("stored", lambda: fx.ratings().select("uid", "mid").distinct())
     for base, ev in _arriving(fx, "stream-recs"):
-        out = jobs.stream_recs(jobs.rating_events_of(ev, _n_items(fx)), fx.spark, sim, base)
-    return fx.spark.read.parquet(out).select("uid", "mid", "score", "rank")
+        lists = jobs.stream_recs(jobs.rating_events_of(ev, _n_items(fx)), fx.spark, sim, base, stored)
+    return lists
 
 
 # the stream twins of batch queries share their oracle

@@ -144,3 +144,9 @@ def has_file(spark: SparkSession, path: str) -> bool:
     """True if ``path`` exists, in whatever store it lies."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of our own, in whatever store it lies."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -1,5 +1,10 @@
 """Structured Streaming jobs.
 
+What a user's earlier ratings leave behind lies in Spark's state store, keyed by
+user (``transformWithState``): a list of the newest ratings and a list of the rated
+items.  A micro-batch reads and writes the state of its own users only; scoring is the
+same set-based job as in batch, over the batch's events and what the state gives out.
+
 Sources are file streams (the same DataFrame API as a message-queue source,
 whose connector jar is not installed here).  A job lives in a folder that the
 caller names: its ``checkpoint`` and its tables.  Starting a job again on the
@@ -11,18 +16,18 @@ tests and the registered queries use ``availableNow``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ratewise.functions.columns import RATING_PREFIX, epoch_seconds, extract_after_prefix
-from ratewise.operators import maintain
 from ratewise.operators import realtime as rt
-from ratewise.session import has_file, list_subdirs, new_subdir
+from ratewise.session import list_subdirs, materialize, new_subdir, remove_folder
 
 BATCH_INTERVAL = "2 seconds"   # fixed value: the reference's batch interval
 
@@ -86,103 +91,163 @@ def run_to_table(stream: DataFrame, spark: SparkSession, name: str, base: str |
 
 
 # ---------------------------------------------------------------- H3 state
-RECENT_STATE_SCHEMA = "q_mid array<int>, q_score array<double>, q_ts array<long>, q_id array<long>"
-RECENT_OUT_SCHEMA = "event_id long, pos long, rmid int, rscore double"
+CONTEXT_SCHEMA = "kind string, event_id long, uid int, mid int, score double, ts long"
+EVENT, TAIL, RATED = "event", "tail", "rated"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+class UserRatings(StatefulProcessor):
+    """State of one user: the newest ``cap`` ratings (repeats kept) and, if
+    ``with_rated``, the distinct rated items.
+
+    For each micro-batch it gives out the batch's ratings (``event``), the newest ratings
+    before it (``tail``) and the items rated before it (``rated``, other columns null).
+    Batches of rows pass through whole; nothing is looked at row by row."""
+
+    def __init__(self, cap: int, with_rated: bool):
+        self.cap, self.with_rated = cap, with_rated
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.newest = handle.getListState("newest", "event_id long, mid int, score double, ts long")
+        self.rated = handle.getListState("rated", "mid int")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        uid, names = key[0], ["event_id", "mid", "score", "ts"]
+        tail = pd.DataFrame(list(self.newest.get()) if self.newest.exists() else [], columns=names)
+        if len(tail):
+            yield self._out(TAIL, uid, tail)
+        old = [r[0] for r in self.rated.get()] if self.with_rated and self.rated.exists() else []
+        if old:
+            yield self._out(RATED, uid, pd.DataFrame({"event_id": None, "mid": old, "score": None, "ts": None}))
+        fresh: set[int] = set()
+        for pdf in rows:
+            yield self._out(EVENT, uid, pdf[names])
+            tail = (pd.concat([tail, pdf[names]]) if len(tail) else pdf[names]).nlargest(self.cap, ["ts", "event_id"])
+            fresh.update(pdf["mid"].tolist())
+        self.newest.put([(int(e), int(m), float(s), int(t)) for e, m, s, t in tail.itertuples(index=False)])
+        if self.with_rated and (added := fresh.difference(old)):
+            self.rated.appendList([(int(m),) for m in sorted(added)])
+
+    @staticmethod
+    def _out(kind: str, uid: int, rows: pd.DataFrame) -> pd.DataFrame:
+        out = pd.DataFrame({"kind": kind, "event_id": rows["event_id"].astype("Int64"), "uid": uid, "mid": rows["mid"].astype("int32"),
+                            "score": rows["score"].astype("float64"), "ts": rows["ts"].astype("Int64")})
+        return out
+
+    def close(self) -> None:
+        pass
+
+
+def with_user_state(ratings: DataFrame, cap: int = rt.QUEUE_CAP, with_rated: bool = True) -> DataFrame:
+    """The rating stream with, per micro-batch, what the state knows of the batch's users."""
+    return ratings.groupBy("uid").transformWithStateInPandas(UserRatings(cap, with_rated), CONTEXT_SCHEMA, "append", "none")
+
+
+@contextmanager
+def _state_store(spark: SparkSession):
+    """The state store that ``transformWithState`` needs, while a query starts (it keeps its settings)."""
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, _ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_PROVIDER)
+        else:
+            spark.conf.set(_PROVIDER, before)
 
 
-def _recent_state_fn(k: int, cap: int):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            qm, qs, qt, qi = state.get
-            qm, qs, qt, qi = list(qm), list(qs), list(qt), list(qi)
-        else:
-            qm, qs, qt, qi = [], [], [], []
-        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"])
-        out_e, out_p, out_m, out_s = [], [], [], []
-        for eid, mid, score, ts in zip(batch["event_id"], batch["mid"], batch["score"], batch["ts"]):
-            # push newest first, keep at most ``cap`` (repeats kept)
-            qm.insert(0, int(mid)); qs.insert(0, float(score)); qt.insert(0, int(ts)); qi.insert(0, int(eid))
-            del qm[cap:], qs[cap:], qt[cap:], qi[cap:]
-            n = min(k, len(qm))
-            out_e.extend([int(eid)] * n); out_p.extend(range(n)); out_m.extend(qm[:n]); out_s.extend(qs[:n])
-        state.update((qm, qs, qt, qi))
-        yield pd.DataFrame({"event_id": pd.Series(out_e, dtype="int64"), "pos": pd.Series(out_p, dtype="int64"),
-                            "rmid": pd.Series(out_m, dtype="int32"), "rscore": pd.Series(out_s, dtype="float64")})
-    return fn
-
-
-def recent_k_stream(ratings: DataFrame, k: int = rt.RECENT_K, cap: int = rt.QUEUE_CAP) -> DataFrame:
-    """H3 as keyed state: one bounded queue (<= cap entries) per user; each
-    event emits the user's newest k ratings including itself.  Within a
-    micro-batch a user's events are applied in (ts, event_id) order."""
-    return ratings.groupBy("uid").applyInPandasWithState(
-        _recent_state_fn(k, cap), RECENT_OUT_SCHEMA, RECENT_STATE_SCHEMA, "append",
-        GroupStateTimeout.NoTimeout)
+def start_batches(stream: DataFrame, base: str, sink: Callable[[DataFrame, int], None], trigger_now: bool = True) -> StreamingQuery:
+    """Start ``sink`` on each micro-batch, resuming from ``base``/checkpoint."""
+    with _state_store(stream.sparkSession):
+        return _triggered(stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{base}/checkpoint"), trigger_now).start()
+
+
+def _parts(context: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(events, tail, rated) of a micro-batch, which is run once: its state isn't read again."""
+    rows = materialize(context)
+    cols = ["event_id", "uid", "mid", "score", "ts"]
+    return (rows.where(F.col("kind") == EVENT).select(*cols), rows.where(F.col("kind") == TAIL).select(*cols),
+            rows.where(F.col("kind") == RATED).select("uid", "mid"))
+
+
+class RecentLists:
+    """foreachBatch sink of H3: the newest k ratings at each event, as ``out/batch=<id>``.
+
+    A repeated batch writes its own folder again."""
+
+    def __init__(self, base: str, k: int = rt.RECENT_K):
+        self.out, self.k = f"{base}/out", k
+
+    def __call__(self, context: DataFrame, batch_id: int) -> None:
+        events, tail, _ = _parts(context)
+        lists = rt.recent_k(tail.unionByName(events), self.k).join(events.select("event_id"), "event_id", "left_semi")
+        lists.write.mode("overwrite").parquet(f"{self.out}/batch={batch_id}")
+
+
+def recent_k_job(ratings: DataFrame, spark: SparkSession, base: str | None = None, k: int = rt.RECENT_K, cap: int = rt.QUEUE_CAP) -> str:
+    """H3 over what there is now: one bounded list per user in the state; within a
+    micro-batch a user's events count in (ts, event_id) order.  Returns the table's path."""
+    base = base or new_subdir(spark, "recent-k")
+    start_batches(with_user_state(ratings, cap, with_rated=False), base, RecentLists(base, k)).awaitTermination()
+    return f"{base}/out"
 
 
 # ---------------------------------------------------------------- H6 / B5
 class RecsUpserter:
-    """foreachBatch sink of H6: score a micro-batch of ratings set-based
-    (H3-H5) against the rating history, then upsert each user's list (B5).
-
-    Tables live in the shared folder: ``history/batch=<id>`` (ratings seen so
-    far) and ``recs/v=<id>`` (versioned StreamRecs).  Re-running a batch id
-    overwrites exactly its own outputs, so a replay after a failure is
-    idempotent; the current list table is the highest committed version."""
-
-    def __init__(self, spark: SparkSession, sim: DataFrame, base: str):
-        self.spark = spark
-        self.sim = sim
-        self.base = base.rstrip("/")
-
-    def _versions(self, sub: str, key: str, before: int) -> list[int]:
-        names = list_subdirs(self.spark, f"{self.base}/{sub}")
-        ids = sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(key + "="))
-        # a folder counts once its write was committed
-        return [i for i in ids if i < before and has_file(self.spark, f"{self.base}/{sub}/{key}={i}/_SUCCESS")]
-
-    def history(self, before: int) -> DataFrame | None:
-        """Ratings of the committed batches before ``before``."""
-        done = self._versions("history", "batch", before)
-        if not done:
-            return None
-        return self.spark.read.parquet(*[f"{self.base}/history/batch={b}" for b in done])
-
-    def current(self, before: int) -> DataFrame | None:
-        """The latest list version committed before batch ``before``."""
-        v = self._versions("recs", "v", before)
-        return self.spark.read.parquet(f"{self.base}/recs/v={v[-1]}") if v else None
-
-    def latest(self) -> str:
-        v = self._versions("recs", "v", 1 << 62)
-        return f"{self.base}/recs/v={v[-1]}" if v else ""
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        ev = batch.select("event_id", "uid", "mid", "score", "ts")
-        users = ev.select("uid").distinct()
-        hist = self.history(batch_id)
-        if hist is not None:  # only the batch's users are scored
-            hist = hist.join(users, "uid", "left_semi")
-        recs = rt.realtime_recommendations(ev, self.sim, history=hist)
-        fresh = rt.latest_per_user(recs, ev).drop("event_id")
-        cur = self.current(batch_id)
-        new = fresh if cur is None else maintain.replace_lists(cur, fresh.select(*cur.columns), "uid", users)
-        # history first: a replayed batch rewrites both of its own folders
-        ev.write.mode("overwrite").parquet(f"{self.base}/history/batch={batch_id}")
-        new.write.mode("overwrite").parquet(f"{self.base}/recs/v={batch_id}")
-
-
-def start_recs(ratings: DataFrame, spark: SparkSession, sim: DataFrame, base: str,
+    """foreachBatch sink of H6: scores the batch's events (H3-H5) and writes the lists of
+    the batch's users (B5) to ``recs/batch=<id>``; a user whose latest event scores nothing
+    gets a row without an item.
+
+    A user's list is that of the highest batch that has the user, so a batch writes as many
+    rows as it has users, and a repeated batch writes its own folder again.  Every ``merge_every``
+    batches the folders are merged into the newest one."""
+
+    def __init__(self, spark: SparkSession, sim: DataFrame, base: str, stored: DataFrame | None = None, merge_every: int = 64):
+        self.spark, self.sim, self.stored, self.merge_every = spark, sim, stored, merge_every
+        self.recs = f"{base.rstrip('/')}/recs"
+
+    def __call__(self, context: DataFrame, batch_id: int) -> None:
+        events, tail, rated = _parts(context)
+        known = rated if self.stored is None else rated.unionByName(self.stored.select("uid", "mid"))
+        last = events.groupBy("uid").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("event_id"))
+        now = events.join(last.select("event_id"), "event_id", "left_semi")
+        before = tail.unionByName(events.join(last.select("event_id"), "event_id", "left_anti"))
+        lists = rt.realtime_recommendations(now, self.sim, rated=events, tail=before, stored=known)
+        fresh = last.select("uid").join(lists.select("uid", "mid", "score", "rank"), "uid", "left")
+        fresh.write.mode("overwrite").parquet(f"{self.recs}/batch={batch_id}")
+        if (batch_id + 1) % self.merge_every == 0:
+            self.merge(batch_id)
+
+    def merge(self, batch_id: int) -> None:
+        """The lists of all batches in the folder of ``batch_id``; older folders go afterwards
+        (until then their rows are only lower versions)."""
+        now = materialize(newest_lists(self.spark, self.recs, with_empty=True))
+        now.write.mode("overwrite").parquet(f"{self.recs}/batch={batch_id}")
+        for name in list_subdirs(self.spark, self.recs):
+            if name.startswith("batch=") and int(name.split("=")[1]) < batch_id:
+                remove_folder(self.spark, f"{self.recs}/{name}")
+
+
+def newest_lists(spark: SparkSession, recs: str, with_empty: bool = False) -> DataFrame:
+    """(uid, mid, score, rank): the current list of each user."""
+    rows = spark.read.parquet(recs)
+    newest = rows.groupBy("uid").agg(F.max("batch").alias("batch"))
+    rows = rows.join(newest, ["uid", "batch"], "left_semi").select("uid", "mid", "score", "rank")
+    return rows if with_empty else rows.where(F.col("mid").isNotNull())
+
+
+def start_recs(ratings: DataFrame, spark: SparkSession, sim: DataFrame, base: str, stored: DataFrame | None = None,
                trigger_now: bool = True) -> tuple[StreamingQuery, RecsUpserter]:
-    """Start H6 over a rating stream in the folder ``base`` (resuming what
-    is there); the sink knows the folder of the latest lists."""
-    sink = RecsUpserter(spark, sim, base)
-    w = ratings.writeStream.foreachBatch(sink).option("checkpointLocation", f"{base}/checkpoint")
-    return _triggered(w, trigger_now).start(), sink
+    """Start H6 over a rating stream in the folder ``base`` (resuming what is there)."""
+    sink = RecsUpserter(spark, sim, base, stored)
+    return start_batches(with_user_state(ratings), base, sink, trigger_now), sink
 
 
-def stream_recs(ratings: DataFrame, spark: SparkSession, sim: DataFrame, base: str | None = None) -> str:
-    """Run H6 over what there is now; returns the folder of the final lists."""
-    query, sink = start_recs(ratings, spark, sim, base or new_subdir(spark, "stream-recs"))
+def stream_recs(ratings: DataFrame, spark: SparkSession, sim: DataFrame, base: str | None = None,
+                stored: DataFrame | None = None) -> DataFrame:
+    """Run H6 over what there is now; returns the current lists."""
+    query, sink = start_recs(ratings, spark, sim, base or new_subdir(spark, "stream-recs"), stored)
     query.awaitTermination()
-    return sink.latest()
+    return newest_lists(spark, sink.recs)
