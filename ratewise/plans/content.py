@@ -3,6 +3,8 @@ E9, F1-F3, F9, F10, A13)."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -112,7 +114,7 @@ def factored_similarity(fx: Fixtures, threshold: float = ITEM_SIM_THRESHOLD):
     """D5 in factored form (members, vector pairs, member positions); the
     item vectors are built once and each part is materialised once per run;
     cos rounded to 6 digits as stored."""
-    from ratewise.operators.realtime import FactoredSim, member_positions
+    from ratewise.operators.realtime import FactoredSim, member_positions, neighbour_levels
 
     key = f"factored{threshold}"
     if key not in fx._memo:
@@ -124,7 +126,8 @@ def factored_similarity(fx: Fixtures, threshold: float = ITEM_SIM_THRESHOLD):
         same = m.select("vkey").distinct().select("vkey", F.col("vkey").alias("okey"), F.lit(1.0).alias("cos"))
         vs = fx.shared(key + "vs", lambda: pairs.select("vkey", "okey", F.round("cos", 6).alias("cos"))
                        .unionByName(same))
-        fx._memo[key] = FactoredSim(m, vs, fx.shared(key + "p", lambda: member_positions(m)))
+        fs = FactoredSim(m, vs, fx.shared(key + "p", lambda: member_positions(m)))
+        fx._memo[key] = replace(fs, levels=fx.shared(key + "l", lambda: neighbour_levels(fs)))
     return fx._memo[key]
 
 

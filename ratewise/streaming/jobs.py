@@ -97,51 +97,53 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
-class UserRatings(StatefulProcessor):
+def user_ratings(cap: int, with_rated: bool) -> StatefulProcessor:
     """State of one user: the newest ``cap`` ratings (repeats kept) and, if
     ``with_rated``, the distinct rated items.
 
     For each micro-batch it gives out the batch's ratings (``event``), the newest ratings
     before it (``tail``) and the items rated before it (``rated``, other columns null).
-    Batches of rows pass through whole; nothing is looked at row by row."""
-
-    def __init__(self, cap: int, with_rated: bool):
-        self.cap, self.with_rated = cap, with_rated
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.newest = handle.getListState("newest", "event_id long, mid int, score double, ts long")
-        self.rated = handle.getListState("rated", "mid int")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        uid, names = key[0], ["event_id", "mid", "score", "ts"]
-        tail = pd.DataFrame(list(self.newest.get()) if self.newest.exists() else [], columns=names)
-        if len(tail):
-            yield self._out(TAIL, uid, tail)
-        old = [r[0] for r in self.rated.get()] if self.with_rated and self.rated.exists() else []
-        if old:
-            yield self._out(RATED, uid, pd.DataFrame({"event_id": None, "mid": old, "score": None, "ts": None}))
-        fresh: set[int] = set()
-        for pdf in rows:
-            yield self._out(EVENT, uid, pdf[names])
-            tail = (pd.concat([tail, pdf[names]]) if len(tail) else pdf[names]).nlargest(self.cap, ["ts", "event_id"])
-            fresh.update(pdf["mid"].tolist())
-        self.newest.put([(int(e), int(m), float(s), int(t)) for e, m, s, t in tail.itertuples(index=False)])
-        if self.with_rated and (added := fresh.difference(old)):
-            self.rated.appendList([(int(m),) for m in sorted(added)])
-
-    @staticmethod
-    def _out(kind: str, uid: int, rows: pd.DataFrame) -> pd.DataFrame:
-        out = pd.DataFrame({"kind": kind, "event_id": rows["event_id"].astype("Int64"), "uid": uid, "mid": rows["mid"].astype("int32"),
-                            "score": rows["score"].astype("float64"), "ts": rows["ts"].astype("Int64")})
-        return out
-
-    def close(self) -> None:
-        pass
+    Batches of rows pass through whole; nothing is looked at row by row.  A class of
+    this function's own, it is sent to the processes that run it by value: Spark's driver-side
+    worker doesn't see files added to the session."""
+    event, last, old_item = EVENT, TAIL, RATED
+    names = ["event_id", "mid", "score", "ts"]
+
+    def out(kind: str, uid: int, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"kind": kind, "event_id": rows["event_id"].astype("Int64"), "uid": uid, "mid": rows["mid"].astype("int32"),
+                             "score": rows["score"].astype("float64"), "ts": rows["ts"].astype("Int64")})
+
+    class UserRatings(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.newest = handle.getListState("newest", "event_id long, mid int, score double, ts long")
+            self.rated = handle.getListState("rated", "mid int")
+
+        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+            uid = key[0]
+            tail = pd.DataFrame(list(self.newest.get()) if self.newest.exists() else [], columns=names)
+            if len(tail):
+                yield out(last, uid, tail)
+            old = [r[0] for r in self.rated.get()] if with_rated and self.rated.exists() else []
+            if old:
+                yield out(old_item, uid, pd.DataFrame({"event_id": None, "mid": old, "score": None, "ts": None}))
+            fresh: set[int] = set()
+            for pdf in rows:
+                yield out(event, uid, pdf[names])
+                tail = (pd.concat([tail, pdf[names]]) if len(tail) else pdf[names]).nlargest(cap, ["ts", "event_id"])
+                fresh.update(pdf["mid"].tolist())
+            self.newest.put([(int(e), int(m), float(s), int(t)) for e, m, s, t in tail.itertuples(index=False)])
+            if with_rated and (added := fresh.difference(old)):
+                self.rated.appendList([(int(m),) for m in sorted(added)])
+
+        def close(self) -> None:
+            pass
+
+    return UserRatings()
 
 
 def with_user_state(ratings: DataFrame, cap: int = rt.QUEUE_CAP, with_rated: bool = True) -> DataFrame:
     """The rating stream with, per micro-batch, what the state knows of the batch's users."""
-    return ratings.groupBy("uid").transformWithStateInPandas(UserRatings(cap, with_rated), CONTEXT_SCHEMA, "append", "none")
+    return ratings.groupBy("uid").transformWithStateInPandas(user_ratings(cap, with_rated), CONTEXT_SCHEMA, "append", "none")
 
 
 @contextmanager
@@ -211,11 +213,8 @@ class RecsUpserter:
     def __call__(self, context: DataFrame, batch_id: int) -> None:
         events, tail, rated = _parts(context)
         known = rated if self.stored is None else rated.unionByName(self.stored.select("uid", "mid"))
-        last = events.groupBy("uid").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("event_id"))
-        now = events.join(last.select("event_id"), "event_id", "left_semi")
-        before = tail.unionByName(events.join(last.select("event_id"), "event_id", "left_anti"))
-        lists = rt.realtime_recommendations(now, self.sim, rated=events, tail=before, stored=known)
-        fresh = last.select("uid").join(lists.select("uid", "mid", "score", "rank"), "uid", "left")
+        lists = rt.latest_recommendations(events, self.sim, known, tail)
+        fresh = events.select("uid").distinct().join(lists.select("uid", "mid", "score", "rank"), "uid", "left")
         fresh.write.mode("overwrite").parquet(f"{self.recs}/batch={batch_id}")
         if (batch_id + 1) % self.merge_every == 0:
             self.merge(batch_id)
