@@ -2,7 +2,9 @@
 
 Encoding uses the tiktoken library: the ranks come from a file on each worker,
 long texts are pre-split at safe boundaries (``common.safe_segments``), and no
-special token exists.  Decoding joins the raw bytes of the ids; those bytes
+special token exists.  A very long run of blanks is one match of the pattern, which
+the library's matcher can't hold; such a match is found here and given to the library as
+one piece.  Decoding joins the raw bytes of the ids; those bytes
 are the text exactly, also where a single id is no valid UTF-8.
 
 Defined results: a null text encodes like an empty one (no ids); null ids
@@ -12,6 +14,7 @@ columns other than those named are ignored."""
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,6 +27,8 @@ from ratewise.llm.common import kernel, safe_segments
 from ratewise.llm.token_counts import vocab_file
 
 SEGMENT_CHARS = 1 << 16
+#: Blanks as the pattern's matcher knows them (Unicode White_Space), in runs too long for it.
+_LONG_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
 
 
 @lru_cache(maxsize=2)
@@ -40,6 +45,18 @@ def _codec(ranks_file: str):
 
 
 def _encode_text(enc, text: str) -> list[int]:
+    ids: list[int] = []
+    start = 0
+    for run in _LONG_BLANKS.finditer(text) if len(text) >= 10_000 else ():
+        # the last blank before other text isn't part of the run's match
+        end = run.end() - (run.end() < len(text))
+        ids += _encode_parts(enc, text[start:run.start()])
+        ids += enc._core_bpe.encode_single_piece(text[run.start():end].encode())
+        start = end
+    return ids + _encode_parts(enc, text[start:]) if start else _encode_parts(enc, text)
+
+
+def _encode_parts(enc, text: str) -> list[int]:
     if len(text) <= SEGMENT_CHARS:
         return enc.encode_ordinary(text)
     ids: list[int] = []

@@ -17,13 +17,17 @@ training sequence, so switches are seen.  Half of the runs make the lexicon,
 the other half the weights.
 
 Applying.  One scan, no shuffle: an Arrow function labels whole texts, of any
-length, in groups of bounded size; a word's score is computed once per group
+length, in groups of about ``GROUP_BYTES``, the only part of a batch that is held
+as Python words; a word's score is computed once per group
 of words that are remembered, and forward-backward runs over all texts of a
 group side by side.
 
 Defined results: ``und`` and score 0 for a null text, a text without a letter,
 and everything if no labelled row exists; equal texts get equal results; rows
-are kept one to one; rows without a language are never learned from."""
+are kept one to one, also with null or equal ids; rows without a language are never
+learned from; a very long text is a group of its own, read whole; an empty table gives an
+empty result; further columns may have any name (``with_language`` keeps them, its own
+column is named by the caller)."""
 
 from __future__ import annotations
 
@@ -34,11 +38,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ratewise.llm.common import fold, kernel, words_of
+from ratewise.llm.common import fold, kernel, text_groups, words_of
 
 DOCS_PER_LANGUAGE = 200
 RUN_WORDS = 20
@@ -49,8 +55,8 @@ EPOCHS = 60
 UNKNOWN = "und"
 
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
-_GROUP_CHARS = 4_000_000
-_KNOWN_WORDS = 300_000
+GROUP_BYTES = 2 << 20
+_KNOWN_WORDS = 150_000
 
 
 def letter_words(text: str) -> list[str]:
@@ -152,15 +158,11 @@ class LanguageModel:
         langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
         if not self.languages:
             return langs, scores
-        at, group, size = [], [], 0
+        at, group = [], []
         for i, text in enumerate(texts):
             if text and (words := letter_words(text)):
                 at.append(i)
                 group.append(words)
-                size += len(text)
-            if group and (size >= _GROUP_CHARS or i == len(texts) - 1):
-                self._classify(at, group, langs, scores)
-                at, group, size = [], [], 0
         if group:
             self._classify(at, group, langs, scores)
         return langs, scores
@@ -262,23 +264,24 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return fit_runs(sample)
 
 
-def language_of(docs: DataFrame, model: LanguageModel, text: Column) -> Column:
-    """struct(lang_pred, score) of a text column of ``docs``."""
-    kernel(docs)
+def with_language(docs: DataFrame, model: LanguageModel, text_col: str = "text", name: str = "language") -> DataFrame:
+    """``docs`` with a struct(lang_pred, score) of each whole text in a new column."""
+    shared = kernel(docs).sparkContext.broadcast(model)
+    kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
-    @F.pandas_udf("lang_pred string, score double")
-    def classify(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            langs, scores = model.classify(texts.tolist())
-            yield pd.DataFrame({"lang_pred": langs, "score": scores})
+    def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text_groups(batches, text_col, GROUP_BYTES):
+            langs, scores = shared.value.classify(b.column(text_col).to_pylist())
+            found = pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, found], [*b.schema.names, name])
 
-    return classify(text)
+    return docs.mapInArrow(classify, T.StructType([*docs.schema.fields, T.StructField(name, kind)]))
 
 
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score) of every row of ``docs``."""
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return src.withColumn("p", language_of(src, model, F.col("text"))).select("doc_id", "p.lang_pred", "p.score")
+    return with_language(src, model, name="p").select("doc_id", "p.lang_pred", "p.score")
 
 
 def label_words(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -138,8 +138,9 @@ def _removed(lines: DataFrame, tmp: Scratch) -> DataFrame:
     return gone.groupBy("doc", "th").agg(F.collect_set("line_no").alias("gone"))
 
 
-def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the remaining lines as text, and n_lines, n_removed (0 for a null text)."""
+def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", names: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
+    """``docs`` with the remaining lines as text, and two new columns, by default n_lines and
+    n_removed (0 for a null text), which replace columns of these names."""
     doc, th, gone = (free_name(docs, c) for c in ("doc", "th", "gone"))
     found = removed_lines(docs, id_col, text_col).select(F.col("doc").alias(doc), F.col("th").alias(th), F.col("gone").alias(gone))
     keyed = docs.withColumn(doc, F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID))).withColumn(th, F.xxhash64(F.col(text_col)))
@@ -148,6 +149,6 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     keep = F.array_except(F.sequence(F.lit(0), F.size(all_) - 1), F.col(gone))
     left = F.array_join(F.transform(keep, lambda i: F.get(all_, i)), "\n")
     text = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(left)
-    rest = [text.alias(c) if c == text_col else F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
-    return both.select(*rest, F.when(F.col(text_col).isNull(), 0).otherwise(F.size(all_)).cast("long").alias("n_lines"),
-                       F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).cast("long").alias("n_removed"))
+    rest = [text.alias(c) if c == text_col else F.col(c) for c in docs.columns if c not in names]
+    return both.select(*rest, F.when(F.col(text_col).isNull(), 0).otherwise(F.size(all_)).cast("long").alias(names[0]),
+                       F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).cast("long").alias(names[1]))

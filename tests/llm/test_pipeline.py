@@ -5,6 +5,7 @@ import hashlib
 import duckdb
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import corpus_pipeline as cp
 from ratewise.llm import bpe_codec
@@ -79,6 +80,28 @@ def test_pipeline_on_odd_rows(spark, small):
         assert stage(spark, docs.where("false"), small).count() == 0, name
 
 
+def test_repeated_ids_own_columns_and_long_texts(spark, small):
+    """Equal ids with different texts, columns named like the stages' own, a text of 200,000 words."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    base = docs.where("doc_id < 9000 and n_chars > 600").orderBy("doc_id").first()
+    t, other = base.text.replace("\n", " "), docs.where("doc_id < 9000").orderBy(F.desc("doc_id")).first().text.replace("\n", " ")
+    long = " ".join(f"{w}{i % 977}" for i, w in enumerate((t.split() * (200_000 // len(t.split()) + 1))[:200_000]))
+    rows = [(1, t, "en", "s", 1, 77, "a"), (2, t, "en", "s", 1, 88, "b"), (2, other, "en", "s", 1, 99, "c"), (2, other, "en", "s", 1, 99, "c"),
+            (None, t, "en", "s", 1, 5, "d"), (3, long, "en", "s", 1, 6, "e"), (4, long + " end", "en", "s", 1, 7, "f"),
+            (5, f"{other[:400]} " + " \n" * 60_000 + t[:300], "en", "s", 1, 8, "g")]
+    odd = spark.createDataFrame(rows, T.StructType([*docs.schema.fields, T.StructField("n_removed", T.IntegerType()), T.StructField("kept_th", T.StringType())])).repartition(3)
+    joined = cp.ngram_jaccard(spark, odd, small)
+    assert joined.columns == odd.columns
+    assert sorted((r.doc_id, r.text == t, r.n_removed) for r in joined.collect()) == [(1, True, 77), (2, False, 99), (3, False, 6), (5, False, 8)]
+    lines = {(r.doc_id, r.text): r.n_removed for r in cp.line_dedup_stage(spark, odd, small).collect()}
+    assert set(lines.values()) <= {77, 88, 99, 5, 6, 7, 8} and lines[None, t] == 5 and (1, t) not in lines  # a null id sorts first
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, odd, small)
+        assert out.columns == odd.columns and out.where("doc_id = 3").count() == 1, name
+    got = {r.doc_id: r.decoded_sha256 for r in cp.byte_bpe(spark, odd.where("doc_id in (3, 5)"), small).collect()}
+    assert got[3] == hashlib.sha256(long.encode()).hexdigest() and got[5] == hashlib.sha256(rows[7][1].encode()).hexdigest()
+
+
 CONTRACTS = {
     1: {"page_id": "bigint", "host": "string", "path": "string", "rule": "string", "verdict": "string"},
     2: {"doc_id": "bigint", "n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"},
@@ -90,6 +113,9 @@ CONTRACTS = {
         "base_score": "double", "score": "double"},
     10: {"doc_id": "bigint", "n_chars": "bigint", "edited_sha256": "string", "fingerprint": "string", "edited_fingerprint": "string",
          "near_edited": "double", "near_next": "double"},
+    11: {"doc_id": "bigint", "leaf": "string", "subroot": "string", "root": "string", "proof_sha256": "string", "folded_root": "string", "verified": "boolean"},
+    12: {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+    13: {"anchor_id": "bigint", "positive_id": "bigint", "rank": "int", "negative_id": "bigint", "positive_score": "bigint", "negative_score": "bigint"},
 }
 
 
@@ -100,8 +126,8 @@ def test_registered_queries(spark, name):
     for column, kind in CONTRACTS.get(n, {}).items():
         assert dict(df.dtypes)[column] == kind
     rows = df.collect()
-    table = "pages" if n == 1 else "documents"
-    if n != 5:
+    table = {1: "pages", 13: "embeddings"}.get(n, "documents")
+    if n not in (5, 13):
         assert len(rows) == spark.read.parquet(f"{SF}/{table}.parquet").count()
     if name in LLM_ORACLE:
         con = duckdb.connect()

@@ -114,3 +114,19 @@ def test_bpe_round_trip(spark):
     assert token_counts.token_counts(empty).count() == 0
     nul = bpe_codec.decode(spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")).select(F.length("decoded")).first()[0]
     assert nul == 0
+
+
+@pytest.mark.parametrize("blank", [" ", "\n", "\t", " \n", "　", "\x85"])
+def test_bpe_of_long_blank_runs(blank):
+    """Runs that the library still takes give its ids; a run of a million characters is taken too."""
+    import tiktoken
+    enc = bpe_codec._codec("byte_bpe_50k.tiktoken")
+    assert isinstance(enc, tiktoken.Encoding)
+    run = blank * (20_000 // len(blank))
+    for text in (run, f"a{run}b", f"a{run}", f"{run}b", f"it's{run}1{run}{run}.", f"a{run} b{run[:9990]}c", f"x{run}\x1cy"):
+        assert bpe_codec._encode_text(enc, text) == enc.encode_ordinary(text)
+    huge = "begin" + blank * (1_000_000 // len(blank)) + "end"
+    ids = bpe_codec._encode_text(enc, huge)
+    assert enc.decode_bytes(ids) == huge.encode()
+    n = len(run) - 1  # a run of an even and of an odd number of blanks ends alike
+    assert ids[-2:] == enc.encode_ordinary(f"a{run}end")[-2:] and n
