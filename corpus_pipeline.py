@@ -9,7 +9,8 @@ again as the next one's input; all but the last return the columns of
 ``documents``.
 
 Defined results: null and empty texts leave at the first stage; rows of equal
-id are judged by their own text, and of equal rows one stays after the join."""
+id are judged by their own text, and of equal rows one stays after the join; very long texts
+are read whole by every stage; further columns, of any name, are kept up to the last stage."""
 
 from __future__ import annotations
 
@@ -30,27 +31,32 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The model learns from a bounded sample of the labelled documents."""
     model = language_crf.fit(docs)
     name = free_name(docs, "language")
-    judged = docs.withColumn(name, language_crf.language_of(docs, model, F.col("text")))
+    judged = language_crf.with_language(docs, model, name=name)
     found = (F.col(f"{name}.lang_pred") != language_crf.UNKNOWN) & (F.col(f"{name}.score") >= MIN_SCORE)
     return judged.where(found).select(*docs.columns)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes out lines that are like an earlier line; documents left without a word go."""
-    clean = line_dedup.clean_lines(docs)
-    left = clean.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    n_lines, n_removed = free_name(docs, "n_lines"), free_name(docs, "n_removed")
+    clean = line_dedup.clean_lines(docs, names=(n_lines, n_removed))
+    left = clean.where((F.col(n_removed) == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each component of near copies: the one of smallest id."""
-    kept_id, th, row = (free_name(docs, c) for c in ("kept_id", "th", "row"))
-    kept = (ngram_join.jaccard_components(docs).where(F.col("component_id").isNull() | (F.col("component_id") == F.col("doc_id")))
-                      .select(F.col("doc_id").alias(kept_id)).distinct())
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col(kept_id)), "left_semi")
+    """Keeps one document of each component of near copies: the one of smallest id (a null id
+    counts as the largest), and of equal ids that of the smallest text hash."""
+    none, kept_id, th, row = (free_name(docs, c) for c in ("none", "kept_id", "th", "row"))
+    # a document is an id with a text: a repeated id is judged by each of its texts
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("th")).alias("key")
+    found = ngram_join.jaccard_components(docs.select(key, "text"), id_col="key")
+    kept = found.where("component_id = doc_id").select(F.col("doc_id.none").alias(none), F.col("doc_id.doc_id").alias(kept_id),
+                                                       F.col("doc_id.th").alias("kept_th")).distinct()
+    rows = docs.withColumn(th, F.xxhash64("text"))
+    same = rows["doc_id"].eqNullSafe(kept[kept_id]) & (rows[th] == kept["kept_th"])
     one = Window.partitionBy("doc_id", th).orderBy(*(F.col(c) for c in docs.columns if c != "text"))
-    return (rows.withColumn(th, F.xxhash64("text")).withColumn(row, F.row_number().over(one)).where(F.col(row) == 1)
-                .select(*docs.columns))
+    return rows.join(kept, same, "left_semi").withColumn(row, F.row_number().over(one)).where(F.col(row) == 1).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
