@@ -31,7 +31,6 @@ column is named by the caller)."""
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -44,7 +43,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratewise.llm.common import fold, kernel, text_groups, words_of
+from ratewise.llm.common import fold, kernel, mix, text_groups, words_of
 
 DOCS_PER_LANGUAGE = 200
 RUN_WORDS = 20
@@ -55,21 +54,47 @@ EPOCHS = 60
 UNKNOWN = "und"
 
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
-GROUP_BYTES = 2 << 20
-_KNOWN_WORDS = 150_000
+GROUP_BYTES = 4 << 20
+_KNOWN_WORDS = 300_000
 
 
 def letter_words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def _features(word: str, lexicon: dict[str, int]) -> list[int]:
-    edge = f"<{word}>"
-    names = [f"n{edge[i:i + k]}" for k in (2, 3) for i in range(len(edge) - k + 1)]
-    names += [f"p{word[:k]}" for k in (1, 2, 3, 4) if k <= len(word)]
-    names += [f"s{word[-k:]}" for k in (1, 2, 3, 4) if k <= len(word)]
-    names.append(f"l{lexicon.get(word, -1)}")
-    return [zlib.crc32(n.encode()) % FEATURES for n in names]
+def _features(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(owner, feature) of all features of all words: letter n-grams of two and three with the word's
+    edges, prefixes and suffixes of one to four letters, the lexicon's entry."""
+    n = len(words)
+    c = np.frombuffer("".join([f"<{w}>" for w in words]).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    size = np.fromiter(map(len, words), np.int64, n)
+    first = np.cumsum(size + 2) - size - 1  # place of each word's first letter
+    owner = np.repeat(np.arange(n), size + 2)
+    owners, hashes = [], []
+
+    def put(own: np.ndarray, kind: int, starts: np.ndarray, k: int) -> None:
+        h = np.full(len(starts), np.uint64(kind))
+        for j in range(k):
+            h = mix(h * np.uint64(31) + c[starts + j])
+        owners.append(own)
+        hashes.append(h)
+    for k in (2, 3):
+        at = np.flatnonzero(owner[:max(0, len(owner) - k + 1)] == owner[k - 1:]) if len(owner) >= k else owner[:0]
+        put(owner[at], k, at, k)
+    for k in (1, 2, 3, 4):
+        long = np.flatnonzero(size >= k)
+        put(long, 10 + k, first[long], k)
+        put(long, 20 + k, first[long] + size[long] - k, k)
+    entry = np.fromiter((lexicon.get(w, -1) for w in words), np.int64, n)
+    owners.append(np.arange(n))
+    hashes.append(mix(np.uint64(1 << 40) + (entry + 1).astype(np.uint64)))
+    return np.concatenate(owners), (np.concatenate(hashes) % np.uint64(FEATURES)).astype(np.int64)
+
+
+def _word_scores(words: list[str], lexicon: dict[str, int], weights: np.ndarray) -> np.ndarray:
+    """The sum of the weights of each word's features, a row a word."""
+    owner, flat = _features(words, lexicon)
+    return np.stack([np.bincount(owner, weights[flat, k], len(words)) for k in range(weights.shape[1])], axis=1).astype(np.float32)
 
 
 def forward_backward(potential: np.ndarray, trans: np.ndarray, start: np.ndarray, offsets: np.ndarray,
@@ -136,10 +161,7 @@ class LanguageModel:
             self.known, self.scores = {}, None
             new = list(set(words))
         if new:
-            feats = [_features(w, self.lexicon) for w in new]
-            ends = np.cumsum([0, *map(len, feats)])[:-1]
-            flat = np.fromiter((i for f in feats for i in f), np.int64)
-            rows = np.add.reduceat(self.weights[flat], ends, axis=0)
+            rows = _word_scores(new, self.lexicon, self.weights)
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
             self.scores = rows if self.scores is None else np.concatenate([self.scores, rows])
         return self.scores[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))]
@@ -212,10 +234,10 @@ def fit_runs(runs: list[tuple[str, list[str]]], epochs: int = EPOCHS) -> Languag
     kinds = sorted(set(words))
     place = {w: i for i, w in enumerate(kinds)}
     token = np.array([place[w] for w in words])
-    feats = [_features(w, lexicon) for w in kinds]
-    ends = np.cumsum([0, *map(len, feats)])[:-1]
-    flat = np.array([i for f in feats for i in f])
-    owner = np.repeat(np.arange(len(kinds)), [len(f) for f in feats])
+    owner, flat = _features(kinds, lexicon)
+    by_word = np.argsort(owner, kind="stable")
+    owner, flat = owner[by_word], flat[by_word]
+    ends = np.flatnonzero(np.diff(owner, prepend=-1))
     hot = np.eye(n)[gold]
     inner = np.ones(len(words), bool)
     inner[offsets] = False
