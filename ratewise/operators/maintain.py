@@ -7,9 +7,14 @@ one write per row.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratewise.operators.ranking import ordered_join
+from ratewise.session import new_subdir
+
 
 def publish(df: DataFrame, path: str, key: str | None = None, mode: str = "overwrite") -> None:
     """B1/B2 (+B3 layout): full overwrite of a derived table.
@@ -29,6 +34,22 @@ def publish_all(tables: dict[str, DataFrame], base: str, keys: dict[str, str] |
         publish(df, f"{base.rstrip('/')}/{name}", keys.get(name))
 
 
+def publish_keyed(df: DataFrame, name: str, key: str, buckets: int = 32) -> DataFrame:
+    """A table in ``buckets`` files by a hash of ``key``, each sorted on it, in the shared folder.
+
+    A join or aggregation on the key reads it where it lies, without an exchange; a lookup of one key
+    reads one bucket, and of that the row groups whose range holds the key.  The table's
+    catalog entry carries the layout; it is gone once the plan is made, the files stay."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex[:12]}"
+    (df.repartition(buckets, key).sortWithinPartitions(key).write.bucketBy(buckets, key).sortBy(key)
+       .option("path", new_subdir(spark, f"keyed-{name}")).saveAsTable(table))
+    out = spark.table(table)
+    out.schema
+    spark.sql(f"DROP TABLE {table}")
+    return out
+
+
 def lookup(table: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """Rows of ``table`` whose key is in ``keys`` (a semi join; a
     single literal key is the special case ``where(key == lit)``)."""
@@ -65,12 +86,9 @@ def append_tags(index: DataFrame, new_tags: DataFrame) -> DataFrame:
     """Append new tags to the index field ``tags`` of each item.
 
     ``tags = tags IS NULL ? new : tags || '|' || new``, duplicates kept,
-    new tags in write order (ts, tag).  The per-item list is built by
-    ``collect_list`` - one item's own tags, the same granularity the index
-    field holds."""
-    appended = (new_tags.groupBy("mid")
-                .agg(F.array_sort(F.collect_list(F.struct("ts", "tag"))).alias("_l"))
-                .select("mid", F.array_join(F.transform("_l", lambda s: s["tag"]), "|").alias("_new")))
+    new tags in write order (ts, tag).  A much tagged item's new tags are joined
+    in chunks first (``ranking.ordered_join``)."""
+    appended = ordered_join(new_tags, "mid", ["ts", "tag"], "tag", "|").withColumnRenamed("joined", "_new")
     return (index.join(appended, "mid", "left")
             .select("mid", F.when(F.col("_new").isNull(), F.col("tags"))
                     .when(F.col("tags").isNull(), F.col("_new"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratewise.session import materialize
+
 _LOW_BITS = (1 << 33) - 1
 
 
@@ -35,6 +37,32 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "rn",
                   .drop("_mid", "_pid", "_pos", "_off"))
 
 
+def place_in_group(df: DataFrame, key: str, order: list, name: str = "place") -> DataFrame:
+    """The place of each row within its key from 0, without a window over the key: a
+    distributed row number less the key's first one.  ``order`` must break all ties but
+    those of equal rows."""
+    order = [F.col(c) if isinstance(c, str) else c for c in order]
+    numbered = materialize(global_row_number(df, [F.col(key).asc(), *order], "_n"))
+    first = numbered.groupBy(key).agg(F.min("_n").alias("_first"))
+    return numbered.join(first, key).withColumn(name, F.col("_n") - F.col("_first")).drop("_n", "_first")
+
+
+def ordered_chunks(df: DataFrame, key: str, order: list, value: Column, chunk: int = 4096) -> DataFrame:
+    """(key, chunk, values): each key's values in order, in arrays of at most ``chunk``, so no task
+    gathers the rows of one key."""
+    placed = place_in_group(df, key, order)
+    pair = F.struct("place", value.alias("value"))
+    return (placed.groupBy(key, F.floor(F.col("place") / chunk).alias("chunk"))
+                  .agg(F.transform(F.array_sort(F.collect_list(pair)), lambda x: x["value"]).alias("values")))
+
+
+def ordered_join(df: DataFrame, key: str, order: list, column: str, sep: str, chunk: int = 4096) -> DataFrame:
+    """(key, joined): each key's values as one string, joined chunk by chunk."""
+    parts = ordered_chunks(df, key, order, F.col(column), chunk).select(key, "chunk", F.array_join("values", sep).alias("text"))
+    whole = F.transform(F.array_sort(F.collect_list(F.struct("chunk", "text"))), lambda x: x["text"])
+    return parts.groupBy(key).agg(F.array_join(whole, sep).alias("joined"))
+
+
 def top_k_per_group(df: DataFrame, keys: list[str], order: list[Column], k: int,
                     rank_col: str = "rank") -> DataFrame:
     """Grouped top-k: ``row_number() <= k``.  Catalyst plans this with

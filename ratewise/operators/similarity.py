@@ -11,11 +11,11 @@ Sparse vectors (TF-IDF): exact, candidate pairs by prefix filtering.
   their exact dot product from a join on (pair, term).
 
 Dense vectors (embeddings, factors, word vectors): exact, block kernel.
-  Rows are hashed into blocks of bounded size, each block is packed into
-  one row, block pairs are formed by an equi-join on generated block ids,
-  and one task multiplies two blocks with numpy and emits only pairs above
-  the threshold (or each row's top-k).  Memory per task: two blocks.  The
-  work is the inherent n^2/2 dot products of an exact all-pairs search.
+  Equal vectors are one class.  Classes are gathered around pivots (a bounded
+  number of them) into blocks of bounded size, each packed into one row; two blocks
+  meet only if the angle between their pivots, less both radii, leaves a cosine that
+  counts (over the threshold, or over a row's k-th best).  One task multiplies two blocks
+  with numpy.  Memory per task: two blocks.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratewise.operators.ranking import global_row_number
 from ratewise.session import materialize
 
 BLOCK_ROWS = 2048
@@ -35,12 +36,12 @@ BLOCK_ROWS = 2048
 # --------------------------------------------------------------------------
 # sparse
 # --------------------------------------------------------------------------
-def normalise_sparse(weights: DataFrame, id_col: str) -> DataFrame:
+def normalise_sparse(weights: DataFrame, id_col: str, payload: str | None = None) -> DataFrame:
     """(id, term, w) -> (id, term, x = w / ||w||); zero vectors dropped
-    (Q1: a zero vector has no defined cosine)."""
+    (Q1: a zero vector has no defined cosine).  A ``payload`` column is kept."""
     norms = weights.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
     return (weights.join(norms.where(F.col("_norm") > 0), id_col)
-            .select(id_col, "term", (F.col("w") / F.col("_norm")).alias("x"))
+            .select(id_col, *([payload] if payload else []), "term", (F.col("w") / F.col("_norm")).alias("x"))
             .where(F.col("x") != 0))
 
 
@@ -93,64 +94,113 @@ def cosine_pairs_sparse(left: DataFrame, right: DataFrame | None, left_id: str,
     return dots
 
 
-def _sparse_blocks(unit: DataFrame, id_col: str, block_rows: int):
-    """Normalised sparse rows packed into hash blocks of bounded size: one
-    row per block holding (id, terms, values) per vector."""
-    # materialised once: read for its size and for the blocks
-    per_vec = materialize(unit.groupBy(id_col).agg(F.collect_list("term").alias("t"),
-                                                   F.collect_list("x").alias("x")))
-    n = per_vec.count()
-    nb = F.lit(max(1, -(-n // block_rows)))
-    tagged = per_vec.withColumn("b", F.pmod(F.xxhash64(F.col(id_col).cast("string")), nb).cast("int"))
-    packed = tagged.groupBy("b").agg(F.collect_list(F.struct(F.col(id_col).cast("string").alias("id"),
-                                                             "t", "x")).alias("rows"))
-    return packed, nb
-
+#: Terms of one slice of a pair of blocks: a dense piece holds rows x this many numbers.
+TERM_SLICE = 4096
 
-def _densify(rows, vocab: np.ndarray) -> tuple[list, np.ndarray]:
-    ids = [r["id"] for r in rows]
-    mat = np.zeros((len(rows), len(vocab)), dtype=np.float64)
-    for i, r in enumerate(rows):
-        cols = np.searchsorted(vocab, np.asarray(r["t"], dtype=object).astype(str))
-        np.add.at(mat[i], cols, np.asarray(r["x"], dtype=np.float64))
-    return ids, mat
 
-
-def _sparse_block_kernel(threshold: float):
+def _sparse_blocks(unit: DataFrame, id_col: str, block_rows: int, rank: DataFrame, payload: str | None):
+    """Normalised sparse rows packed into hash blocks of bounded size, with terms as
+    numbers: one row per block holding (id, terms, values, payload) per vector."""
+    cols = [id_col] + ([payload] if payload else [])
+    per_vec = unit.join(rank.select("term", "tid"), "term").groupBy(*cols).agg(
+        F.array_sort(F.collect_list(F.struct("tid", "x"))).alias("v"))
+    n = per_vec.select(F.count(F.lit(1))).scalar()
+    nb = F.greatest(F.ceil(n / F.lit(block_rows)), F.lit(1)).cast("int")
+    tagged = per_vec.withColumn("b", F.pmod(F.xxhash64(F.col(id_col).cast("string")), nb).cast("int"))
+    return tagged.groupBy("b").agg(F.collect_list(F.struct(F.col(payload or id_col).cast("string").alias("id"), F.col("v.tid").alias("t"),
+                                                           F.col("v.x").alias("x"))).alias("rows")), nb
+
+
+def _csr(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, row of each entry, term of each entry, value of each entry)."""
+    ids = np.asarray([r["id"] for r in rows], dtype=object)
+    lengths = np.fromiter((len(r["t"]) for r in rows), np.int64, len(rows))
+    owner = np.repeat(np.arange(len(rows)), lengths)
+    t = np.concatenate([np.asarray(r["t"], np.int64) for r in rows]) if len(rows) else np.empty(0, np.int64)
+    x = np.concatenate([np.asarray(r["x"], np.float64) for r in rows]) if len(rows) else np.empty(0)
+    return ids, owner, t, x
+
+
+def sliced_products(left, right, threshold: float, width: int = TERM_SLICE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, row, product) over the threshold of two blocks of unit vectors.
+
+    Terms, rarest first, are taken a slice at a time; the slice's dense pieces are multiplied and
+    added up.  What the terms still to come can add to a pair is at most the product of the
+    rows' remaining norms: rows that can't reach the threshold with any row of the other
+    block are left out of the further slices.  So memory is rows x rows and rows x ``width``,
+    whatever the number of terms."""
+    (_, o1, t1, x1), (_, o2, t2, x2) = left, right
+    n1, n2 = len(left[0]), len(right[0])
+    vocab = np.intersect1d(t1, t2)
+    total = np.zeros((n1, n2))
+    k1, k2 = np.isin(t1, vocab), np.isin(t2, vocab)
+    o1, t1, x1, o2, t2, x2 = o1[k1], np.searchsorted(vocab, t1[k1]), x1[k1], o2[k2], np.searchsorted(vocab, t2[k2]), x2[k2]
+    left1, left2 = np.bincount(o1, x1 * x1, n1), np.bincount(o2, x2 * x2, n2)  # squared norms still to come
+    live1, live2 = np.arange(n1), np.arange(n2)
+    sides = []
+    for o, t, x in ((o1, t1, x1), (o2, t2, x2)):
+        by_term = np.argsort(t, kind="stable")
+        sides.append((o[by_term], t[by_term], x[by_term]))
+    for start in range(0, len(vocab), width):
+        size = min(width, len(vocab) - start)
+        pieces = []
+        for (o, t, x), live, n, rest in zip(sides, (live1, live2), (n1, n2), (left1, left2)):
+            at = slice(*np.searchsorted(t, [start, start + size]))
+            o, t, x = o[at], t[at], x[at]
+            place = np.full(n, -1)
+            place[live] = np.arange(len(live))
+            use = place[o] >= 0
+            piece = np.zeros((len(live), size))
+            piece[place[o[use]], t[use] - start] = x[use]
+            pieces.append(piece)
+            rest -= np.bincount(o, x * x, n)
+        total[np.ix_(live1, live2)] += pieces[0] @ pieces[1].T
+        if start + size < len(vocab):
+            r1, r2 = np.sqrt(np.maximum(left1, 0)), np.sqrt(np.maximum(left2, 0))
+            reach = total[np.ix_(live1, live2)] + r1[live1][:, None] * r2[live2][None, :]
+            can = reach > threshold - 1e-9
+            live1, live2 = live1[can.any(axis=1)], live2[can.any(axis=0)]
+            if not len(live1) or not len(live2):
+                break
+    a, b = np.nonzero(total > threshold)
+    return a, b, total[a, b]
+
+
+def _sparse_block_kernel(threshold: float, width: int):
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             for rows1, rows2 in zip(pdf["rows1"], pdf["rows2"]):
-                terms = [t for r in rows1 for t in r["t"]] + [t for r in rows2 for t in r["t"]]
-                vocab = np.unique(np.asarray(terms, dtype=object).astype(str))
-                i1, m1 = _densify(rows1, vocab)
-                i2, m2 = _densify(rows2, vocab)
-                sims = m1 @ m2.T
-                a, b = np.nonzero(sims > threshold)
-                yield pd.DataFrame({"a": np.asarray(i1, dtype=object)[a], "b": np.asarray(i2, dtype=object)[b],
-                                    "cos": sims[a, b]})
+                left, right = _csr(rows1), _csr(rows2)
+                a, b, cos = sliced_products(left, right, threshold, width)
+                yield pd.DataFrame({"a": left[0][a], "b": right[0][b], "cos": cos})
     return run
 
 
 def cosine_pairs_sparse_blocked(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
-                                threshold: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                                threshold: float, block_rows: int = BLOCK_ROWS, width: int = TERM_SLICE,
+                                payload: str | None = None) -> DataFrame:
     """Exact cross-set cosine > threshold for long sparse vectors (texts).
 
     When vectors share many terms (token sets of whole texts, expanded with
     synonyms) prefix filtering keeps nearly every pair, and a per-(pair,
     term) join costs pairs x terms rows.  Here each side is packed into hash
-    blocks of at most ~``block_rows`` vectors; one task densifies two blocks
-    over their own term union and multiplies them (BLAS), emitting only
-    pairs above the threshold.  Memory per task: two blocks x local terms."""
-    lu = normalise_sparse(left, left_id)
+    blocks of about ``block_rows`` vectors with terms as numbers (rarest first);
+    one task multiplies two blocks slice by slice (``sliced_products``) and emits only pairs
+    above the threshold.  ``payload`` names a column of ``left``, the same for all rows of an
+    id, that stands for the id in the result."""
+    lu = normalise_sparse(left, left_id, payload)
     ru = normalise_sparse(right, right_id)
-    lp, lnb = _sparse_blocks(lu, left_id, block_rows)
-    rp, rnb = _sparse_blocks(ru, right_id, block_rows)
+    # numbers by rarity over both sides; terms of one side only add nothing to a product but count in its norm
+    rank = materialize(global_row_number(_term_rank(lu, ru), [F.col("_df").asc(), F.col("term").asc()], "tid"))
+    lp, lnb = _sparse_blocks(lu, left_id, block_rows, rank, payload)
+    rp, rnb = _sparse_blocks(ru, right_id, block_rows, rank, None)
     pairs = _block_pairs(lp, lnb, (rp, rnb))
-    out = pairs.select("rows1", "rows2").mapInPandas(_sparse_block_kernel(float(threshold)),
+    out = pairs.select("rows1", "rows2").mapInPandas(_sparse_block_kernel(float(threshold), width),
                                                      "a string, b string, cos double")
-    lt = dict(left.dtypes)[left_id]
+    name = payload or left_id
+    lt = dict(left.dtypes)[name]
     rtp = dict(right.dtypes)[right_id]
-    return out.select(F.col("a").cast(lt).alias(left_id), F.col("b").cast(rtp).alias(right_id), "cos")
+    return out.select(F.col("a").cast(lt).alias(name), F.col("b").cast(rtp).alias(right_id), "cos")
 
 
 def expand_vector_pairs(vec_pairs: DataFrame, members: DataFrame, vec_col: str, item_col: str,
@@ -178,28 +228,87 @@ def _normalise_dense(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
             .select("id", F.transform("v", lambda x: x / F.col("n")).alias("v")))
 
 
-def _blocks(unit: DataFrame, block_rows: int) -> tuple[DataFrame, object]:
-    n = unit.select(F.count(F.lit(1))).scalar()
-    nb = F.greatest(F.ceil(n / F.lit(block_rows)), F.lit(1)).cast("int")
-    tagged = unit.withColumn("b", F.pmod(F.xxhash64("id"), nb).cast("int"))
-    packed = tagged.groupBy("b").agg(F.collect_list(F.struct("id", "v")).alias("rows"))
-    return packed, nb
-
-
-def _block_pairs(packed: DataFrame, nb, other: DataFrame | None = None) -> DataFrame:
-    """(b1, rows1, b2, rows2) for b1 <= b2 (self) or all (b1, b2)."""
-    if other is None:
-        left = packed.select(F.col("b").alias("b1"), F.col("rows").alias("rows1"),
-                             F.explode(F.sequence(F.col("b"), nb - 1)).alias("b2"))
-        right = packed.select(F.col("b").alias("b2"), F.col("rows").alias("rows2"))
-    else:
-        packed2, nb2 = other
-        left = packed.select(F.col("b").alias("b1"), F.col("rows").alias("rows1"),
-                             F.explode(F.sequence(F.lit(0), nb2 - 1)).alias("b2"))
-        right = packed2.select(F.col("b").alias("b2"), F.col("rows").alias("rows2"))
+def _block_pairs(packed: DataFrame, nb, other: tuple) -> DataFrame:
+    """(b1, rows1, b2, rows2) for all (b1, b2)."""
+    packed2, nb2 = other
+    left = packed.select(F.col("b").alias("b1"), F.col("rows").alias("rows1"),
+                         F.explode(F.sequence(F.lit(0), nb2 - 1)).alias("b2"))
+    right = packed2.select(F.col("b").alias("b2"), F.col("rows").alias("rows2"))
     return left.join(right, "b2")
 
 
+#: Most pivots around which dense vectors are gathered; what is known of their clusters is
+#: a table of this many rows, and of its square of pairs at most.
+MOST_PIVOTS = 512
+
+
+def vector_classes(unit: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(id, v) of one row for each distinct vector, and (id, rep) of all rows: equal vectors
+    are compared once, however many rows share one."""
+    classes = unit.groupBy("v").agg(F.min("id").alias("rep"))
+    keyed = materialize(unit.withColumn("h", F.xxhash64("v")).join(
+        classes.withColumn("h", F.xxhash64("v")).withColumnRenamed("v", "_v"), "h").where(F.col("v") == F.col("_v")).select("id", "rep", "v"))
+    return keyed.where(F.col("id") == F.col("rep")).select("id", "v"), keyed.select("id", "rep")
+
+
+def pick_pivots(unit: DataFrame, n: int) -> np.ndarray:
+    """The ``n`` vectors of smallest id hash: a bounded sample, the same in every run."""
+    rows = unit.orderBy(F.xxhash64("id"), "id").limit(n).select("v").collect()
+    return np.asarray([r["v"] for r in rows], dtype=np.float64)
+
+
+def _cluster(unit: DataFrame, pivots: np.ndarray, block_rows: int) -> DataFrame:
+    """(c, s, far, rows): vectors gathered around their nearest pivot c, in sub-blocks s of about
+    ``block_rows`` rows, with the largest angle ``far`` to the pivot in the sub-block."""
+    def near(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            for at in range(0, len(pdf), 4096):
+                part = pdf.iloc[at:at + 4096]
+                cos = np.asarray(part["v"].tolist(), dtype=np.float64) @ pivots.T
+                c = cos.argmax(axis=1)
+                yield pd.DataFrame({"id": part["id"].to_numpy(), "v": part["v"].to_numpy(), "c": c.astype(np.int32),
+                                    "angle": np.arccos(np.clip(cos[np.arange(len(c)), c], -1, 1))})
+    placed = materialize(unit.mapInPandas(near, "id long, v array<double>, c int, angle double"))
+    sizes = placed.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
+    cut = F.pmod(F.xxhash64("id"), F.greatest(F.ceil(F.col("n") / F.lit(block_rows)), F.lit(1)))
+    return materialize(placed.join(F.broadcast(sizes), "c").withColumn("s", cut.cast("int"))  # a row a pivot
+                  .groupBy("c", "s").agg(F.max("angle").alias("far"), F.collect_list(F.struct("id", "v")).alias("rows")))
+
+
+
+
+def reachable(pivots: np.ndarray, far1: np.ndarray, far2: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Which clusters (rows) can hold a vector whose cosine with one of another cluster (columns)
+    exceeds ``least`` (one bound for each row): the angle between them is at least that of
+    the pivots minus both radii."""
+    between = np.arccos(np.clip(pivots @ pivots.T, -1, 1))
+    nearest = np.maximum(between - far1[:, None] - far2[None, :], 0)
+    # with a slack for rounding; a negative radius marks an empty cluster
+    return (np.cos(nearest) > least[:, None] - 1e-7) & (far1 >= 0)[:, None] & (far2 >= 0)[None, :]
+
+
+def _radii(blocks: DataFrame, n: int) -> np.ndarray:
+    far = np.full(n, -1.0)
+    for r in blocks.groupBy("c").agg(F.max("far").alias("far")).collect():  # a row a pivot
+        far[r["c"]] = r["far"]
+    return far
+
+
+def _tiles(blocks1: DataFrame, blocks2: DataFrame, allowed: np.ndarray, self_join: bool) -> DataFrame:
+    """(b1, rows1, b2, rows2) of the sub-blocks of allowed cluster pairs; each unordered pair once
+    for a self join."""
+    spark = blocks1.sparkSession
+    a, b = np.nonzero(np.triu(allowed | allowed.T) if self_join else allowed)
+    pairs = spark.createDataFrame(pd.DataFrame({"c": a.astype(np.int32), "c2": b.astype(np.int32)}), "c int, c2 int")
+    left = blocks1.select("c", F.concat_ws(".", "c", "s").alias("b1"), F.col("s").alias("s1"), F.col("rows").alias("rows1"))
+    right = blocks2.select(F.col("c").alias("c2"), F.concat_ws(".", "c", "s").alias("b2"), F.col("s").alias("s2"), F.col("rows").alias("rows2"))
+    # at most MOST_PIVOTS squared rows of two numbers
+    out = left.join(F.broadcast(pairs), "c").join(right, "c2")
+    if self_join:
+        out = out.where((F.col("c") < F.col("c2")) | (F.col("s1") <= F.col("s2")))
+    return out.select("b1", "rows1", "b2", "rows2")
+
+
 def _unpack(rows) -> tuple[np.ndarray, np.ndarray]:
     ids = np.fromiter((r["id"] for r in rows), dtype=np.int64, count=len(rows))
     mat = np.asarray([r["v"] for r in rows], dtype=np.float64)
@@ -223,19 +332,41 @@ def _threshold_kernel(threshold: float, self_join: bool):
     return run
 
 
+def _n_pivots(n: int, block_rows: int) -> int:
+    return max(1, min(MOST_PIVOTS, -(-n // block_rows)))
+
+
 def cosine_pairs_dense(left: DataFrame, left_id: str, vec_col: str, threshold: float,
                        right: DataFrame | None = None, right_id: str | None = None,
-                       block_rows: int = BLOCK_ROWS) -> DataFrame:
+                       block_rows: int = BLOCK_ROWS, skipped: dict[str, int] | None = None) -> DataFrame:
     """Exact dense all-pairs cosine > threshold; returns (a, b, cos) with
-    both orders for a self join (a != b)."""
-    lu = _normalise_dense(left, left_id, vec_col)
-    packed, nb = _blocks(lu, block_rows)
+    both orders for a self join (a != b).
+
+    Equal vectors are one class.  Classes are gathered in blocks around pivots, and a pair of
+    blocks whose largest possible cosine isn't over the threshold is never joined.
+    ``skipped``, if given, receives the numbers of cluster pairs, and of those left out."""
+    lv, lm = vector_classes(_normalise_dense(left, left_id, vec_col))
+    rv, rm = (lv, lm) if right is None else vector_classes(_normalise_dense(right, right_id or left_id, vec_col))
+    n = lv.count() if right is None else lv.count() + rv.count()
+    pivots = pick_pivots(lv if right is None else lv.unionByName(rv), _n_pivots(n, block_rows))
+    if not len(pivots):
+        return left.sparkSession.createDataFrame([], "a long, b long, cos double")
+    lb = _cluster(lv, pivots, block_rows)
+    rb = lb if right is None else _cluster(rv, pivots, block_rows)
+    far1 = _radii(lb, len(pivots))
+    far2 = far1 if right is None else _radii(rb, len(pivots))
+    allowed = reachable(pivots, far1, far2, np.full(len(pivots), float(threshold)))
+    if skipped is not None:
+        held = (far1 >= 0)[:, None] & (far2 >= 0)[None, :]
+        skipped |= {"pairs": int(held.sum()), "skipped": int((held & ~allowed).sum())}
+    reps = _tiles(lb, rb, allowed, right is None).mapInPandas(_threshold_kernel(float(threshold), right is None), "a long, b long, cos double")
+    if right is None and threshold < 1:  # a class with itself, for its members
+        reps = reps.unionByName(lv.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("cos")))
+    out = (reps.join(lm.select(F.col("rep").alias("a"), F.col("id").alias("_a")), "a")
+               .join(rm.select(F.col("rep").alias("b"), F.col("id").alias("_b")), "b"))
     if right is None:
-        pairs = _block_pairs(packed, nb)
-    else:
-        ru = _normalise_dense(right, right_id or left_id, vec_col)
-        pairs = _block_pairs(packed, nb, _blocks(ru, block_rows))
-    return pairs.mapInPandas(_threshold_kernel(float(threshold), right is None), "a long, b long, cos double")
+        out = out.where(F.col("_a") != F.col("_b"))
+    return out.select(F.col("_a").alias("a"), F.col("_b").alias("b"), "cos")
 
 
 # more than the rounding to 6 digits can move a value
@@ -270,18 +401,78 @@ def _topk_kernel(k: int):
     return run
 
 
-def nearest_dense(df: DataFrame, id_col: str, vec_col: str, k: int,
-                  block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """The k nearest other rows by cosine, with every row that ties with
-    the k-th one: (a, b, cos), cos rounded to 6 digits.
-
-    A block pair emits each row's k best and all that tie with the k-th, so
-    the result doesn't depend on the number of blocks.  The caller ranks
-    ties by what it knows of ``b`` and keeps k."""
-    lu = _normalise_dense(df, id_col, vec_col)
-    packed, nb = _blocks(lu, block_rows)
-    cand = (_block_pairs(packed, nb).mapInPandas(_topk_kernel(k), "a long, b long, cos double")
-            .withColumn("cos", F.round("cos", 6)))
+def nearest_dense(df: DataFrame, id_col: str, vec_col: str, k: int, block_rows: int = BLOCK_ROWS,
+                  skipped: dict[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The k nearest other distinct vectors of every distinct vector by cosine, with all that
+    tie with the k-th one, as (a, b, cos), cos rounded to 6 digits; and (id, rep), the members of
+    each.  m equal vectors are one row here, not m x m.
+
+    First the blocks around the same pivot meet, which gives each row a k-th value; then
+    the pairs of clusters that can still beat the smallest of these.  The result doesn't depend on
+    the number of blocks.  ``skipped`` as above."""
+    vectors, members = vector_classes(_normalise_dense(df, id_col, vec_col))
+    pivots = pick_pivots(vectors, _n_pivots(vectors.count(), block_rows))
+    shape = "a long, b long, cos double"
+    if not len(pivots):
+        return df.sparkSession.createDataFrame([], shape), members
+    blocks = _cluster(vectors, pivots, block_rows)
+    far = _radii(blocks, len(pivots))
+    own = np.diag(far >= 0)
+    first = materialize(_tiles(blocks, blocks, own, True).mapInPandas(_topk_kernel(k), shape))
+    # the k-th value of each row so far, and the smallest one of each cluster
+    kth = first.groupBy("a").agg(F.sort_array(F.collect_list("cos"), asc=False).alias("best"))
+    kth = kth.select("a", F.when(F.size("best") >= k, F.element_at("best", k)).otherwise(-1.0).alias("kth"))
+    homes = blocks.select("c", F.explode("rows.id").alias("a"))
+    least = np.full(len(pivots), -1.0)
+    for r in homes.join(kth, "a", "left").groupBy("c").agg(F.min(F.coalesce("kth", F.lit(-1.0))).alias("least")).collect():  # a row a pivot
+        least[r["c"]] = r["least"]
+    allowed = reachable(pivots, far, far, np.where(least <= -1.0, -2.0, least - 2 * TIE_SLACK)) & ~own
+    if skipped is not None:
+        held = (far >= 0)[:, None] & (far >= 0)[None, :]
+        skipped |= {"pairs": int(held.sum()), "skipped": int((held & ~own & ~(allowed | allowed.T)).sum())}
+    cand = first.unionByName(_tiles(blocks, blocks, allowed, True).mapInPandas(_topk_kernel(k), shape)).withColumn("cos", F.round("cos", 6))
     # rank 1 + the number of strictly nearer rows
     w = Window.partitionBy("a").orderBy(F.col("cos").desc())
-    return cand.withColumn("_near", F.rank().over(w)).where(F.col("_near") <= k).drop("_near")
+    return cand.withColumn("_near", F.rank().over(w)).where(F.col("_near") <= k).drop("_near"), members
+
+
+# --------------------------------------------------------------------------
+# products of users and items, some items left out per user
+# --------------------------------------------------------------------------
+def _unseen_kernel(n: int):
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            for rows1, rows2 in zip(pdf["rows1"], pdf["rows2"]):
+                users = np.fromiter((r["id"] for r in rows1), np.int64, len(rows1))
+                items = np.fromiter((r["id"] for r in rows2), np.int64, len(rows2))
+                items_at = np.argsort(items)
+                score = np.asarray([r["v"] for r in rows1], np.float32) @ np.asarray([r["v"] for r in rows2], np.float32).T
+                for i, r in enumerate(rows1):
+                    seen = np.asarray(r["seen"] if r["seen"] is not None else [], np.int64)
+                    at = np.searchsorted(items[items_at], seen)
+                    at = items_at[at[at < len(items)]]
+                    score[i, at[np.isin(items[at], seen)]] = -np.inf
+                k = min(n, len(items))
+                # the n best of each user and all that tie with the n-th
+                least = np.partition(score, len(items) - k, axis=1)[:, len(items) - k]
+                a, b = np.nonzero((score >= least[:, None]) & (score > 0))
+                yield pd.DataFrame({"uid": users[a], "mid": items[b], "score": score[a, b].astype(np.float64)})
+    return run
+
+
+def top_unseen_products(users: DataFrame, items: DataFrame, seen: DataFrame, n: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(uid, mid, score): for each user the products over 0 with the items the user hasn't seen,
+    at least the n best of each pair of blocks.
+
+    ``users`` and ``items`` are (id, features); ``seen`` (uid, mid).  A user's seen items ride
+    with the user and are taken out of the block's scores, so nothing is fetched in excess
+    for users who have seen much, and no other user's list depends on them."""
+    own = seen.select(F.col("uid").cast("long").alias("id"), F.col("mid").cast("long").alias("mid")).groupBy("id").agg(F.collect_set("mid").alias("seen"))
+
+    def blocks(df: DataFrame, cols: list[str]) -> tuple[DataFrame, object]:
+        nb = F.greatest(F.ceil(df.select(F.count(F.lit(1))).scalar() / F.lit(block_rows)), F.lit(1)).cast("int")
+        return df.groupBy(F.pmod(F.xxhash64("id"), nb).cast("int").alias("b")).agg(F.collect_list(F.struct(*cols)).alias("rows")), nb
+    left = users.select(F.col("id").cast("long").alias("id"), F.col("features").alias("v")).join(own, "id", "left")
+    lp, lnb = blocks(left, ["id", "v", "seen"])
+    pairs = _block_pairs(lp, lnb, blocks(items.select(F.col("id").cast("long").alias("id"), F.col("features").alias("v")), ["id", "v"]))
+    return pairs.select("rows1", "rows2").mapInPandas(_unseen_kernel(n), "uid long, mid long, score double")

@@ -14,6 +14,7 @@ from ratewise.operators import text
 from ratewise.operators.ranking import top_k_per_group
 from ratewise.operators.serving import pack_lists
 from ratewise.plans.registry import query
+from ratewise.session import materialize
 from ratewise.sources.fixtures import Fixtures
 
 ITEM_SIM_THRESHOLD = 0.6      # fixed value: content / latent item similarity
@@ -151,11 +152,16 @@ def synonyms(fx: Fixtures, k: int = SYNONYM_K) -> DataFrame:
 def _synonyms(fx: Fixtures, k: int) -> DataFrame:
     wv = fx.word_vectors()
     ids = wv.select("word", F.xxhash64("word").alias("wid"), "vec")
-    near = sim.nearest_dense(ids, "wid", "vec", k)
-    names = ids.select("wid", "word")
-    named = (near.join(names.withColumnRenamed("wid", "a"), "a")
-             .join(names.select(F.col("wid").alias("b"), F.col("word").alias("syn")), "b"))
-    ranked = top_k_per_group(named, ["word"], [F.col("cos").desc(), F.col("syn").asc()], k)
+    near, members = sim.nearest_dense(ids, "wid", "vec", k)
+    named = members.join(ids.select(F.col("wid").alias("id"), "word"), "id")
+    # the k first words of each vector stand for it in other words' lists; its own members
+    # (cosine 1) can need one more, the word itself being left out
+    heads = top_k_per_group(named.select("rep", "word"), ["rep"], [F.col("word").asc()], k + 1, "_r")
+    lists = near.join(heads.select(F.col("rep").alias("b"), F.col("word").alias("syn")), "b").select("a", "syn", "cos")
+    lists = lists.unionByName(heads.select(F.col("rep").alias("a"), F.col("word").alias("syn"), F.lit(1.0).alias("cos")))
+    best = top_k_per_group(lists, ["a"], [F.col("cos").desc(), F.col("syn").asc()], k + 1, "_r")
+    each = named.join(best.select(F.col("a").alias("rep"), "syn", "cos"), "rep").where(F.col("word") != F.col("syn"))
+    ranked = top_k_per_group(each, ["word"], [F.col("cos").desc(), F.col("syn").asc()], k)
     return ranked.select("word", "syn", "cos", F.col("rank").cast("long").alias("rank"))
 
 
@@ -270,17 +276,18 @@ def expand_items(fx: Fixtures):
 def user_item_pairs(fx: Fixtures, threshold: float = USER_ITEM_THRESHOLD) -> DataFrame:
     """D6 + F10: comment rows (user side) vs item texts, separate IDFs."""
     syn = synonyms(fx)
-    cex = expanded(comment_terms(fx), ["uid", "mid"], syn, COMMENT_SYNONYMS) \
-        .select(F.concat_ws(":", F.col("uid").cast("string"), F.col("mid").cast("string")).alias("cid"), "uid", "term")
-    dex = expanded(doc_terms_filtered(fx), ["mid"], syn, ITEM_SYNONYMS)
+    # both expansions are read for document frequencies, norms and blocks: made once
+    cex = materialize(expanded(comment_terms(fx), ["uid", "mid"], syn, COMMENT_SYNONYMS)
+                      .select(F.concat_ws(":", F.col("uid").cast("string"), F.col("mid").cast("string")).alias("cid"), "uid", "term"))
+    dex = materialize(expanded(doc_terms_filtered(fx), ["mid"], syn, ITEM_SYNONYMS))
     # expanded texts are token sets, so tf = 1 and w = idf
-    cw = text.tfidf(cex.select("cid", "term").withColumn("tf", F.lit(1)), "cid").select("cid", "term", "w")
-    dw = text.tfidf(dex.select("mid", "term").withColumn("tf", F.lit(1)), "mid").select("mid", "term", "w")
+    one = F.lit(1).alias("tf")
+    cw = text.tfidf(cex.select("cid", "term", one), "cid").select("cid", "term", "w").withColumn("uid", F.split_part("cid", F.lit(":"), F.lit(1)).cast("int"))
+    dw = text.tfidf(dex.select("mid", "term", one), "mid").select("mid", "term", "w")
     # expanded texts share many terms: the blocked kernel, not prefix filtering
-    pairs = sim.cosine_pairs_sparse_blocked(cw, dw, "cid", "mid", threshold)
-    owner = cex.select("cid", "uid").distinct()
+    pairs = sim.cosine_pairs_sparse_blocked(cw, dw, "cid", "mid", threshold, payload="uid")
     # Q10: one row per (uid, mid), best score over the user's comments
-    return pairs.join(owner, "cid").groupBy("uid", "mid").agg(F.max("cos").alias("score"))
+    return pairs.groupBy("uid", "mid").agg(F.max("cos").alias("score"))
 
 
 @query("user_item_content", sql=f"""

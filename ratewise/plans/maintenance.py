@@ -90,3 +90,27 @@ def lookup_item_tags(fx: Fixtures):
     return keys.join(fx.item_tags(), ["uid", "mid"]).select("event_id", "uid", "mid", "tag", "ts")
 
 
+@query("lookup_tags_by_item", sql="""
+SELECT t.mid, t.uid, t.tag, t.ts FROM item_tags t
+WHERE t.mid IN (SELECT mid FROM items WHERE contains(lower(genres), 'promo'))""")
+def lookup_tags_by_item(fx: Fixtures):
+    """All tags of each requested item (the promo items), whoever set them."""
+    keys = fx.items().where(F.contains(F.lower("genres"), F.lit("promo"))).select("mid")
+    return maintain.lookup(fx.item_tags(), keys, ["mid"]).select("mid", "uid", "tag", "ts")
+
+
+@query("items_delete", sql="""
+SELECT i.mid, i.name FROM items i WHERE i.mid NOT IN (SELECT mid FROM rating_events WHERE score <= 0.5)""")
+def items_delete(fx: Fixtures):
+    """The item table without the withdrawn items (rated half a star by anyone)."""
+    gone = fx.rating_events().where(F.col("score") <= 0.5).select("mid")
+    return maintain.delete_keys(fx.items().select("mid", "name"), gone, ["mid"])
+
+
+@query("tags_delete", sql="""
+SELECT t.uid, t.mid, t.tag, t.ts FROM item_tags t WHERE NOT EXISTS (
+  SELECT 1 FROM item_tags d WHERE d.tag = 'error' AND d.uid = t.uid AND d.mid = t.mid AND d.tag = t.tag)""")
+def tags_delete(fx: Fixtures):
+    """Tags withdrawn by (user, item, tag); all matches go (Q22)."""
+    tags = fx.item_tags()
+    return maintain.delete_keys(tags, tags.where(F.col("tag") == "error"), ["uid", "mid", "tag"])

@@ -46,7 +46,7 @@ def hydrate_recs(fx: Fixtures):
     """D11 + C17 + C18: list entries -> item rows with average score
     (0.0 without ratings); rank kept."""
     lists = item_lists(fx).select(F.col("mid").alias("key"), "rank", F.col("other").alias("mid"))
-    avgs = average_score(fx.ratings()).select("mid", F.round("avg", 6).alias("avg"))
+    avgs = average_score(fx.item_ratings()).select("mid", F.round("avg", 6).alias("avg"))
     out = serving.hydrate(lists, fx.items().select("mid", "name"), avgs)
     return out.select("key", "rank", "mid", "name", "avg")
 
@@ -62,7 +62,7 @@ def user_rated_items(fx: Fixtures):
     """Items each user rated, with that user's latest score."""
     mine = (fx.rating_events().groupBy("uid", "mid")
             .agg(F.max_by("score", F.struct("ts", "event_id")).alias("score")))
-    avgs = average_score(fx.ratings()).select("mid", F.round("avg", 6).alias("avg"))
+    avgs = average_score(fx.item_ratings()).select("mid", F.round("avg", 6).alias("avg"))
     out = serving.user_rated_items(mine, fx.items().select("mid", "name"), avgs)
     return out.select("uid", "mid", "name", "score")
 
@@ -99,5 +99,5 @@ def coldstart_fallback(fx: Fixtures):
     latest = latest_recommendations(ev, shared_sim(fx), fx.ratings()).select("uid", "mid", "score")
     users = fx.users().select("uid", F.array("pref_genre").alias("prefs"))
     users = users.select("uid", serving.preferred_category(F.col("prefs"), F.col("uid")).alias("pref"))
-    top = category_top_k(fx.items(), average_score(fx.ratings()), fx.categories(), CATEGORY_K)
+    top = category_top_k(fx.items(), average_score(fx.item_ratings()), fx.categories(), CATEGORY_K)
     return serving.cold_start(users, latest, top, LIST_N)

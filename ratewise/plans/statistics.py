@@ -21,13 +21,13 @@ SELECT category, mid, avg, rank FROM (
 WHERE rank <= 10""")
 def category_top10(fx: Fixtures):
     """Flagship: per-category top 10 items by average score."""
-    return stats.category_top_k(fx.items(), stats.average_score(fx.ratings()), fx.categories(), CATEGORY_K)
+    return stats.category_top_k(fx.items(), stats.average_score(fx.item_ratings()), fx.categories(), CATEGORY_K)
 
 
 @query("rate_more", sql="SELECT mid, count(*) AS count FROM ratings GROUP BY mid")
 def rate_more(fx: Fixtures):
     """Rating count per item."""
-    return stats.rate_more(fx.ratings())
+    return stats.rate_more(fx.item_ratings())
 
 
 @query("hot_by_month", sql="""
@@ -35,13 +35,13 @@ SELECT CAST(strftime(make_timestamp(ts * 1000000), '%Y%m') AS INT) AS yearmonth,
 FROM ratings GROUP BY 1, 2""")
 def hot_by_month(fx: Fixtures):
     """C1 + C2 + E2: rating count per (yyyyMM, item)."""
-    return stats.rate_more_recently(fx.ratings())
+    return stats.rate_more_recently(fx.item_ratings())
 
 
 @query("average_score", sql="SELECT mid, round(avg(score), 6) AS avg FROM ratings GROUP BY mid")
 def average_score(fx: Fixtures):
     """Average score per item."""
-    return stats.average_score(fx.ratings()).select("mid", F.round("avg", 6).alias("avg"))
+    return stats.average_score(fx.item_ratings()).select("mid", F.round("avg", 6).alias("avg"))
 
 
 @query("rating_histogram", sql="""
@@ -64,7 +64,7 @@ SELECT mid, count(*) AS count, CAST(0.0 AS DOUBLE) AS score FROM ratings GROUP B
 ORDER BY count DESC, mid LIMIT {TOP_N}""")
 def top_rate_more(fx: Fixtures):
     """Top 10 items by rating count (report)."""
-    return stats.top_rate_more(stats.rate_more(fx.ratings()), TOP_N)
+    return stats.top_rate_more(stats.rate_more(fx.item_ratings()), TOP_N)
 
 
 @query("top_hot", sql=f"""
@@ -74,7 +74,7 @@ SELECT yearmonth, mid, count, CAST(0.0 AS DOUBLE) AS score FROM (
 ORDER BY yearmonth DESC, count DESC, mid LIMIT {TOP_N}""")
 def top_hot(fx: Fixtures):
     """Latest month first, top 10 by count (report)."""
-    return stats.top_hot(stats.rate_more_recently(fx.ratings()), TOP_N)
+    return stats.top_hot(stats.rate_more_recently(fx.item_ratings()), TOP_N)
 
 
 @query("top_new", sql=f"""
@@ -99,5 +99,5 @@ SELECT CAST(strftime(make_timestamp(ts * 1000000), '%Y%m') AS INT) AS yearmonth,
 FROM ratings GROUP BY 1, 2""")
 def hot_by_month_sql(fx: Fixtures):
     """I1 + I2 + E2: monthly popularity as a SQL string over a temp view."""
-    fx.ratings().createOrReplaceTempView("rw_ratings")
+    fx.item_ratings().createOrReplaceTempView("rw_ratings")
     return fx.spark.sql(HOT_BY_MONTH_SQL)

@@ -57,14 +57,6 @@ FROM customer""",
     "categories": """
 SELECT * FROM (VALUES ('Economy'),('Promo'),('Large'),('Medium'),('Standard'),('Small'),('Ring'),('Rod'),
                ('Bolt'),('Blue')) AS t(category)""",
-    "raw_caret": """
-SELECT concat_ws('^', CAST(mid AS VARCHAR), concat(' ', name, ' '), descri, CAST(timelong AS VARCHAR),
-                 CAST(issue AS VARCHAR), 'x', 'en', genres, 'a', 'd') AS line
-FROM items""",
-    "raw_quoted": """
-SELECT concat_ws(',', concat('"', CAST(mid AS VARCHAR), '"'), concat('"', name, ', ', descri, '"'),
-                 concat('"', CAST(timelong AS VARCHAR), '.0"'), '""') AS line
-FROM items""",
     "word_freq": f"""
 SELECT w AS word, row_number() OVER (ORDER BY df DESC, w) - 1 AS rk
 FROM (SELECT w, count(DISTINCT k) AS df
@@ -75,29 +67,24 @@ FROM (SELECT w, count(DISTINCT k) AS df
       GROUP BY w) y""",
     "stop_words": "SELECT word FROM word_freq WHERE rk < 20",
     "word_vectors": "SELECT word, embedding AS vec FROM word_freq JOIN embeddings ON vec_id = rk",
-    # raw text lines for the parsers (our own derivations, same rule in Spark)
-    "raw_ratings": """
-SELECT concat_ws(',', CAST(uid AS VARCHAR), CAST(mid AS VARCHAR), CAST(score AS VARCHAR), CAST(ts AS VARCHAR)) AS line
-FROM ratings""",
-    "raw_tags": """
-SELECT concat_ws(',', CAST(uid AS VARCHAR), CAST(mid AS VARCHAR), concat(' ', tag, ' '), CAST(ts AS VARCHAR)) AS line
-FROM item_tags""",
-    "raw_comments_v2": """
-SELECT concat_ws(',', concat('"', CAST(uid AS VARCHAR), '-', CAST(mid AS VARCHAR), '"'), concat('"', content, '"'),
+    # what the text files hold (our own derivations, same rule in Spark)
+    "broken_log": r"""
+SELECT event_id, CASE WHEN event_id % 9 = 0 THEN regexp_replace(line, '\|[^|]*\|[^|]*$', '')
+                      WHEN event_id % 13 = 0 THEN replace(line, '|', '|x') ELSE line END AS line
+FROM rating_log""",
+    "comment_lines": r"""
+SELECT concat_ws(',', concat('"', CAST(uid AS VARCHAR), '-', CAST(mid AS VARCHAR), '"'),
+                 concat('"', regexp_replace(content, '[\r\n]+', ' ', 'g'), '"'),
                  '""', '""', concat('"', CAST(mid AS VARCHAR), '"'), '""', '""', '""',
                  concat('"', CAST(uid AS VARCHAR), '"'),
                  concat('"', CASE WHEN (uid + mid) % 6 = 0 THEN '' ELSE CAST((uid + mid) % 5 + 1 AS VARCHAR) END, '"'),
-                 '""', '""', '""', '""') AS line
+                 '""', '""', '""', CASE WHEN uid % 5 = 0 THEN '"",""' ELSE '""' END) AS line
 FROM comments""",
-    "raw_word_vectors": """
-SELECT concat(word, ' ', array_to_string(list_transform(vec, lambda x: CAST(x AS VARCHAR)), ' ')) AS line
-FROM word_vectors""",
 }
 
 # dependency order (a view only references views listed before it)
-ORDER = ["items", "ratings", "rating_events", "rating_log", "item_tags", "comments", "docs", "users",
-         "categories", "raw_caret", "raw_quoted", "word_freq", "stop_words", "word_vectors", "raw_ratings",
-         "raw_tags", "raw_comments_v2", "raw_word_vectors"]
+ORDER = ["items", "ratings", "rating_events", "rating_log", "broken_log", "item_tags", "comments", "comment_lines", "docs", "users",
+         "categories", "word_freq", "stop_words", "word_vectors"]
 
 
 def _refs(sql: str) -> set[str]:

@@ -1,33 +1,26 @@
 """Delimited-text inputs.
 
 Each parser takes a DataFrame of raw lines (column ``line``; this is what
-``read_lines`` returns for a text file, split across tasks by the file
-source) and returns typed rows.  Fields are cut with ``split`` / ``get`` /
+``text_files.scan_lines`` returns for text files, split across tasks by the file
+source) and returns typed rows; files that are plainly delimited go through
+``text_files.scan_delimited``.  Fields are cut with ``split`` / ``get`` /
 ``try_cast`` column expressions, so parsing stays in whole-stage codegen
 and a malformed field becomes NULL instead of failing the task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.functions.columns import unquote
 
 # Field layouts of the reference's input files.
-ITEM_FIELDS = ["mid", "name", "descri", "timelong", "issue", "shoot", "language", "genres", "actors", "directors"]
-RATING_FIELDS = ["uid", "mid", "score", "ts"]
-TAG_FIELDS = ["uid", "mid", "tag", "ts"]
 # comma outside double quotes (lookahead: an even number of quotes follows)
 QUOTE_AWARE_COMMA = r',(?=([^"]*"[^"]*")*[^"]*$)'
 V2_COMMENT_FIELDS = 14
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text file(s) -> one row per line, column ``line``."""
-    return spark.read.text(path).withColumnRenamed("value", "line")
-
-
 def java_split(line, sep_regex: str) -> Column:
     """``String.split(regex)`` semantics: trailing empty fields dropped."""
     c = F.col(line) if isinstance(line, str) else line
@@ -40,43 +33,6 @@ def java_split(line, sep_regex: str) -> Column:
     return F.reverse(kept)
 
 
-def parse_caret_items(lines: DataFrame) -> DataFrame:
-    """A1: ``^``-separated item rows; every field trimmed, mid as INT."""
-    p = F.split(F.col("line"), r"\^")
-    cols = [F.trim(F.get(p, i)).alias(n) for i, n in enumerate(ITEM_FIELDS)]
-    cols[0] = F.trim(F.get(p, 0)).try_cast("int").alias("mid")
-    return lines.select(*cols)
-
-
-def parse_csv_ratings(lines: DataFrame) -> DataFrame:
-    """A2: ``uid,mid,score,ts`` -> (int, int, double, bigint)."""
-    p = F.split(F.col("line"), ",")
-    return lines.select(F.get(p, 0).try_cast("int").alias("uid"),
-                        F.get(p, 1).try_cast("int").alias("mid"),
-                        F.get(p, 2).try_cast("double").alias("score"),
-                        F.get(p, 3).try_cast("long").alias("ts"))
-
-
-def parse_csv_tags(lines: DataFrame) -> DataFrame:
-    """A3: ``uid,mid,tag,ts`` with the tag trimmed."""
-    p = F.split(F.col("line"), ",")
-    return lines.select(F.get(p, 0).try_cast("int").alias("uid"),
-                        F.get(p, 1).try_cast("int").alias("mid"),
-                        F.trim(F.get(p, 2)).alias("tag"),
-                        F.get(p, 3).try_cast("long").alias("ts"))
-
-
-def drop_header(lines: DataFrame, header: str | Column) -> DataFrame:
-    """A4: remove every line equal to the header line."""
-    h = F.lit(header) if isinstance(header, str) else header
-    return lines.where(F.col("line") != h)
-
-
-def file_header(spark: SparkSession, path: str) -> Column:
-    """First line of a text file as a scalar subquery column."""
-    return read_lines(spark, path).limit(1).select("line").scalar()
-
-
 def quoted_fields(line="line") -> Column:
     """A5 + A6: split on commas outside quotes (trailing empties kept),
     then unquote each field."""
@@ -84,10 +40,10 @@ def quoted_fields(line="line") -> Column:
     return F.transform(F.split(c, QUOTE_AWARE_COMMA, -1), unquote)
 
 
-def parse_quoted_items(lines: DataFrame, header: str = "") -> DataFrame:
+def parse_quoted_items(lines: DataFrame) -> DataFrame:
     """A4-A6 + A10 over quoted item lines ``"mid","name","minutes","tag"``."""
     f = quoted_fields()
-    return (drop_header(lines, header)
+    return (lines
             .select(F.get(f, 0).try_cast("int").alias("mid"),
                     F.get(f, 1).alias("name"),
                     F.get(f, 2).alias("timelong"),
@@ -105,11 +61,11 @@ def naive_field_count(line="line") -> Column:
     return F.size(java_split(c, ","))
 
 
-def parse_v2_ratings(lines: DataFrame, header: str = "") -> DataFrame:
+def parse_v2_ratings(lines: DataFrame) -> DataFrame:
     """A8 + A10: comment lines with exactly 14 naive fields and a score;
     fields 8 uid, 4 mid, 9 score, 0 time (quote-aware, unquoted)."""
     f = quoted_fields()
-    return (drop_header(lines, header)
+    return (lines
             .where(naive_field_count() == V2_COMMENT_FIELDS)
             .select(F.get(f, 8).try_cast("int").alias("uid"),
                     F.get(f, 4).try_cast("int").alias("mid"),
@@ -119,10 +75,10 @@ def parse_v2_ratings(lines: DataFrame, header: str = "") -> DataFrame:
             .select("uid", "mid", F.col("score_s").try_cast("double").alias("score"), "timestamp"))
 
 
-def parse_v2_comments(lines: DataFrame, header: str = "") -> DataFrame:
+def parse_v2_comments(lines: DataFrame) -> DataFrame:
     """A9 + A10: comment lines with exactly 14 naive fields."""
     f = quoted_fields()
-    return (drop_header(lines, header)
+    return (lines
             .where(naive_field_count() == V2_COMMENT_FIELDS)
             .select(F.get(f, 8).try_cast("int").alias("uid"),
                     F.get(f, 4).try_cast("int").alias("mid"),
@@ -130,8 +86,16 @@ def parse_v2_comments(lines: DataFrame, header: str = "") -> DataFrame:
                     F.get(f, 0).alias("timestamp")))
 
 
-def parse_word_vectors(lines: DataFrame) -> DataFrame:
-    """``word f1 f2 ... fn`` -> (word, array<float>)."""
+def parse_word_vectors(lines: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """``word f1 f2 ... fn`` -> (word, array<float>), with the columns to keep."""
     p = F.split(F.trim(F.col("line")), " ")
-    return lines.select(F.get(p, 0).alias("word"),
+    return lines.select(*(keep or []), F.get(p, 0).alias("word"),
                         F.transform(F.slice(p, 2, F.size(p) - 1), lambda x: x.try_cast("float")).alias("vec"))
+
+
+def checked_word_vectors(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of word-vector lines: a line with a component that is no number is a reject."""
+    p = F.split(F.trim(F.col("line")), " ")
+    parsed = parse_word_vectors(lines.withColumn("_n", F.size(p) - 1), keep=["line", "_n"])
+    whole = (F.col("_n") > 0) & ~F.exists("vec", lambda x: x.isNull())
+    return parsed.where(whole).select("word", "vec"), parsed.where(~whole).select("line")

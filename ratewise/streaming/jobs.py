@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from ratewise.functions.columns import RATING_PREFIX, epoch_seconds, extract_after_prefix
+from ratewise.functions.columns import epoch_seconds, extract_after_prefix, parse_rating_message
 from ratewise.operators import realtime as rt
 from ratewise.session import list_subdirs, materialize, new_subdir, remove_folder
+from ratewise.sources.fixtures import log_lines
 
 BATCH_INTERVAL = "2 seconds"   # fixed value: the reference's batch interval
 
@@ -52,18 +53,8 @@ def rating_events_of(events: DataFrame, n_items: int) -> DataFrame:
 
 
 def log_lines_of(events: DataFrame, n_items: int) -> DataFrame:
-    """Log lines as the web tier writes them (same rule as the batch view);
-    row-wise, so it runs on a stream."""
-    uid = F.col("user_id").cast("int")
-    mid = (F.col("event_id") % F.lit(n_items)).cast("int")
-    score = (F.floor("value").cast("long") % 10 + 1) / F.lit(2.0)
-    ts = epoch_seconds("ts")
-    line = F.when(F.col("event_type") == "error",
-                  F.concat(F.lit("INFO page hit "), F.col("event_id").cast("string"))) \
-        .otherwise(F.concat(F.lit("INFO "), F.lit(RATING_PREFIX), uid.cast("string"), F.lit("|"),
-                            mid.cast("string"), F.lit("|"), score.cast("decimal(3,1)").cast("string"),
-                            F.lit("|"), ts.cast("string"), F.lit(" ")))
-    return events.select("event_id", line.alias("line"))
+    """Log lines as the web tier writes them (the batch view's rule), on a stream."""
+    return log_lines(events, n_items)
 
 
 def log_filter(lines: DataFrame) -> DataFrame:
@@ -90,6 +81,34 @@ def run_to_table(stream: DataFrame, spark: SparkSession, name: str, base: str |
     return f"{base}/out"
 
 
+# ------------------------------------------------- C13: messages and rejects
+def typed_messages(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of rating messages: a message of which a field is missing or of
+    another type is a reject, as it stands."""
+    parsed = messages.select("event_id", "msg", parse_rating_message("msg").alias("r")).select("event_id", "msg", "r.*")
+    whole = F.col("uid").isNotNull() & F.col("mid").isNotNull() & F.col("score").isNotNull() & F.col("ts").isNotNull()
+    return parsed.where(whole).drop("msg"), parsed.where(~whole).select("event_id", "msg")
+
+
+class MessageSplitter:
+    """foreachBatch sink with two outputs: ``rows/batch=<id>`` and ``rejects/batch=<id>``."""
+
+    def __init__(self, base: str):
+        self.rows, self.rejects = f"{base}/rows", f"{base}/rejects"
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        rows, rejects = typed_messages(materialize(batch))
+        rows.write.mode("overwrite").parquet(f"{self.rows}/batch={batch_id}")
+        rejects.write.mode("overwrite").parquet(f"{self.rejects}/batch={batch_id}")
+
+
+def split_messages(lines: DataFrame, spark: SparkSession, base: str | None = None) -> MessageSplitter:
+    """H1 + C13 over what there is now: rating lines to typed rows and rejects."""
+    sink = MessageSplitter(base or new_subdir(spark, "messages"))
+    start_batches(log_filter(lines), sink.rows.rsplit("/", 1)[0], sink).awaitTermination()
+    return sink
+
+
 # ---------------------------------------------------------------- H3 state
 CONTEXT_SCHEMA = "kind string, event_id long, uid int, mid int, score double, ts long"
 EVENT, TAIL, RATED = "event", "tail", "rated"

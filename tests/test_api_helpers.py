@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ratewise.functions.columns import to_timestamp_any
 from ratewise.operators import maintain, serving, text
-from ratewise.sources import text_formats as tf
+from ratewise.sources import text_files
 
 
 def test_publish_all_and_read_back(spark):
@@ -41,8 +41,7 @@ def test_file_header_drops_every_copy(spark):
     d = tempfile.mkdtemp(prefix="ratewise-txt-")
     with open(f"{d}/x.csv", "w") as fh:
         fh.write("h1,h2\n1,2\nh1,h2\n3,4\n")
-    lines = tf.read_lines(spark, f"{d}/x.csv")
-    kept = tf.drop_header(lines, tf.file_header(spark, f"{d}/x.csv"))
+    kept = text_files.scan_lines(spark, f"{d}/x.csv", text_files.first_line(spark, f"{d}/x.csv"))
     assert [r.line for r in kept.collect()] == ["1,2", "3,4"]
 
 

@@ -53,15 +53,3 @@ def test_cold_start_uses_category_list(spark):
     top = spark.createDataFrame([("Small", 9, 4.0, 1)], "category string, mid int, avg double, rank long")
     got = {(r.uid, r.mid, r.source) for r in serving.cold_start(users, lists, top, 10).collect()}
     assert got == {(1, 7, "list"), (2, 9, "category")}
-
-
-def test_blocked_more_like_this_equals_join_form(spark):
-    from ratewise.operators import search
-    from ratewise.sources.fixtures import Fixtures
-    fx = Fixtures(spark, "/root/testdata/sf0.001")
-    post = search.build_postings(fx.docs(), "mid", ["name", "descri"])
-    seeds = fx.table("labels").select(F.col("doc_id").cast("int").alias("seed"))
-    a = {tuple(r) for r in search.more_like_this(post, seeds, 10).select("seed", "mid", "score", "rank").collect()}
-    b = {tuple(r) for r in search.more_like_this_blocked(post, seeds, 10, seed_block=7, doc_block=13)
-         .select("seed", "mid", "score", "rank").collect()}
-    assert a == b and len(a) > 0

@@ -1,4 +1,8 @@
+import math
+import random
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ratewise.operators import similarity as sim
@@ -69,31 +73,138 @@ def test_dense_threshold_multi_block(spark):
     assert got == want
 
 
+def _rows_of(near, members, k):
+    """The k nearest other rows of every row, with those that tie with the k-th."""
+    reps = {r.id: r.rep for r in members.collect()}
+    group = {}
+    for i, rep in reps.items():
+        group.setdefault(rep, []).append(i)
+    lists = {}
+    for r in near.collect():
+        lists.setdefault(r.a, []).append((r.cos, r.b))
+    out = {}
+    for i, rep in reps.items():
+        found = [(1.0, j) for j in group[rep] if j != i] + [(c, j) for c, b in lists.get(rep, []) for j in group[b]]
+        least = sorted((c for c, _ in found), reverse=True)[:k][-1:]
+        out[i] = {(j, c) for c, j in found if c >= least[0]} if found else set()
+    return out
+
+
+def _brute_rows(m, k):
+    u = m / np.linalg.norm(m, axis=1, keepdims=True)
+    s = np.round(u @ u.T, 6)
+    out = {}
+    for i in range(len(m)):
+        rest = sorted(((s[i, j], j) for j in range(len(m)) if j != i), reverse=True)
+        out[i] = {(j, c) for c, j in rest if c >= rest[k - 1][0]}
+    return out
+
+
 def test_dense_nearest_k(spark):
     rng = np.random.default_rng(4)
     m = rng.normal(size=(50, 6))
     df = spark.createDataFrame([(int(i), m[i].tolist()) for i in range(50)], "id long, v array<double>")
-    got = {}
-    for r in sim.nearest_dense(df, "id", "v", 3, block_rows=8).collect():
-        got.setdefault(r.a, set()).add(r.b)
-    u = m / np.linalg.norm(m, axis=1, keepdims=True)
-    s = u @ u.T
-    np.fill_diagonal(s, -np.inf)
-    for i in range(50):
-        assert got[i] == set(sorted(range(50), key=lambda j: (-s[i, j], j))[:3])
+    got = _rows_of(*sim.nearest_dense(df, "id", "v", 3, block_rows=8), 3)
+    want = _brute_rows(m, 3)
+    assert {i: {j for j, _ in x} for i, x in got.items()} == {i: {j for j, _ in x} for i, x in want.items()}
 
 
-def test_dense_nearest_k_keeps_ties_over_any_blocks(spark):
-    """Few directions, so nearly all neighbours tie: the same rows from 1, 2 and 8 blocks."""
+@pytest.mark.parametrize("block_rows", [96, 48, 12])
+def test_dense_nearest_k_with_many_equal_vectors(spark, block_rows):
+    """Few vectors, one of a third of the rows: the same result from 1, 2 and 8 blocks, and rows per vector only."""
     rng = np.random.default_rng(5)
-    kinds = rng.normal(size=(5, 6))
-    kind = rng.integers(5, size=96)
-    df = spark.createDataFrame([(int(i), (kinds[kind[i]] * (1 + i % 3)).tolist()) for i in range(96)], "id long, v array<double>")
-    runs = [{(r.a, r.b, r.cos) for r in sim.nearest_dense(df, "id", "v", 4, block_rows=rows).collect()} for rows in (96, 48, 12)]
-    assert runs[0] == runs[1] == runs[2]
-    for i in range(96):
-        same = {j for j in range(96) if j != i and kind[j] == kind[i]}
-        assert same <= {b for a, b, _ in runs[0] if a == i}
+    kinds = rng.normal(size=(12, 6))
+    m = kinds[np.where(np.arange(96) % 3 == 0, 0, rng.integers(1, 12, size=96))]
+    df = spark.createDataFrame([(int(i), m[i].tolist()) for i in range(96)], "id long, v array<double>")
+    near, members = sim.nearest_dense(df, "id", "v", 4, block_rows=block_rows)
+    assert near.count() == 12 * 4 and members.count() == 96
+    got, want = _rows_of(near, members, 4), _brute_rows(m, 4)
+    assert all({j for j, _ in got[i]} == {j for j, _ in want[i]} for i in range(96))
+
+
+def _clusters(n, seed=6, d=16):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(6, d))
+    return np.concatenate([centres[np.arange(n) % 6] + rng.normal(size=(n, d)) * 0.15, np.zeros((1, d))])
+
+
+@pytest.mark.parametrize("block_rows", [400, 60, 20])
+def test_dense_pruning_skips_pairs_and_loses_none(spark, block_rows):
+    m = _clusters(200)
+    df = spark.createDataFrame([(int(i), m[i].tolist()) for i in range(len(m))], "id long, v array<double>")
+    u = m[:200] / np.linalg.norm(m[:200], axis=1, keepdims=True)
+    s = np.round(u @ u.T, 6)
+    skipped, topk = {}, {}
+    got = {(r.a, r.b): round(r.cos, 6) for r in sim.cosine_pairs_dense(df, "id", "v", 0.8, block_rows=block_rows, skipped=skipped).collect()}
+    assert got == {(i, j): float(s[i, j]) for i in range(200) for j in range(200) if i != j and (u @ u.T)[i, j] > 0.8}
+    near = _rows_of(*sim.nearest_dense(df, "id", "v", 3, block_rows=block_rows, skipped=topk), 3)
+    want = _brute_rows(m[:200], 3)
+    assert all({j for j, _ in near[i]} == {j for j, _ in want[i]} for i in range(200))
+    if block_rows == 20:
+        assert skipped["skipped"] > 0 and topk["skipped"] > 0
+
+
+def test_dense_pairs_of_two_tables(spark):
+    m = _clusters(120, 8)
+    left = spark.createDataFrame([(int(i), m[i].tolist()) for i in range(0, 120, 3)], "x long, v array<double>")
+    right = spark.createDataFrame([(int(i), m[i].tolist()) for i in [*range(120), 120]] + [(500, m[3].tolist())], "y long, v array<double>")
+    got = {(r.a, r.b) for r in sim.cosine_pairs_dense(left, "x", "v", 0.8, right=right, right_id="y", block_rows=16).collect()}
+    u = m[:120] / np.linalg.norm(m[:120], axis=1, keepdims=True)
+    want = {(i, j) for i in range(0, 120, 3) for j in range(120) if u[i] @ u[j] > 0.8}
+    assert got == want | {(i, 500) for i, j in want if j == 3}
+
+
+def test_no_dense_rows(spark):
+    empty = spark.createDataFrame([], "id long, v array<double>")
+    assert sim.cosine_pairs_dense(empty, "id", "v", 0.5).count() == 0
+    assert sim.nearest_dense(empty, "id", "v", 3)[0].count() == 0
+
+
+@pytest.mark.parametrize("block_rows,width", [(1000, 4096), (17, 4096), (17, 7), (1000, 1)])
+def test_sparse_blocked_over_blocks_and_slices(spark, block_rows, width):
+    rnd = random.Random(9)
+    def side(n, key):
+        return [(i, f"t{t}", rnd.random() + 0.1, i % 4) for i in range(n) for t in sorted({int(40 * rnd.random() ** 2) for _ in range(rnd.randrange(1, 20))})]
+    left, right = side(60, 0), side(45, 1) + [(99, "t0", 0.0, 1)]
+    l = spark.createDataFrame([(f"c{i}", t, w, o) for i, t, w, o in left], "cid string, term string, w double, uid int")
+    r = spark.createDataFrame([(i, t, w) for i, t, w, _ in right], "mid int, term string, w double")
+
+    def unit(rows):
+        out = {}
+        for i, t, w, *_ in rows:
+            out.setdefault(i, {})[t] = w
+        norm = {i: math.sqrt(sum(w * w for w in v.values())) for i, v in out.items()}
+        return {i: {t: w / norm[i] for t, w in v.items()} for i, v in out.items() if norm[i]}
+    lu, ru = unit(left), unit(right)
+    want = {(i, j): sum(x * b.get(t, 0) for t, x in a.items()) for i, a in lu.items() for j, b in ru.items()}
+    want = {k: c for k, c in want.items() if c > 0.4}
+    got = {(int(x.cid[1:]), x.mid): x.cos for x in sim.cosine_pairs_sparse_blocked(l, r, "cid", "mid", 0.4, block_rows, width).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want) and want
+    users = sim.cosine_pairs_sparse_blocked(l, r, "cid", "mid", 0.4, block_rows, width, payload="uid")
+    assert sorted((x.uid, x.mid) for x in users.collect()) == sorted((i % 4, j) for i, j in want)
+
+
+def test_slices_leave_out_what_cannot_reach():
+    """Rows whose remaining norm is too small are not multiplied any more."""
+    rng = np.random.default_rng(1)
+    def block(n):
+        rows = []
+        for i in range(n):
+            t = np.sort(rng.choice(400, size=30, replace=False))
+            x = rng.random(30)
+            rows.append({"id": str(i), "t": t, "x": x / np.linalg.norm(x)})
+        return sim._csr(rows)
+    left, right = block(80), block(70)
+    dense = []
+    for ids, o, t, x in (left, right):
+        m = np.zeros((len(ids), 400))
+        m[o, t] = x
+        dense.append(m)
+    full = dense[0] @ dense[1].T
+    for threshold in (0.2, 0.5, 0.9):
+        a, b, c = sim.sliced_products(left, right, threshold, 16)
+        assert set(zip(a.tolist(), b.tolist())) == set(zip(*map(list, np.nonzero(full > threshold))))
+        assert np.allclose(c, full[a, b])
 
 
 def test_zero_vector_never_similar(spark):
