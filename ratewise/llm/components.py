@@ -30,3 +30,21 @@ def components(links: DataFrame, tmp: Scratch, a: str = "a", b: str = "b") -> Da
         labels = step.select("node", "label")
         if not changed:
             return labels
+
+
+def merged(labels: DataFrame | None, links: DataFrame, tmp: Scratch) -> DataFrame:
+    """(node, label) after further links (a, b).
+
+    Only links between different labels matter: they are contracted to distinct pairs of
+    labels, whose components are found by themselves, so what was linked before isn't walked again."""
+    if labels is None:
+        return components(links, tmp)
+    at = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+    to = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    ends = links.join(at, "a", "left").join(to, "b", "left").select("a", "b", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb"))
+    ends = tmp.keep(ends, "link-labels", release=False)
+    joined = components(ends.select("la", "lb").where("la <> lb").distinct(), tmp, "la", "lb")
+    nodes = (labels.unionByName(ends.select(F.col("a").alias("node"), F.col("la").alias("label")))
+                   .unionByName(ends.select(F.col("b").alias("node"), F.col("lb").alias("label"))).distinct())
+    out = nodes.join(joined.select(F.col("node").alias("label"), F.col("label").alias("new")), "label", "left")
+    return tmp.keep(out.select("node", F.coalesce("new", "label").alias("label")), "labels", release=False)

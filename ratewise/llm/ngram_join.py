@@ -12,9 +12,12 @@ class and never compared.  The classes that links connect form components.
     dealt out by n-gram; an n-gram of one class alone is dropped.
     So is what passes the length and position filters with no other.
 3.  Rounds.  In each group of classes that share a prefix n-gram, everyone has
-    one hub of a fitting size and another label (the smallest, then the
-    largest, then again the smallest); each class is paired with two of its
-    hubs at most, the pairs are verified, and links merge labels.  The last round
+    one hub of a fitting size and another label (the most shared one, then the
+    smallest, then again the most shared one); each class is paired with two of its
+    hubs at most, the pairs are verified, and links merge labels.  An edit makes n-grams of
+    its own, so in a family of edited copies the text that they come from has the largest
+    share of prefix n-grams in common with others: it is their hub, and links with them even
+    where they don't link with each other.  The last round
     pairs all that share an n-gram but still have different labels, by length
     and position filters.  A group of thousands of near copies costs one pair
     a member, because its members have one label after the first round; no
@@ -47,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.llm.common import Scratch, WordHashes, bitmap_of, in_bitmap, kernel, shingle_hashes, text_groups, written
-from ratewise.llm.components import components
+from ratewise.llm.components import merged
 
 SKETCH_BITS = 20
 SEGMENT = 1 << 13
@@ -129,26 +132,25 @@ def walk_trie(query: list[int], records: list[list[int]], percent: int) -> list[
     return found
 
 
-def _run_pairs(rows: tuple[np.ndarray, ...], percent: int, hubs: bool, down: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs within one group (sorted by size)."""
-    cls, size, pos, label = rows
+def _run_pairs(rows: tuple[np.ndarray, ...], percent: int, mode: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Candidate pairs within one group (sorted by size): (hub, class, the hub's share)."""
+    cls, size, pos, label, share = rows
     if (label == label[0]).all():
-        return cls[:0], cls[:0]
-    if down:
-        cls, size, pos, label = cls[::-1], size[::-1], pos[::-1], label[::-1]
-    left, right = [], []
-    if hubs:
+        return cls[:0], cls[:0], share[:0]
+    left, right, weight = [], [], []
+    if mode != "all":
         at = 0
         while at < len(cls):
-            small, big = np.minimum(size[at:], size[at]), np.maximum(size[at:], size[at])
-            fits = 100 * small >= percent * big
-            stop = len(fits) if fits.all() else int(np.argmin(fits))
-            bound = 1 + np.minimum(size[at:at + stop] - pos[at:at + stop], size[at] - pos[at])
-            ok = (label[at:at + stop] != label[at]) & (bound >= needed_overlap(size[at:at + stop], size[at], percent))
-            right.append(cls[at:at + stop][ok])
-            left.append(np.full(len(right[-1]), cls[at]))
-            at += stop
-        return np.concatenate(left), np.concatenate(right)
+            stop = int(np.searchsorted(size * percent, 100 * size[at], side="right"))  # sizes that fit the smallest
+            hub = at + int(share[at:stop].argmax()) if mode == "shared" else at
+            big, small = np.maximum(size[at:stop], size[hub]), np.minimum(size[at:stop], size[hub])
+            bound = 1 + np.minimum(size[at:stop] - pos[at:stop], size[hub] - pos[hub])
+            ok = (label[at:stop] != label[hub]) & (100 * small >= percent * big) & (bound >= needed_overlap(size[at:stop], size[hub], percent))
+            right.append(cls[at:stop][ok])
+            left.append(np.full(len(right[-1]), cls[hub]))
+            weight.append(np.full(len(right[-1]), share[hub]))
+            at = stop
+        return np.concatenate(left), np.concatenate(right), np.concatenate(weight)
     start = np.searchsorted(100 * size, percent * size, side="left")
     for i in range(1, len(cls)):
         j = slice(start[i], i)
@@ -158,7 +160,8 @@ def _run_pairs(rows: tuple[np.ndarray, ...], percent: int, hubs: bool, down: boo
             left.append(cls[j][ok])
             right.append(np.full(int(ok.sum()), cls[i]))
     none = [cls[:0]]
-    return np.concatenate(left or none), np.concatenate(right or none)
+    a, b = np.concatenate(left or none), np.concatenate(right or none)
+    return a, b, np.zeros(len(a))
 
 
 def _with_partner(b: pa.RecordBatch, percent: int) -> pa.RecordBatch:
@@ -178,18 +181,24 @@ def _with_partner(b: pa.RecordBatch, percent: int) -> pa.RecordBatch:
     return b.filter(pa.array(keep))
 
 
-def _pairs(batches: Iterator[pa.RecordBatch], percent: int, hubs: bool, down: bool) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (h, n, cls); the group at the end of a batch waits for the next."""
-    names = ["cls", "n", "pos", "label"]
+def _pairs(batches: Iterator[pa.RecordBatch], percent: int, mode: str) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (h, n, cls); the group at the end of a batch waits for the next.  Of a
+    class's hubs in a batch the most shared one and the smallest leave the task."""
+    names = ["cls", "n", "pos", "label", "share"]
 
     def out(runs) -> pa.RecordBatch:
-        both = [_run_pairs(r, percent, hubs, down) for r in runs if len(r[0]) > 1]
-        a = np.concatenate([x for x, _ in both] or [np.empty(0, np.int64)])
-        b = np.concatenate([y for _, y in both] or [np.empty(0, np.int64)])
-        if not hubs:  # either end may be the hub of the walk
+        found = [_run_pairs(r, percent, mode) for r in runs if len(r[0]) > 1]
+        a, b, w = (np.concatenate([f[i] for f in found] or [np.empty(0, t)]) for i, t in enumerate((np.int64, np.int64, float)))
+        if mode == "all":  # either end may be the hub of the walk
             a, b = np.minimum(a, b), np.maximum(a, b)
-        u = np.unique(np.stack([a, b], axis=1), axis=0) if len(a) else np.empty((0, 2), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(u[:, 0]), pa.array(u[:, 1])], ["a", "b"])
+            order = np.lexsort((a, b))
+            new = np.flatnonzero(np.concatenate([[True], (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])])) if len(a) else order
+            keep = order[new]
+        else:
+            best, least = np.lexsort((-a, w, b)), np.lexsort((-a, b))
+            ends = np.flatnonzero(np.concatenate([b[best][1:] != b[best][:-1], [True]])) if len(b) else best
+            keep = np.unique(np.concatenate([best[ends], least[ends]]))
+        return pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep]), pa.array(w[keep])], ["a", "b", "share"])
 
     held: list[np.ndarray] | None = None
     for batch in batches:
@@ -341,19 +350,20 @@ def _components_of(docs: DataFrame, n: int, percent: int, id_col: str, text_col:
         .write.bucketBy(buckets, "cls").option("path", tmp.path("ngram-sets")).saveAsTable(table))
     grams = spark.table(table)
 
-    links, labels = None, None
-    for hubs, down in ((True, False), (True, True), (True, False), (False, False)):
-        rows = groups.withColumn("label", F.col("cls"))
+    shares = tmp.keep(groups.groupBy("cls").agg((F.count("*") / F.first("n")).alias("share")), "ngram-shares")
+    labels = None
+    for mode in ("shared", "small", "shared", "all"):
+        state = shares.withColumn("label", F.col("cls"))
         if labels is not None:
-            rows = (groups.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-                          .withColumn("label", F.coalesce("label", "cls")))
-        pairs = (rows.select("h", "cls", "n", "pos", "label").repartition("h").sortWithinPartitions("h", "n", "cls")
-                     .mapInArrow(partial(_pairs, percent=percent, hubs=hubs, down=down), "a long, b long"))
-        if hubs:  # of the hubs of all its groups, two for each class
-            ends = pairs.groupBy("b").agg(F.min("a").alias("low"), F.max("a").alias("high"))
-            pairs = ends.select("b", F.explode(F.array_distinct(F.array("low", "high"))).alias("a"))
+            state = (shares.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
+                           .select("cls", "share", F.coalesce("label", "cls").alias("label")))
+        pairs = (groups.join(state, "cls").select("h", "cls", "n", "pos", "label", "share").repartition("h").sortWithinPartitions("h", "n", "cls")
+                       .mapInArrow(partial(_pairs, percent=percent, mode=mode), "a long, b long, share double"))
+        if mode != "all":  # of the hubs of all its groups, two for each class
+            ends = pairs.groupBy("b").agg(F.max(F.struct("share", "a")).alias("best"), F.min("a").alias("low"))
+            pairs = ends.select("b", F.explode(F.array_distinct(F.array("best.a", "low"))).alias("a"))
         else:
-            pairs = pairs.distinct()
+            pairs = pairs.select("a", "b").distinct()
         pairs = tmp.keep(pairs.withColumn("chunk", F.pmod(F.xxhash64("b"), F.lit(64))), "ngram-pairs")
         roles = (pairs.select(F.col("b").alias("cls"), "a", "chunk", "b")
                       .unionByName(pairs.select(F.col("a").alias("cls"), "a", "chunk", F.lit(None).cast("long").alias("b")).distinct()))
@@ -361,8 +371,8 @@ def _components_of(docs: DataFrame, n: int, percent: int, id_col: str, text_col:
                       .sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
                       .mapInArrow(partial(_verify, percent=percent), "a long, b long").distinct())
         found = tmp.keep(found, "ngram-links")
-        links = found if links is None else links.unionByName(found)
-        labels = components(links, tmp)
+        tmp.drop(pairs)
+        labels = merged(labels, found, tmp)
     spark.sql(f"DROP TABLE {table}")
 
     docs_ = scanned.where("segment is null").select("doc_id", "n", "cls")
