@@ -49,7 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import fold, kernel, text_groups, written
+from ratewise.llm.common import Scratch, fold, kernel, text_groups, written
 
 CLUSTERED = 1 << 13
 SEEN = 5
@@ -161,7 +161,17 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
                     rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of
     every row of ``docs``; the model learns from the rows that aren't held out."""
-    spark = kernel(docs)
+    with Scratch(kernel(docs), "lm") as tmp:
+        return written(_scored(docs, held_out, id_col, text_col, rounds, tmp), "lm-scores")
+
+
+def _fewer_tasks(df: DataFrame) -> DataFrame:
+    """A task for every three: what a task sums over more text is fewer rows to exchange."""
+    return df.coalesce(max(1, df.rdd.getNumPartitions() // 3))
+
+
+def _scored(docs: DataFrame, held_out: Column, id_col: str, text_col: str, rounds: int, tmp: Scratch) -> DataFrame:
+    spark = docs.sparkSession
     context = spark.sparkContext
     src = docs.select(F.col(id_col).alias("doc_id"), held_out.alias("held_out"), F.col(text_col).alias("text"))
     train = src.where("not held_out").select("text")
@@ -179,12 +189,13 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
                 held.clear()
         yield out()
 
-    vocabulary = written(train.mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "lm-vocabulary")
+    vocabulary = tmp.keep(_fewer_tasks(train).mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "vocabulary")
     ends = train.count()
     n_words, kinds = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     n_train, n_kinds = n_words + ends, kinds + (ends > 0)
     known = vocabulary.where(F.col("c") * KNOWN >= n_train).orderBy(F.desc("c"), "word").limit(KNOWN).collect()
     known = [(bytes(r["word"]), r["c"]) for r in known]
+    tmp.drop(vocabulary)
     size = sum(1 for _, c in known if c * CLUSTERED >= n_train)
     symbols = _Symbols(size, {w: i if i < size else size + _ending(w) for i, (w, _) in enumerate(known)})
     n_symbols, n_classes = size + ENDINGS + 1, CLASSES + ENDINGS + 1
@@ -203,7 +214,7 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
                 keys, counts = keys[:0], counts[:0]
         yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["pair", "n"])
 
-    pairs = written(train.mapInArrow(bigrams, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "lm-bigrams")
+    pairs = tmp.keep(_fewer_tasks(train).mapInArrow(bigrams, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "bigrams")
 
     def contexts(class_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,6 +230,7 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
         return tuple(flat.reshape(2, n_symbols, n_classes))
 
     class_of, core_pairs = exchange(rounds, CLASSES, size, ENDINGS, contexts)
+    tmp.drop(pairs)
     placed = context.broadcast((class_of, merits(core_pairs, CLASSES + ENDINGS)))
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,7 +288,7 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
 
     # no word outside the exchange makes up more than 1 / CLUSTERED of the rows
     around = train.mapInArrow(occurrences, "word binary, cell int, n long").repartition("word").sortWithinPartitions("word")
-    others = written(around.mapInArrow(assign, "word binary, c long, class int"), "lm-classes")
+    others = tmp.keep(around.mapInArrow(assign, "word binary, c long, class int"), "classes")
     members = np.bincount(class_of[:size], minlength=n_classes).astype(float)  # distinct words of each class
     for r in others.groupBy("class").count().collect():
         members[r["class"]] += r["count"]
@@ -320,8 +332,8 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
                  pa.array([flat[i] for i in np.flatnonzero(at < 0).tolist()], pa.binary()), pa.array(open_ - first[owner], pa.int64())], names)
 
     kind = src.schema["doc_id"].dataType.simpleString()
-    scanned = written(src.mapInArrow(scan, f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, own double, "
-                                           "classes binary, word binary, place long"), "lm-scan")
+    scanned = tmp.keep(src.mapInArrow(scan, f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, own double, "
+                                           "classes binary, word binary, place long"), "scan")
     ending = CLASSES + F.pmod(F.crc32(F.substring("word", -2, 2)), F.lit(ENDINGS))
     rare = (scanned.where("word is not null").select("row", "word", "place")
                    .join(others.where(~(F.col("c") * KNOWN >= n_train)), "word", "left")
@@ -343,7 +355,9 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
                 full.append(line)
             yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(full, pa.binary())], [*b.schema.names[:5], "classes"])
 
-    lines = written(joined.mapInArrow(fill, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, own double, classes binary"), "lm-lines")
+    lines = tmp.keep(joined.mapInArrow(fill, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, own double, classes binary"), "lines")
+    tmp.drop(scanned)
+    tmp.drop(others)
 
     def class_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(n_classes * n_classes, np.int64)

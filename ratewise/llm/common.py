@@ -59,20 +59,31 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.base, self.made = spark, new_subdir(spark, name), 0
+        self.kept: dict[int, tuple[DataFrame, str]] = {}
 
     def path(self, name: str) -> str:
         self.made += 1
         return f"{self.base}/{self.made:02d}-{name}"
 
     def keep(self, df: DataFrame, name: str, release: bool = True) -> DataFrame:
-        return written(df, name, self.path(name), release)
+        path = self.path(name)
+        out = written(df, name, path, release)
+        self.kept[id(out)] = (out, path)
+        return out
+
+    def drop(self, table: DataFrame) -> None:
+        """Remove a kept table that no later step reads."""
+        self._delete(self.kept.pop(id(table))[1])
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
     def __enter__(self) -> Scratch:
         return self
 
     def __exit__(self, *error) -> None:
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.base)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        self._delete(self.base)
 
 
 def free_name(df: DataFrame, name: str) -> str:
