@@ -157,23 +157,36 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _S31)
 
 
-class WordHashes:
-    """64-bit hashes of words, remembered while the table stays small."""
-
-    def __init__(self, most: int = 400_000):
-        self.known: dict[bytes, int] = {}
-        self.most = most
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        import xxhash
-
-        known = self.known
-        if len(known) > self.most:
-            known.clear()
-        h = xxhash.xxh3_64_intdigest
-        for w in set(words).difference(known):
-            known[w] = h(w)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_PLACE, _LENGTH = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
+
+
+def hashed_words(texts: Iterable[str | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of the texts, one after another, and each text's number of words.
+
+    A word's hash is a sum of one pseudo-random number for each (byte, place in the word),
+    so all words of all texts are hashed together, without an object for any of them."""
+    parts = [(t or "").encode() for t in texts]
+    data = b"\n".join(parts) + b"\n"
+    if lower:
+        data = data.lower()
+    buf = np.frombuffer(data, np.uint8)
+    inside = ~_BLANK[buf]
+    edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0)))
+    starts, ends = edges[::2], edges[1::2]
+    size = np.fromiter(map(len, parts), np.int64, len(parts)) + 1
+    counts = np.diff(np.searchsorted(starts, np.cumsum(size)), prepend=0)
+    if not len(starts):
+        return np.empty(0, np.uint64), counts
+    at = np.flatnonzero(inside)
+    length = ends - starts
+    offsets = np.cumsum(length) - length
+    place = (np.arange(len(at)) - np.repeat(offsets, length)).astype(np.uint64)
+    place *= _PLACE
+    place += _BYTE[buf[at]]
+    return mix(np.add.reduceat(mix(place), offsets) + length.astype(np.uint64) * _LENGTH), counts
 
 
 def shingle_hashes(w: np.ndarray, k: int, seed: int = 0) -> np.ndarray:

@@ -49,27 +49,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import Scratch, WordHashes, bitmap_of, in_bitmap, kernel, shingle_hashes, text_groups, written
+from ratewise.llm.common import Scratch, bitmap_of, hashed_words, in_bitmap, kernel, shingle_hashes, text_groups, written
 from ratewise.llm.components import merged
 
 SKETCH_BITS = 20
 SEGMENT = 1 << 13
 FILTER_BITS = 24
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 2 << 20
 TRIE_SETS = 256
 SMALL_GROUP = 64
 BUCKETS = 64
 
 
-def _sets(texts: list[str | None], hashes: WordHashes, n: int) -> list[np.ndarray]:
+def _sets(texts: list[str | None], n: int) -> list[np.ndarray]:
     """The sorted n-gram set of each text; n-grams are hashed for all texts together."""
-    words = [(t or "").encode().lower().split() for t in texts]
-    flat = hashes([w for ws in words for w in ws])
+    flat, counts = hashed_words(texts, lower=True)
     grams = shingle_hashes(flat, n) if len(flat) >= n else flat[:0]
     out, at = [], 0
-    for ws in words:
-        k = len(ws)
-        out.append(np.unique(grams[at:at + k - n + 1] if k >= n else shingle_hashes(flat[at:at + k], n)))
+    for k in counts.tolist():
+        own = np.sort(grams[at:at + k - n + 1] if k >= n else shingle_hashes(flat[at:at + k], n))
+        out.append(own[np.concatenate([[True], own[1:] != own[:-1]])] if len(own) > 1 else own)
         at += k
     return out
 
@@ -257,11 +256,11 @@ def _components_of(docs: DataFrame, n: int, percent: int, id_col: str, text_col:
     kind = src.schema["doc_id"].dataType.simpleString()
 
     def first_scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = WordHashes(), np.zeros(1 << SKETCH_BITS, np.int32)
+        counts = np.zeros(1 << SKETCH_BITS, np.int32)
         names = ["doc_id", "n", "cls", "segment", "counts"]
         none, id_type = pa.list_(pa.int32()), None
         for b in text_groups(batches, "text", GROUP_BYTES):
-            sets = _sets(b.column("text").to_pylist(), hashes, n)
+            sets = _sets(b.column("text").to_pylist(), n)
             ids, id_type = b.column("doc_id"), b.column("doc_id").type
             counts += np.bincount(_counter(np.concatenate(sets)), minlength=len(counts)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(_classes(sets)),
@@ -289,9 +288,9 @@ def _components_of(docs: DataFrame, n: int, percent: int, id_col: str, text_col:
     rarity = spark.sparkContext.broadcast(np.round(32 * np.log2(counts.ravel() + 1.0)).astype(np.uint16))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, rank = WordHashes(), rarity.value
+        rank = rarity.value
         for b in text_groups(batches, "text", GROUP_BYTES):
-            sets = _sets(b.column("text").to_pylist(), hashes, n)
+            sets = _sets(b.column("text").to_pylist(), n)
             names = _classes(sets)
             first = [i for i in np.unique(names, return_index=True)[1] if len(sets[i])]
             if not first:
@@ -333,9 +332,9 @@ def _components_of(docs: DataFrame, n: int, percent: int, id_col: str, text_col:
     bits = spark.sparkContext.broadcast(bitmap_of(owners.select(F.col("cls").bitwiseXOR(owner).alias("k")), "k", FILTER_BITS))
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, rank = WordHashes(), rarity.value
+        rank = rarity.value
         for b in text_groups(batches, "text", GROUP_BYTES):
-            sets = _sets(b.column("text").to_pylist(), hashes, n)
+            sets = _sets(b.column("text").to_pylist(), n)
             cls = _classes(sets)
             hit = in_bitmap(bits.value, cls ^ b.column("owner").to_numpy(), FILTER_BITS)
             keep = [i for i in np.flatnonzero(hit) if len(sets[i])]

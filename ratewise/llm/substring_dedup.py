@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import WordHashes, bitmap_of, in_bitmap, kernel, shingle_hashes, text_groups
+from ratewise.llm.common import bitmap_of, hashed_words, in_bitmap, kernel, shingle_hashes, text_groups
 
 WINDOW = 20
 ANCHOR = 8
@@ -53,15 +53,13 @@ _NULL_ID = -(1 << 63)
 class _Block:
     """Word hashes of a group of texts and the anchors of its windows."""
 
-    def __init__(self, texts: list[str], hashes: WordHashes, window: int, anchor: int):
-        words = [t.encode().split() for t in texts]
-        self.lengths = np.fromiter(map(len, words), np.int64, len(words))
+    def __init__(self, texts: list[str], window: int, anchor: int):
+        self.words, self.lengths = hashed_words(texts)
         self.offsets = np.cumsum(self.lengths) - self.lengths
-        self.words = np.concatenate([np.empty(0, np.uint64), *(hashes(w) for w in words)])
         counts = np.maximum(self.lengths - window + 1, 0)
         total = int(counts.sum())
         #: each window's document and its start among the block's words
-        self.doc = np.repeat(np.arange(len(words)), counts)
+        self.doc = np.repeat(np.arange(len(texts)), counts)
         self.start = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts) + self.offsets[self.doc]
         if total:
             grams = shingle_hashes(self.words, anchor)
@@ -118,9 +116,8 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
                       F.xxhash64(F.col(text_col)).alias("th")).where(F.col("text").isNotNull())
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for b in text_groups(batches, "text", BLOCK_BYTES):
-            block = _Block(b.column("text").to_pylist(), hashes, window, anchor)
+            block = _Block(b.column("text").to_pylist(), window, anchor)
             once = block.anchor[_breaks(block.anchor_at[1:] == block.anchor_at[:-1])] if len(block.anchor) else block.anchor
             h, n = np.unique(once, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
@@ -130,9 +127,9 @@ def duplicate_spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     shared = spark.sparkContext.broadcast(bitmap_of(repeated, "h", FILTER_BITS))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, bits = WordHashes(), shared.value
+        bits = shared.value
         for b in text_groups(batches, "text", BLOCK_BYTES):
-            block = _Block(b.column("text").to_pylist(), hashes, window, anchor)
+            block = _Block(b.column("text").to_pylist(), window, anchor)
             keep = np.flatnonzero(in_bitmap(bits, block.anchor, FILTER_BITS))
             if not len(keep):
                 continue
