@@ -33,7 +33,8 @@ The base score is that of a unigram model: sum over tokens of
 
 Defined results: a null text is empty and has one token, its end; an empty
 training set gives all words the count 0; rows are kept one to one with null or
-equal ids; an empty table gives an empty result."""
+equal ids; a very long text is scored whole; an empty table gives an empty result; further
+columns may have any name."""
 
 from __future__ import annotations
 

@@ -24,8 +24,9 @@ longer texts; it matches a text of just these words.
 
 Defined results: null texts, texts and items without words match nothing;
 items of equal text all match; ids of documents and items are kept as they
-are, null or repeated (equal rows give equal results, one each); an empty table
-on either side gives no match."""
+are, null or repeated (equal rows give equal results, one each); every window of a very long
+text is counted; an empty table on either side gives no match; further columns of either table may have
+any name (``clean_documents`` keeps those of the documents)."""
 
 from __future__ import annotations
 

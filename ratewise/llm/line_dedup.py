@@ -25,7 +25,8 @@ Defined results: a null text stays null; blank lines always stay; a text
 without line feeds is one line; rows of equal id and equal text are one
 document (both keep the same lines), rows of equal id and different texts are
 ordered by text hash; a null id sorts first; other columns are kept as they
-are by ``clean_lines``; an empty table gives an empty result."""
+are by ``clean_lines``, its two new columns are named by the caller; a very long line is
+one line, read whole; an empty table gives an empty result."""
 
 from __future__ import annotations
 

@@ -36,7 +36,9 @@ stored in buckets by class, so no round shuffles them for its join.
 Defined results: a null text, or one without words, has no n-gram, size 0, and
 links with nothing; a text of fewer words than n is one n-gram; equal texts
 link if they have a word; ids may be null or repeated (rows are kept one to
-one, a component's id is its smallest id that isn't null)."""
+one, a component's id is its smallest id that isn't null); a very long text is read whole,
+its set goes through one task at a time; an empty table gives an empty result; further columns
+may have any name."""
 
 from __future__ import annotations
 

@@ -19,7 +19,10 @@ in order, never held.
 Defined results: a null text counts as empty; a text without words has the
 fingerprint of empty parts only, which is like another such text (1.0) and
 unlike any other (0.0); a single document is its own neighbour; rows of equal
-id are ordered by text hash, rows without an id come last."""
+id are ordered by text hash, rows without an id come last; a very long text is read whole, its places
+count modulo 2^24 words (a longer text's order is seen within such stretches); of a text of fewer
+than some hundred words, parts with one stratum filled hold no order; an empty table gives an empty result;
+further columns may have any name."""
 
 from __future__ import annotations
 

@@ -29,7 +29,8 @@ keyed by content, not through pairs of blocks:
 Defined results: a null text has no words; texts under 20 words keep all;
 ids are integers, a null id sorts before all others; two rows with the same id
 are one document as far as order goes (only a smaller start is earlier), their
-texts are cleaned each by itself; an empty table gives an empty result."""
+texts are cleaned each by itself; a very long text is one block, read whole; an empty table gives an
+empty result; further columns may have any name."""
 
 from __future__ import annotations
 

@@ -19,7 +19,8 @@ path and fits only rules with an empty host; urls are taken as they are (a
 port or user name stays part of the host); rules of equal length that both fit
 are ranked by the text of the rule; a rule listed twice (also in other case)
 counts once, with its smallest text and verdict; a null rule or verdict is ignored; equal urls and page ids are judged
-row by row; an empty rule table gives every url the default."""
+row by row; an empty rule table gives every url the default, an empty page table no row; a
+url of any length is judged whole; further columns of either table may have any name."""
 
 from __future__ import annotations
 
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 from ratewise.llm.common import ascii_lower, kernel
 
 SAMPLE_PER_RANGE = 32
+MOST_PATHS = 100_000
 _END = "\U0010ffff"
 
 
@@ -87,6 +89,8 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             best = seen.get(path)
             if best is None:
+                if len(seen) >= MOST_PATHS:  # remembered to save work only
+                    seen.clear()
                 fits = [r for _, paths in stack for n in {len(p) for p in paths} if n <= len(path) and (r := paths.get(path[:n]))]
                 best = seen[path] = max(fits, key=lambda r: (len(r[0]), r[0]), default=(None, None))
             found.append(best)
