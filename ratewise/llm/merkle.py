@@ -178,7 +178,8 @@ def manifest(docs: DataFrame, changed: Column | None = None, levels: int = LEVEL
     kind = docs.schema["doc_id"].dataType.simpleString()
     block_bits = FANOUT_BITS * levels
     with Scratch(spark, "merkle") as tmp:
-        leaves, sources = numbered(tmp, leaf_rows(docs, changed))
+        # written first: the ranges are found from a sample, which would hash all texts once more
+        leaves, sources = numbered(tmp, tmp.keep(leaf_rows(docs, changed), "leaves"))
         blocks = tmp.keep(leaves.groupBy("sid", "total", F.shiftright("pos", block_bits).alias("j"))
                                 .agg(F.array_sort(F.collect_list(F.struct("pos", "doc_id", "leaf", "bad")),
                                                   lambda a, b: (a["pos"] - b["pos"]).cast("int")).alias("rows")), "blocks")
