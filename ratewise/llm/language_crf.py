@@ -154,11 +154,15 @@ class LanguageModel:
     def __getstate__(self):
         return {**self.__dict__, "known": {}, "scores": None}
 
+    def forget(self) -> None:
+        """Drop the remembered word scores."""
+        self.known, self.scores = {}, None
+
     def word_scores(self, words: list[str]) -> np.ndarray:
         """One row of label scores for each word."""
         new = list(set(words).difference(self.known))
         if len(self.known) + len(new) > _KNOWN_WORDS:
-            self.known, self.scores = {}, None
+            self.forget()
             new = list(set(words))
         if new:
             rows = _word_scores(new, self.lexicon, self.weights)
@@ -296,6 +300,7 @@ def with_language(docs: DataFrame, model: LanguageModel, text_col: str = "text",
             langs, scores = shared.value.classify(b.column(text_col).to_pylist())
             found = pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
             yield pa.RecordBatch.from_arrays([*b.columns, found], [*b.schema.names, name])
+        shared.value.forget()  # workers live on; what they remember of this task's words does not
 
     return docs.mapInArrow(classify, T.StructType([*docs.schema.fields, T.StructField(name, kind)]))
 
