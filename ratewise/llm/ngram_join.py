@@ -13,8 +13,8 @@ class and never compared.  The classes that links connect form components.
     So is what passes the length and position filters with no other.
 3.  Rounds.  In each group of classes that share a prefix n-gram, everyone has
     one hub of a fitting size and another label (the most shared one, then the
-    smallest, then again the most shared one); each class is paired with two of its
-    hubs at most, the pairs are verified, and links merge labels.  An edit makes n-grams of
+    smallest, then again the most shared one); each class is paired with the most shared of its
+    hubs, the pairs are verified, and links merge labels.  An edit makes n-grams of
     its own, so in a family of edited copies the text that they come from has the largest
     share of prefix n-grams in common with others: it is their hub, and links with them even
     where they don't link with each other.  The last round
@@ -22,7 +22,9 @@ class and never compared.  The classes that links connect form components.
     and position filters.  A group of thousands of near copies costs one pair
     a member, because its members have one label after the first round; no
     pair that could join two components is left out.
-4.  Verification.  The sets paired with one hub are stored, a bounded number at
+4.  Verification.  A sketch of each set, how many of its n-grams begin with each byte,
+    bounds the overlap of a pair from above; only pairs that can link read their sets.  The
+    sets paired with one hub are stored, a bounded number at
     a time, in a trie along the global order (most common first, so that near
     copies share paths).  One walk counts the overlap with the hub for all of
     them: a path's count is shared by everything below it, and a subtree ends
@@ -184,7 +186,7 @@ def _with_partner(b: pa.RecordBatch, percent: int) -> pa.RecordBatch:
 
 def _pairs(batches: Iterator[pa.RecordBatch], percent: int, mode: str) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (h, n, cls); the group at the end of a batch waits for the next.  Of a
-    class's hubs in a batch the most shared one and the smallest leave the task."""
+    class's hubs in a batch the most shared one leaves the task."""
     names = ["cls", "n", "pos", "label", "share"]
 
     def out(runs) -> pa.RecordBatch:
@@ -196,9 +198,8 @@ def _pairs(batches: Iterator[pa.RecordBatch], percent: int, mode: str) -> Iterat
             new = np.flatnonzero(np.concatenate([[True], (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])])) if len(a) else order
             keep = order[new]
         else:
-            best, least = np.lexsort((-a, w, b)), np.lexsort((-a, b))
-            ends = np.flatnonzero(np.concatenate([b[best][1:] != b[best][:-1], [True]])) if len(b) else best
-            keep = np.unique(np.concatenate([best[ends], least[ends]]))
+            best = np.lexsort((a, w, b))
+            keep = best[np.flatnonzero(np.concatenate([b[best][1:] != b[best][:-1], [True]]))] if len(b) else best
         return pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep]), pa.array(w[keep])], ["a", "b", "share"])
 
     held: list[np.ndarray] | None = None
@@ -216,6 +217,28 @@ def _pairs(batches: Iterator[pa.RecordBatch], percent: int, mode: str) -> Iterat
         yield out([tuple(held[1:])])
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """How many n-grams of a set begin with each byte; 255 stands for as many or more."""
+    return np.minimum(np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=256), 255).astype(np.uint8).tobytes()
+
+
+def may_link(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of sketches (rows of 256) can belong to sets that link: two sets share, of
+    each first byte, at most the smaller number.  True where a number isn't known."""
+    unknown = (a == 255).any(axis=1) | (b == 255).any(axis=1)
+    a, b = a.astype(np.int64), b.astype(np.int64)
+    return unknown | (np.minimum(a, b).sum(axis=1) >= needed_overlap(a.sum(axis=1), b.sum(axis=1), percent))
+
+
+def _fitting(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b) whose sketches (sa, sb) may link."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 4096):
+            part = batch.slice(start, 4096)
+            sa, sb = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint8).reshape(-1, 256) for c in ("sa", "sb"))
+            yield part.select(["a", "b"]).filter(pa.array(may_link(sa, sb, percent)))
+
+
 def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (a, chunk, b), the hub's own set (b null) first."""
     at, query, names, records = None, None, [], []
@@ -342,12 +365,13 @@ def _components_of(docs: DataFrame, n: int, percent: int, id_col: str, text_col:
             keep = [i for i in np.flatnonzero(hit) if len(sets[i])]
             keep = [keep[k] for k in np.unique(cls[keep], return_index=True)[1]]
             lists = [_rare_first(sets[i], rank)[::-1].view(np.int64) for i in keep]  # most common first
-            yield pa.RecordBatch.from_arrays([pa.array(cls[keep]), pa.array(lists, pa.list_(pa.int64()))], ["cls", "grams"])
+            yield pa.RecordBatch.from_arrays([pa.array(cls[keep]), pa.array([sketch(sets[i]) for i in keep], pa.binary()),
+                                              pa.array(lists, pa.list_(pa.int64()))], ["cls", "sketch", "grams"])
 
     # bucketed by class, a file a bucket: the joins of all rounds read it where it lies
     buckets = max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     table = f"ngram_sets_{uuid.uuid4().hex[:12]}"
-    (src.select(owner.alias("owner"), "text").mapInArrow(wanted, "cls long, grams array<long>").repartition(buckets, "cls")
+    (src.select(owner.alias("owner"), "text").mapInArrow(wanted, "cls long, sketch binary, grams array<long>").repartition(buckets, "cls")
         .write.bucketBy(buckets, "cls").option("path", tmp.path("ngram-sets")).saveAsTable(table))
     grams = spark.table(table)
 
@@ -360,15 +384,17 @@ def _components_of(docs: DataFrame, n: int, percent: int, id_col: str, text_col:
                            .select("cls", "share", F.coalesce("label", "cls").alias("label")))
         pairs = (groups.join(state, "cls").select("h", "cls", "n", "pos", "label", "share").repartition("h").sortWithinPartitions("h", "n", "cls")
                        .mapInArrow(partial(_pairs, percent=percent, mode=mode), "a long, b long, share double"))
-        if mode != "all":  # of the hubs of all its groups, two for each class
-            ends = pairs.groupBy("b").agg(F.max(F.struct("share", "a")).alias("best"), F.min("a").alias("low"))
-            pairs = ends.select("b", F.explode(F.array_distinct(F.array("best.a", "low"))).alias("a"))
+        if mode != "all":  # of the hubs of all its groups, the most shared one
+            pairs = pairs.groupBy("b").agg(F.max(F.struct("share", "a")).alias("best")).select("best.a", "b")
         else:
             pairs = pairs.select("a", "b").distinct()
+        # only pairs whose sketches fit are worth their sets
+        sketches = grams.select(F.col("cls").alias("a"), F.col("sketch").alias("sa")), grams.select(F.col("cls").alias("b"), F.col("sketch").alias("sb"))
+        pairs = pairs.join(sketches[0], "a").join(sketches[1], "b").select("a", "b", "sa", "sb").mapInArrow(partial(_fitting, percent=percent), "a long, b long")
         pairs = tmp.keep(pairs.withColumn("chunk", F.pmod(F.xxhash64("b"), F.lit(64))), "ngram-pairs")
         roles = (pairs.select(F.col("b").alias("cls"), "a", "chunk", "b")
                       .unionByName(pairs.select(F.col("a").alias("cls"), "a", "chunk", F.lit(None).cast("long").alias("b")).distinct()))
-        found = (roles.join(grams, "cls").select("a", "chunk", "b", "grams").repartition("a", "chunk")
+        found = (roles.join(grams.select("cls", "grams"), "cls").select("a", "chunk", "b", "grams").repartition("a", "chunk")
                       .sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
                       .mapInArrow(partial(_verify, percent=percent), "a long, b long").distinct())
         found = tmp.keep(found, "ngram-links")

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from ratewise.llm import ngram_join as nj
@@ -95,3 +96,21 @@ def test_ties_nulls_and_empty(spark):
     got = sorted(map(str, ((r.doc_id, r.n_shingles, r.component_id) for r in nj.jaccard_components(docs).collect())))
     assert got == sorted(map(str, [(None, 1, 4), (4, 1, 4), (4, 1, 4), (6, 0, 6), (None, 0, None)]))
     assert nj.jaccard_components(docs.where("false")).count() == 0
+
+
+def test_sketch_bounds_the_overlap():
+    """No pair that links is left out, most others are; large sets aren't judged."""
+    rng = np.random.default_rng(2)
+    kept = 0
+    for _ in range(300):
+        a = np.unique(rng.integers(0, 2**63, size=rng.integers(1, 400)).astype(np.uint64) * np.uint64(2))
+        b = np.unique(np.concatenate([rng.permutation(a)[rng.integers(0, max(1, len(a) // 3)):], rng.integers(0, 2**63, size=rng.integers(0, 60)).astype(np.uint64)]))
+        ok = bool(nj.may_link(*(np.frombuffer(nj.sketch(x), np.uint8)[None] for x in (a, b)), 80)[0])
+        both = len(np.intersect1d(a, b))
+        linked = 100 * both >= 80 * (len(a) + len(b) - both)
+        assert ok or not linked
+        kept += ok and not linked
+    assert kept < 60
+    huge = np.zeros((1, 256), np.uint8)
+    huge[0, 0] = 255
+    assert nj.may_link(huge, np.zeros((1, 256), np.uint8), 80)[0]
