@@ -101,10 +101,14 @@ def item_vectors(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
 def item_similarity(fx: Fixtures, threshold: float = ITEM_SIM_THRESHOLD) -> DataFrame:
     """D5 over exact TF-IDF vectors: (mid, other, cos), cos > threshold."""
     members, w = item_vectors(fx)
-    vpairs = sim.cosine_pairs_sparse(w.select("vkey", "term", "w"), None, "vkey", "okey", threshold)
+    return _expanded_pairs(members, w.select("vkey", "term", "w"), threshold)
+
+
+def _expanded_pairs(members: DataFrame, w: DataFrame, threshold: float) -> DataFrame:
+    """Item pairs from the pairs of their vectors; different items of one non-zero vector have cosine 1."""
+    vpairs = sim.cosine_pairs_sparse(w, None, "vkey", "okey", threshold)
     across = sim.expand_vector_pairs(vpairs, members, "vkey", "mid", "okey", "other")
-    # different items with one identical, non-zero vector: cosine 1
-    live = sim.normalise_sparse(w.select("vkey", "term", "w"), "vkey").select("vkey").distinct()
+    live = sim.normalise_sparse(w, "vkey").select("vkey").distinct()
     m = members.join(live, "vkey")
     same = (m.join(m.select(F.col("mid").alias("other"), "vkey"), "vkey")
             .where(F.col("mid") != F.col("other")).select("mid", "other", F.lit(1.0).alias("cos")))
@@ -208,6 +212,29 @@ def tfidf_hashed(fx: Fixtures):
     return out.select("mid", F.size(F.filter(vector_to_array("features"), lambda x: x != 0)).alias("nnz"))
 
 
+HASHED_FEATURES = 50   # fixed value: size of the hashed vocabulary
+
+
+@query("item_sim_hashed")
+def item_sim_hashed(fx: Fixtures):
+    """F2 + F3 + D5 in the parity mode: item pairs whose hashed TF-IDF vectors have cosine > 0.6
+    (collisions included, so the hash layout decides; rows-only check)."""
+    return hashed_item_similarity(fx)
+
+
+def hashed_item_similarity(fx: Fixtures, threshold: float = ITEM_SIM_THRESHOLD) -> DataFrame:
+    """As ``item_similarity``: items of equal tokens have one vector, compared once."""
+    from pyspark.ml.functions import vector_to_array
+    toks = text.category_tokens(fx.items()).groupBy("mid").agg(F.array_sort(F.collect_list("token")).alias("toks"))
+    features = materialize(text.hashed_tfidf(toks.withColumn("vkey", F.concat_ws(" ", "toks")).select(F.struct("mid", "vkey").alias("id"), "toks"),
+                                             "id", "toks", HASHED_FEATURES).select("id.mid", "id.vkey", vector_to_array("features").alias("x")))
+    members = features.select("mid", "vkey")
+    one = features.groupBy("vkey").agg(F.min_by("x", "mid").alias("x"))
+    w = (one.select("vkey", F.posexplode("x").alias("pos", "w")).where(F.col("w") != 0)
+            .select("vkey", F.col("pos").cast("string").alias("term"), "w"))
+    return _expanded_pairs(members, w, threshold).select("mid", "other", F.round("cos", 6).alias("cos"))
+
+
 @query("item_sim_content", sql="SELECT mid, other, round(cos, 6) AS cos FROM cat_sim", extra_views=ITEM_TFIDF_VIEWS)
 def item_sim_content(fx: Fixtures):
     """D5 + C11: all item pairs with content cosine > 0.6."""

@@ -23,6 +23,18 @@ FROM (SELECT DISTINCT mid FROM rating_events) k JOIN sim s ON s.mid = k.mid
 QUALIFY rank <= {LIST_N}"""
 
 
+# the averages shown with a list are those of the newest 30 days of ratings, so items without one occur
+RECENT_DAYS = 30
+RECENT_AVG_SQL = f"""
+SELECT mid, round(avg(score), 6) AS avg FROM ratings WHERE ts > (SELECT max(ts) FROM ratings) - {RECENT_DAYS * 86400} GROUP BY mid"""
+
+
+def recent_averages(fx: Fixtures):
+    r = fx.item_ratings()
+    newest = r.select(F.max("ts")).scalar()
+    return average_score(r.where(F.col("ts") > newest - F.lit(RECENT_DAYS * 86400))).select("mid", F.round("avg", 6).alias("avg"))
+
+
 def item_lists(fx: Fixtures):
     """The stored similar-item list of every item some user rated,
     read from the per-vector ranked lists (first n entries per key)."""
@@ -40,30 +52,31 @@ def topn_from_lists(fx: Fixtures):
 @query("hydrate_recs", sql=f"""
 SELECT t.mid AS key, t.rank, t.other AS mid, i.name, coalesce(a.avg, 0.0) AS avg
 FROM ({TOPN_SQL}) t JOIN items i ON i.mid = t.other
-LEFT JOIN (SELECT mid, round(avg(score), 6) AS avg FROM ratings GROUP BY mid) a ON a.mid = t.other""",
+LEFT JOIN ({RECENT_AVG_SQL}) a ON a.mid = t.other""",
        extra_views=SIM_VIEWS)
 def hydrate_recs(fx: Fixtures):
     """D11 + C17 + C18: list entries -> item rows with average score
     (0.0 without ratings); rank kept."""
     lists = item_lists(fx).select(F.col("mid").alias("key"), "rank", F.col("other").alias("mid"))
-    avgs = average_score(fx.item_ratings()).select("mid", F.round("avg", 6).alias("avg"))
-    out = serving.hydrate(lists, fx.items().select("mid", "name"), avgs)
+    out = serving.hydrate(lists, fx.items().select("mid", "name"), recent_averages(fx))
     return out.select("key", "rank", "mid", "name", "avg")
 
 
-@query("user_rated_items", sql="""
+@query("user_rated_items", sql=f"""
 SELECT r.uid, r.mid, i.name, coalesce(r.score, a.avg, 0.0) AS score FROM (
   SELECT uid, mid, score FROM (
-    SELECT uid, mid, score, row_number() OVER (PARTITION BY uid, mid ORDER BY ts DESC, event_id DESC) AS rn
-    FROM rating_events) t WHERE rn = 1) r
+    SELECT e.uid, e.mid, CASE WHEN v.event_type = 'error' THEN NULL ELSE e.score END AS score,
+           row_number() OVER (PARTITION BY e.uid, e.mid ORDER BY e.ts DESC, e.event_id DESC) AS rn
+    FROM rating_events e JOIN events v USING (event_id)) t WHERE rn = 1) r
 JOIN items i ON i.mid = r.mid
-LEFT JOIN (SELECT mid, round(avg(score), 6) AS avg FROM ratings GROUP BY mid) a ON a.mid = r.mid""")
+LEFT JOIN ({RECENT_AVG_SQL}) a ON a.mid = r.mid""")
 def user_rated_items(fx: Fixtures):
-    """Items each user rated, with that user's latest score."""
-    mine = (fx.rating_events().groupBy("uid", "mid")
-            .agg(F.max_by("score", F.struct("ts", "event_id")).alias("score")))
-    avgs = average_score(fx.item_ratings()).select("mid", F.round("avg", 6).alias("avg"))
-    out = serving.user_rated_items(mine, fx.items().select("mid", "name"), avgs)
+    """D12 + C18: items each user rated, with that user's latest score; without one (the event is
+    an error) the item's recent average, else 0.0."""
+    score = F.when(F.col("event_type") != "error", F.col("score"))
+    ev = fx.rating_events_with("event_type").select("uid", "mid", "ts", "event_id", score.alias("score"))
+    mine = ev.groupBy("uid", "mid").agg(F.max_by("score", F.struct("ts", "event_id")).alias("score"))
+    out = serving.user_rated_items(mine, fx.items().select("mid", "name"), recent_averages(fx))
     return out.select("uid", "mid", "name", "score")
 
 

@@ -110,13 +110,17 @@ class Fixtures:
                                              epoch_seconds("l_shipdate").alias("ts"))
 
     def rating_events(self) -> DataFrame:
-        ev = self.table("events").select("event_id", "user_id", "value", "ts")
+        return self.rating_events_with()
+
+    def rating_events_with(self, *columns: str) -> DataFrame:
+        """The rating events, with further columns of the event table."""
+        ev = self.table("events").select("event_id", "user_id", "value", "ts", *columns)
         return ev.select(
             "event_id",
             F.col("user_id").cast("int").alias("uid"),
             (F.col("event_id") % self.n_items()).cast("int").alias("mid"),
             ((F.floor("value").cast("long") % 10 + 1) / F.lit(2.0)).alias("score"),
-            epoch_seconds("ts").alias("ts"))
+            epoch_seconds("ts").alias("ts"), *columns)
 
     def rating_log(self) -> DataFrame:
         ev = self.table("events").select("event_id", "user_id", "event_type", "value", "ts")
@@ -194,8 +198,7 @@ class Fixtures:
         """``uid,mid,score,ts`` lines; error events are lines with a user that is no number."""
         def build() -> str:
             good = self.ratings().select("uid", "mid", "score", "ts")
-            ev = self.table("events").where("event_type = 'error'").select("event_id")
-            bad = self.rating_events().join(ev, "event_id").select(F.concat(F.lit("u"), F.col("uid").cast("string")).alias("uid"), "mid", "score", "ts")
+            bad = self.rating_events_with("event_type").where("event_type = 'error'").select(F.concat(F.lit("u"), F.col("uid").cast("string")).alias("uid"), "mid", "score", "ts")
             return text_folder(self.spark, "rating-files", (good, True), (bad, True))
         return self._folder("rating_files", build)
 

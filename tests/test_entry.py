@@ -11,7 +11,7 @@ from tools.check_oracle import key, norm, type_diff
 from conftest import SF_SMALL
 
 ROWS_ONLY = {"tfidf_hashed", "als_user_topk", "als_predict", "rating_rmse", "als_grid", "als_item_sim",
-             "hybrid_blend", "hybrid_blend_sum", "als_user_topk_unseen", "als_list_by_user"}
+             "hybrid_blend", "hybrid_blend_sum", "als_user_topk_unseen", "als_list_by_user", "item_sim_hashed"}
 
 
 def test_entry_smoke(spark):

@@ -211,3 +211,22 @@ def test_zero_vector_never_similar(spark):
     df = spark.createDataFrame([(1, "a", 0.0), (2, "a", 1.0), (3, "a", 2.0)], "id long, term string, w double")
     got = sim.cosine_pairs_sparse(df, None, "id", "other", 0.6).where(F.col("id") == 1).count()
     assert got == 0
+
+
+def test_hashed_item_similarity_equals_all_pairs(spark):
+    """Content pairs on hashed vectors, against the features of every item."""
+    from pyspark.ml.functions import vector_to_array
+
+    from ratewise.operators import text
+    from ratewise.plans import content
+    from ratewise.sources.fixtures import Fixtures
+    fx = Fixtures(spark, "/root/testdata/sf0.001")
+    toks = text.category_tokens(fx.items()).groupBy("mid").agg(F.collect_list("token").alias("toks"))
+    rows = text.hashed_tfidf(toks, "mid", "toks", content.HASHED_FEATURES).select("mid", vector_to_array("features").alias("x")).collect()
+    ids, m = [r.mid for r in rows], np.array([r.x for r in rows])
+    u = m / np.linalg.norm(m, axis=1, keepdims=True)
+    s = u @ u.T
+    got = {(r.mid, r.other): r.cos for r in content.hashed_item_similarity(fx).collect()}
+    want = {(ids[i], ids[j]): s[i, j] for i in range(len(ids)) for j in range(len(ids)) if i != j and s[i, j] > 0.6 + 1e-9}
+    near = {(ids[i], ids[j]) for i in range(len(ids)) for j in range(len(ids)) if i != j and abs(s[i, j] - 0.6) <= 1e-9}
+    assert got.keys() - near == want.keys() - near and all(abs(got[k] - want[k]) < 1e-6 for k in want if k in got)
