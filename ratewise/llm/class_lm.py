@@ -2,8 +2,9 @@
 
 P(word i | word i-1) = P(class of i | class of i-1) * P(word i | its class).
 
-Vocabulary.  Every distinct word of all training documents is counted in one
-aggregation (counts are summed in each task first).
+Vocabulary.  Words go by 64-bit hashes, made for all words of a group of texts at once.
+Every distinct word of all training documents is counted in one aggregation (counts are
+summed in each task first).
 Classes.  Words that make up at least 1 / ``CLUSTERED`` of the training tokens -
 at most ``CLUSTERED`` words, at any size of the corpus - are put into
 ``CLASSES`` classes by exchange clustering: from classes by frequency rank, each
@@ -39,10 +40,8 @@ columns may have any name."""
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import Scratch, fold, kernel, text_groups, written
+from ratewise.llm.common import Scratch, fold, hashed_words_and_ends, kernel, text_groups, written
 
 CLUSTERED = 1 << 13
 SEEN = 5
@@ -60,36 +59,56 @@ ENDINGS = 32
 ROUNDS = 6
 ALPHA = 0.1
 DELTA = 0.1
-GROUP_BYTES = 6 << 20
+GROUP_BYTES = 3 << 20
 _OPEN = 255  # class of a word that isn't at hand
 
 
-def _words(texts: list[str | None]) -> list[list[bytes]]:
-    return [(t or "").encode().lower().split() for t in texts]
+#: Class of each ending: of the last two bytes as ``hashed_words_and_ends`` gives them.
+_ENDING = np.array([zlib.crc32(bytes([i] if i < 256 else [(i >> 8) - 1, i & 255])) % ENDINGS for i in range(257 << 8)], np.int64)
 
 
-def _ending(word: bytes) -> int:
-    return zlib.crc32(word[-2:]) % ENDINGS
+def _find(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The place of each hash in a sorted table, -1 where it isn't in it."""
+    if not len(table):
+        return np.full(len(hashes), -1)
+    kinds, back = np.unique(hashes, return_inverse=True)
+    at = np.minimum(np.searchsorted(table, kinds), len(table) - 1)
+    return np.where(table[at] == kinds, at, -1)[back]
+
+
+class _Tokens:
+    """All words of a group of texts, as hashes with their endings."""
+
+    def __init__(self, texts: list[str | None]):
+        h, self.counts, last = hashed_words_and_ends(texts, lower=True)
+        self.h, self.ending = h.view(np.int64), _ENDING[last]
 
 
 @dataclass
 class _Symbols:
     """Clustered words are 0 .. size - 1, then the endings, then the end."""
-    size: int
-    of: dict[bytes, int]  # of all known words
+    hashes: np.ndarray   # of the clustered words, sorted
+    number: np.ndarray   # their symbols
+
+    @property
+    def size(self) -> int:
+        return len(self.hashes)
 
     @property
     def end(self) -> int:
         return self.size + ENDINGS
 
-    def text_symbols(self, words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """Symbols of all texts, each with its end, and the number of tokens of each text."""
-        flat = [w for ws in words for w in ws]
-        got = np.fromiter(map(self.of.get, flat, repeat(-1)), np.int64, len(flat))
-        for i in np.flatnonzero(got < 0).tolist():
-            got[i] = self.size + _ending(flat[i])
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        return np.insert(got, np.cumsum(lengths), self.end), lengths + 1
+    def text_symbols(self, words: _Tokens) -> np.ndarray:
+        """Symbols of all texts, each with its end."""
+        at = _find(self.hashes, words.h)
+        got = np.where(at < 0, self.size + words.ending, self.number[at] if self.size else 0)
+        return np.insert(got, np.cumsum(words.counts), self.end)
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray, more: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two (distinct key, count) lists as one."""
+    keys, at = np.unique(np.concatenate([keys, more]), return_inverse=True)
+    return keys, np.bincount(at, np.concatenate([counts, n]), len(keys)).astype(np.int64)
 
 
 def _before(symbols: np.ndarray, end: int) -> np.ndarray:
@@ -177,45 +196,41 @@ def _scored(docs: DataFrame, held_out: Column, id_col: str, text_col: str, round
     src = docs.select(F.col(id_col).alias("doc_id"), held_out.alias("held_out"), F.col(text_col).alias("text"))
     train = src.where("not held_out").select("text")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "c"])
-        for b in text_groups(batches, "text", GROUP_BYTES):
-            for ws in _words(b.column("text").to_pylist()):
-                held.update(ws)
-            if len(held) > 400_000:
-                yield out()
-                held.clear()
-        yield out()
-
-    vocabulary = tmp.keep(_fewer_tasks(train).mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "vocabulary")
+    def summing(of, most: int = 2_000_000):
+        """A function of batches: the counts of the keys that ``of`` gives for a group of texts."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            none = np.empty(0, np.int64)
+            keys, counts = none, none
+            for b in text_groups(batches, "text", GROUP_BYTES):
+                keys, counts = _summed(keys, counts, *np.unique(of(b.column("text").to_pylist()), return_counts=True))
+                if len(keys) > most:
+                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["k", "n"])
+                    keys, counts = none, none
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["k", "n"])
+        return run
+
+    counted = _fewer_tasks(train).mapInArrow(summing(lambda texts: _Tokens(texts).h), "k long, n long")
+    vocabulary = tmp.keep(counted.groupBy("k").agg(F.sum("n").alias("c")), "vocabulary")
     ends = train.count()
     n_words, kinds = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     n_train, n_kinds = n_words + ends, kinds + (ends > 0)
-    known = vocabulary.where(F.col("c") * KNOWN >= n_train).orderBy(F.desc("c"), "word").limit(KNOWN).collect()
-    known = [(bytes(r["word"]), r["c"]) for r in known]
+    top = vocabulary.where(F.col("c") * KNOWN >= n_train).orderBy(F.desc("c"), "k").limit(KNOWN).collect()
     tmp.drop(vocabulary)
-    size = sum(1 for _, c in known if c * CLUSTERED >= n_train)
-    symbols = _Symbols(size, {w: i if i < size else size + _ending(w) for i, (w, _) in enumerate(known)})
+    top = [(r["k"], r["c"]) for r in top if r["c"] * CLUSTERED >= n_train]
+    clustered = np.array([k for k, _ in top], np.int64)
+    by_hash = np.argsort(clustered)
+    symbols = _Symbols(clustered[by_hash], by_hash)
+    size = symbols.size
     n_symbols, n_classes = size + ENDINGS + 1, CLASSES + ENDINGS + 1
     shared = context.broadcast(symbols)
 
-    def bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def bigrams(texts: list[str | None]) -> np.ndarray:
         sym = shared.value
-        keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
-        for b in text_groups(batches, "text", GROUP_BYTES):
-            s, _ = sym.text_symbols(_words(b.column("text").to_pylist()))
-            k, n = np.unique(_before(s, sym.end) * n_symbols + s, return_counts=True)
-            keys, at = np.unique(np.concatenate([keys, k]), return_inverse=True)
-            counts = np.bincount(at, np.concatenate([counts, n]), len(keys)).astype(np.int64)
-            if len(keys) > 3_000_000:
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["pair", "n"])
-                keys, counts = keys[:0], counts[:0]
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["pair", "n"])
+        s = sym.text_symbols(_Tokens(texts))
+        return _before(s, sym.end) * n_symbols + s
 
-    pairs = tmp.keep(_fewer_tasks(train).mapInArrow(bigrams, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "bigrams")
+    summed = _fewer_tasks(train).mapInArrow(summing(bigrams, 3_000_000), "k long, n long")
+    pairs = tmp.keep(summed.groupBy(F.col("k").alias("pair")).agg(F.sum("n").alias("n")), "bigrams")
 
     def contexts(class_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,70 +249,70 @@ def _scored(docs: DataFrame, held_out: Column, id_col: str, text_col: str, round
     tmp.drop(pairs)
     placed = context.broadcast((class_of, merits(core_pairs, CLASSES + ENDINGS)))
 
+    cells = n_classes * n_classes
+
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The classes around each word outside the exchange, as left * n_classes + right."""
+        """A row for each word outside the exchange: its hash, and its ending with the classes around
+        it as one number; equal rows of a group of texts are one."""
         sym, class_of = shared.value, placed.value[0]
-        held: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in held], pa.binary()), pa.array([k for _, k in held], pa.int32()),
-                                               pa.array(list(held.values()), pa.int64())], ["word", "cell", "n"])
         for b in text_groups(batches, "text", GROUP_BYTES):
-            words = _words(b.column("text").to_pylist())
-            s, _ = sym.text_symbols(words)
+            words = _Tokens(b.column("text").to_pylist())
+            s = sym.text_symbols(words)
             c = class_of[s]
             at = np.flatnonzero(s != sym.end)
             other = np.flatnonzero(s[at] >= sym.size)
             at = at[other]
-            flat = [w for ws in words for w in ws]
-            held.update(zip([flat[i] for i in other.tolist()], (c[at - 1] * n_classes + c[at + 1]).tolist()))
-            if len(held) > 400_000:
-                yield out()
-                held.clear()
-        yield out()
+            h, cell = words.h[other], words.ending[other] * cells + c[at - 1] * n_classes + c[at + 1]
+            order = np.lexsort((cell, h))
+            h, cell = h[order], cell[order]
+            first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (cell[1:] != cell[:-1])])) if len(h) else order
+            yield pa.RecordBatch.from_arrays([pa.array(h[first]), pa.array(cell[first].astype(np.int32)),
+                                              pa.array(np.diff(np.append(first, len(h))).astype(np.int32))], ["word", "cell", "n"])
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Count and class of each word of rows sorted by word; the last word of a batch may go on in the next."""
         gain = placed.value[1]
 
-        def out(words: list[bytes], n: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
-            to = sums.argmax(axis=1)
-            for i in range(len(words)) if gain is None else np.flatnonzero(n < SEEN).tolist():
-                to[i] = CLASSES + _ending(words[i])
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n), pa.array(to, pa.int32())], ["word", "c", "class"])
-        rest: tuple = ([], np.zeros(0, np.int64), np.zeros((0, CLASSES + ENDINGS), np.int64))
+        def out(words: np.ndarray, n: np.ndarray, ending: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+            to = np.where(n < SEEN, CLASSES + ending, sums.argmax(axis=1)) if gain is not None else CLASSES + ending
+            return pa.RecordBatch.from_arrays([pa.array(words), pa.array(n), pa.array(to.astype(np.int32))], ["word", "c", "class"])
+        rest: tuple | None = None
         for b in batches:
             if not b.num_rows:
                 continue
-            index = b.column("word").dictionary_encode().indices.to_numpy()
-            first = np.flatnonzero(np.diff(index, prepend=-1))
-            words, n = b.column("word").take(pa.array(first)).to_pylist(), b.column("n").to_numpy()
+            word = b.column("word").to_numpy()
+            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            words, n = word[first], b.column("n").to_numpy().astype(np.int64)
+            ending, cell = np.divmod(b.column("cell").to_numpy().astype(np.int64), cells)
+            ending = ending[first]
             sums = np.zeros((len(first), CLASSES + ENDINGS), np.int64)
             if gain is not None:
-                sums = np.add.reduceat(gain[b.column("cell").to_numpy()] * n[:, None], first)
+                sums = np.add.reduceat(gain[cell] * n[:, None], first)
             n = np.add.reduceat(n, first)
-            if rest[0] and rest[0][0] == words[0]:
+            if rest is not None and rest[0][0] == words[0]:
                 n[0] += rest[1][0]
-                sums[0] += rest[2][0]
-            elif rest[0]:
+                sums[0] += rest[3][0]
+            elif rest is not None:
                 yield out(*rest)
             if len(words) > 1:
-                yield out(words[:-1], n[:-1], sums[:-1])
-            rest = (words[-1:], n[-1:], sums[-1:])
-        if rest[0]:
+                yield out(words[:-1], n[:-1], ending[:-1], sums[:-1])
+            rest = (words[-1:], n[-1:], ending[-1:], sums[-1:])
+        if rest is not None:
             yield out(*rest)
 
     # no word outside the exchange makes up more than 1 / CLUSTERED of the rows
-    around = train.mapInArrow(occurrences, "word binary, cell int, n long").repartition("word").sortWithinPartitions("word")
-    others = tmp.keep(around.mapInArrow(assign, "word binary, c long, class int"), "classes")
+    around = train.mapInArrow(occurrences, "word long, cell int, n int").repartition("word").sortWithinPartitions("word")
+    others = tmp.keep(around.mapInArrow(assign, "word long, c long, class int"), "classes")
     members = np.bincount(class_of[:size], minlength=n_classes).astype(float)  # distinct words of each class
     for r in others.groupBy("class").count().collect():
         members[r["class"]] += r["count"]
     near = others.where(F.col("c") * KNOWN >= n_train).collect()
-    index = {w: i for i, (w, _) in enumerate(known[:size])} | {bytes(r["word"]): size + i for i, r in enumerate(near)}
+    hashes = np.array([k for k, _ in top] + [r["word"] for r in near], np.int64)
+    order = np.argsort(hashes)
     # the last entry is for words that aren't at hand
-    count_of = np.array([c for _, c in known[:size]] + [r["c"] for r in near] + [0], float)
-    place_of = np.array(class_of[:size].tolist() + [r["class"] for r in near] + [_OPEN], np.uint8)
+    index = hashes[order]
+    count_of = np.append(np.array([c for _, c in top] + [r["c"] for r in near], float)[order], 0.0)
+    place_of = np.append(np.array(class_of[:size].tolist() + [r["class"] for r in near], np.uint8)[order], np.uint8(_OPEN))
     model = context.broadcast((index, count_of, place_of))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,39 +321,39 @@ def _scored(docs: DataFrame, held_out: Column, id_col: str, text_col: str, round
         row = TaskContext.get().partitionId() << 40
         names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "own", "classes", "word", "place"]
         for b in text_groups(batches, "text", GROUP_BYTES):
-            words = _words(b.column("text").to_pylist())
-            lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+            words = _Tokens(b.column("text").to_pylist())
+            lengths = words.counts + 1
             last = np.cumsum(lengths)
             first = last - lengths
-            flat = [w for ws in words for w in ws]
-            at = np.fromiter(map(index.get, flat, repeat(-1)), np.int64, len(flat))
-            cut = np.cumsum(lengths - 1)
+            at = _find(index, words.h)
+            cut = np.cumsum(words.counts)
             n = np.insert(count_of[at], cut, float(ends))
             c = np.insert(place_of[at], cut, n_classes - 1)
             own = np.where(c != _OPEN, np.log10(n + 0.1), 0.0)  # DELTA and the base's 0.1 are one number
-            rows = row + np.arange(len(words))
-            row += len(words)
-            k = len(words)
+            k = b.num_rows
+            rows = row + np.arange(k)
+            row += k
             line = c.tobytes()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows), b.column("doc_id"), b.column("held_out"), pa.array(lengths), pa.array(np.add.reduceat((n > 0).astype(np.int64), first)),
                  pa.array(np.add.reduceat(own, first)), pa.array([line[i:j] for i, j in zip(first.tolist(), last.tolist())], pa.binary()),
-                 pa.nulls(k, pa.binary()), pa.nulls(k, pa.int64())], names)
-            open_ = np.flatnonzero(c == _OPEN)
+                 pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], names)
+            open_, away = np.flatnonzero(c == _OPEN), np.flatnonzero(at < 0)
             owner = np.searchsorted(last, open_, side="right")
             k = len(open_)
+            # the place, and the class that the word's ending gives it if it has no other
+            place = ((open_ - first[owner]) << 8) | (CLASSES + words.ending[away])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows[owner], pa.int64()), pa.nulls(k, b.column("doc_id").type), pa.nulls(k, pa.bool_()), pa.nulls(k, pa.int64()),
-                 pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.binary()),
-                 pa.array([flat[i] for i in np.flatnonzero(at < 0).tolist()], pa.binary()), pa.array(open_ - first[owner], pa.int64())], names)
+                 pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.binary()), pa.array(words.h[away]), pa.array(place)], names)
 
     kind = src.schema["doc_id"].dataType.simpleString()
     scanned = tmp.keep(src.mapInArrow(scan, f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, own double, "
-                                           "classes binary, word binary, place long"), "scan")
-    ending = CLASSES + F.pmod(F.crc32(F.substring("word", -2, 2)), F.lit(ENDINGS))
+                                           "classes binary, word long, place long"), "scan")
+    filled = F.when(F.col("class").isNull(), F.col("place")).otherwise(F.shiftleft(F.shiftright("place", 8), 8).bitwiseOR(F.col("class").cast("long")))
     rare = (scanned.where("word is not null").select("row", "word", "place")
                    .join(others.where(~(F.col("c") * KNOWN >= n_train)), "word", "left")
-                   .select("row", "c", F.shiftleft("place", 8).bitwiseOR(F.coalesce("class", ending).cast("long")).alias("filled"))
+                   .select("row", "c", filled.alias("filled"))
                    .groupBy("row").agg(F.sum(F.log10(F.coalesce("c", F.lit(0)) + 0.1)).alias("more_own"),
                                        F.sum(F.when(F.col("c") > 0, 1).otherwise(0)).alias("more"), F.collect_list("filled").alias("filled")))
     joined = (scanned.where("word is null").drop("word", "place").join(rare, "row", "left")

@@ -168,6 +168,11 @@ def hashed_words(texts: Iterable[str | None], lower: bool = False) -> tuple[np.n
 
     A word's hash is a sum of one pseudo-random number for each (byte, place in the word),
     so all words of all texts are hashed together, without an object for any of them."""
+    return hashed_words_and_ends(texts, lower)[:2]
+
+
+def hashed_words_and_ends(texts: Iterable[str | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same, and each word's last two bytes as a number (under 256 for a word of one byte)."""
     parts = [(t or "").encode() for t in texts]
     data = b"\n".join(parts) + b"\n"
     if lower:
@@ -179,14 +184,15 @@ def hashed_words(texts: Iterable[str | None], lower: bool = False) -> tuple[np.n
     size = np.fromiter(map(len, parts), np.int64, len(parts)) + 1
     counts = np.diff(np.searchsorted(starts, np.cumsum(size)), prepend=0)
     if not len(starts):
-        return np.empty(0, np.uint64), counts
+        return np.empty(0, np.uint64), counts, np.empty(0, np.int64)
     at = np.flatnonzero(inside)
     length = ends - starts
     offsets = np.cumsum(length) - length
     place = (np.arange(len(at)) - np.repeat(offsets, length)).astype(np.uint64)
     place *= _PLACE
     place += _BYTE[buf[at]]
-    return mix(np.add.reduceat(mix(place), offsets) + length.astype(np.uint64) * _LENGTH), counts
+    last = buf[ends - 1] + np.where(length > 1, (buf[ends - 2].astype(np.int64) + 1) << 8, 0)
+    return mix(np.add.reduceat(mix(place), offsets) + length.astype(np.uint64) * _LENGTH), counts, last
 
 
 def shingle_hashes(w: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
