@@ -15,7 +15,7 @@ from ratewise.session import new_subdir
 from ratewise.sources import text_formats as tf
 from ratewise.sources.fixtures import COMMENT_HEADER, QUOTED_HEADER, Fixtures
 from ratewise.sources.tables import read_typed, table_path
-from ratewise.sources.text_files import scan_delimited, scan_lines
+from ratewise.sources.text_files import scan_delimited
 
 # DuckDB twins of the quote-aware split + unquote and of the naive count
 DUCK_QUOTED = ("list_transform(regexp_extract_all(line, '(^|,)(\"[^\"]*\"|[^,\"]*)', 2), "
@@ -47,7 +47,7 @@ def _tags_scan(fx: Fixtures):
 
 
 def _vectors_scan(fx: Fixtures):
-    return tf.checked_word_vectors(scan_lines(fx.spark, fx.word_vector_files()))
+    return tf.checked_word_vectors(tf.read_lines(fx.spark, fx.word_vector_files()))
 
 
 @query("load_caret_items", sql=CARET_ITEMS_SQL)
@@ -96,7 +96,7 @@ def load_rejects(fx: Fixtures):
 SELECT mid, concat(name, ', ', descri) AS name, concat(CAST(timelong % 10 AS VARCHAR), '.0') AS timelong, '' AS tag FROM items""")
 def load_quoted_items(fx: Fixtures):
     """A4-A6 + A10: scan of quoted item files, headers dropped, quote-aware split, unquoted."""
-    return tf.parse_quoted_items(scan_lines(fx.spark, fx.quoted_item_files(), QUOTED_HEADER))
+    return tf.parse_quoted_items(tf.read_lines(fx.spark, fx.quoted_item_files()), QUOTED_HEADER)
 
 
 @query("load_v2_tags", sql="SELECT mid, '' AS tag FROM items")
@@ -123,7 +123,7 @@ FROM (SELECT {DUCK_QUOTED} AS f FROM comment_lines WHERE {DUCK_NAIVE_COUNT} = 14
 WHERE f[10] <> ''""")
 def load_v2_ratings(fx: Fixtures):
     """A8 + A10: scan of comment files; lines of 14 fields with a score -> ratings."""
-    return tf.parse_v2_ratings(scan_lines(fx.spark, fx.comment_files(), COMMENT_HEADER))
+    return tf.parse_v2_ratings(tf.read_lines(fx.spark, fx.comment_files()), COMMENT_HEADER)
 
 
 @query("load_v2_comments", sql=f"""
@@ -131,7 +131,7 @@ SELECT TRY_CAST(f[9] AS INT) AS uid, TRY_CAST(f[5] AS INT) AS mid, f[2] AS conte
 FROM (SELECT {DUCK_QUOTED} AS f FROM comment_lines WHERE {DUCK_NAIVE_COUNT} = 14) t""")
 def load_v2_comments(fx: Fixtures):
     """A9 + A10: scan of comment files; lines of 14 fields -> comments."""
-    return tf.parse_v2_comments(scan_lines(fx.spark, fx.comment_files(), COMMENT_HEADER))
+    return tf.parse_v2_comments(tf.read_lines(fx.spark, fx.comment_files()), COMMENT_HEADER)
 
 
 @query("load_word_vectors", sql="""

@@ -50,16 +50,3 @@ def scan_delimited(spark: SparkSession, path: str, schema: str, sep: str = ",",
     # a column that nobody reads isn't parsed; this condition, always true, reads them all
     df = df.where(F.length(F.concat_ws("", *(F.col(c).cast("string") for c in df.columns if c != _BAD))) >= 0)
     return df.where(F.col(_BAD).isNull()).drop(_BAD), df.where(F.col(_BAD).isNotNull()).withColumnRenamed(_BAD, "line")
-
-
-def first_line(spark: SparkSession, path: str):
-    """The first line of a text file, as a scalar subquery column."""
-    return spark.read.text(path).limit(1).select("value").scalar()
-
-
-def scan_lines(spark: SparkSession, path: str, header=None) -> DataFrame:
-    """Column ``line`` of every line but those equal to the header (A4: each file may begin with one)."""
-    lines = spark.read.text(path).withColumnRenamed("value", "line")
-    if header is None:
-        return lines
-    return lines.where(F.col("line") != (F.lit(header) if isinstance(header, str) else header))
