@@ -19,7 +19,7 @@ class and never compared.  The classes that links connect form components.
     share of prefix n-grams in common with others: it is their hub, and links with them even
     where they don't link with each other.  The last round
     pairs all that share an n-gram but still have different labels, by length
-    and position filters.  A group of thousands of near copies costs one pair
+    and position filters and the sketches (see 4).  A group of thousands of near copies costs one pair
     a member, because its members have one label after the first round; no
     pair that could join two components is left out.
 4.  Verification.  A sketch of each set, how many of its n-grams begin with each byte,
@@ -136,7 +136,8 @@ def walk_trie(query: list[int], records: list[list[int]], percent: int) -> list[
 
 
 def _run_pairs(rows: tuple[np.ndarray, ...], percent: int, mode: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Candidate pairs within one group (sorted by size): (hub, class, the hub's share)."""
+    """Candidate pairs within one group (sorted by size): (hub, class, the hub's share); in mode
+    "all" the sketches stand in the place of the shares, and only pairs that they let through."""
     cls, size, pos, label, share = rows
     if (label == label[0]).all():
         return cls[:0], cls[:0], share[:0]
@@ -159,9 +160,11 @@ def _run_pairs(rows: tuple[np.ndarray, ...], percent: int, mode: str) -> tuple[n
         j = slice(start[i], i)
         bound = 1 + np.minimum(size[j] - pos[j], size[i] - pos[i])
         ok = (label[j] != label[i]) & (bound >= needed_overlap(size[j], size[i], percent))
-        if ok.any():
-            left.append(cls[j][ok])
-            right.append(np.full(int(ok.sum()), cls[i]))
+        at = start[i] + np.flatnonzero(ok)
+        for part in np.split(at, range(4096, len(at), 4096)) if len(at) else ():
+            fit = part[may_link(share[part], np.broadcast_to(share[i], (len(part), 256)), percent)]
+            left.append(cls[fit])
+            right.append(np.full(len(fit), cls[i]))
     none = [cls[:0]]
     a, b = np.concatenate(left or none), np.concatenate(right or none)
     return a, b, np.zeros(len(a))
@@ -187,7 +190,12 @@ def _with_partner(b: pa.RecordBatch, percent: int) -> pa.RecordBatch:
 def _pairs(batches: Iterator[pa.RecordBatch], percent: int, mode: str) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (h, n, cls); the group at the end of a batch waits for the next.  Of a
     class's hubs in a batch the most shared one leaves the task."""
-    names = ["cls", "n", "pos", "label", "share"]
+    names = ["cls", "n", "pos", "label"]
+
+    def last(batch: pa.RecordBatch) -> np.ndarray:
+        if mode == "all":
+            return np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, 256)
+        return batch.column("share").to_numpy()
 
     def out(runs) -> pa.RecordBatch:
         found = [_run_pairs(r, percent, mode) for r in runs if len(r[0]) > 1]
@@ -204,8 +212,10 @@ def _pairs(batches: Iterator[pa.RecordBatch], percent: int, mode: str) -> Iterat
 
     held: list[np.ndarray] | None = None
     for batch in batches:
+        if not batch.num_rows:
+            continue
         h = batch.column("h").to_numpy()
-        cols = [h, *(batch.column(c).to_numpy() for c in names)]
+        cols = [h, *(batch.column(c).to_numpy() for c in names), last(batch)]
         if held is not None:
             cols = [np.concatenate(x) for x in zip(held, cols)]
         cut = np.flatnonzero(np.concatenate([[True], cols[0][1:] != cols[0][:-1]]))
@@ -382,15 +392,20 @@ def _components_of(docs: DataFrame, n: int, percent: int, id_col: str, text_col:
         if labels is not None:
             state = (shares.join(labels.withColumnRenamed("node", "cls"), "cls", "left")
                            .select("cls", "share", F.coalesce("label", "cls").alias("label")))
-        pairs = (groups.join(state, "cls").select("h", "cls", "n", "pos", "label", "share").repartition("h").sortWithinPartitions("h", "n", "cls")
-                       .mapInArrow(partial(_pairs, percent=percent, mode=mode), "a long, b long, share double"))
-        if mode != "all":  # of the hubs of all its groups, the most shared one
-            pairs = pairs.groupBy("b").agg(F.max(F.struct("share", "a")).alias("best")).select("best.a", "b")
-        else:
+        rows = groups.join(state, "cls")
+        sketches = grams.select("cls", "sketch")
+        if mode == "all":  # only groups of several labels, with the sketches of their classes
+            mixed = rows.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("h")
+            rows = rows.join(mixed, "h", "left_semi").join(sketches, "cls")
+        rows = rows.select("h", "cls", "n", "pos", "label", "sketch" if mode == "all" else "share")
+        pairs = (rows.repartition("h").sortWithinPartitions("h", "n", "cls")
+                     .mapInArrow(partial(_pairs, percent=percent, mode=mode), "a long, b long, share double"))
+        if mode == "all":
             pairs = pairs.select("a", "b").distinct()
-        # only pairs whose sketches fit are worth their sets
-        sketches = grams.select(F.col("cls").alias("a"), F.col("sketch").alias("sa")), grams.select(F.col("cls").alias("b"), F.col("sketch").alias("sb"))
-        pairs = pairs.join(sketches[0], "a").join(sketches[1], "b").select("a", "b", "sa", "sb").mapInArrow(partial(_fitting, percent=percent), "a long, b long")
+        else:  # of the hubs of all its groups, the most shared one, if the sketches fit
+            pairs = pairs.groupBy("b").agg(F.max(F.struct("share", "a")).alias("best")).select("best.a", "b")
+            ends = sketches.toDF("a", "sa"), sketches.toDF("b", "sb")
+            pairs = pairs.join(ends[0], "a").join(ends[1], "b").select("a", "b", "sa", "sb").mapInArrow(partial(_fitting, percent=percent), "a long, b long")
         pairs = tmp.keep(pairs.withColumn("chunk", F.pmod(F.xxhash64("b"), F.lit(64))), "ngram-pairs")
         roles = (pairs.select(F.col("b").alias("cls"), "a", "chunk", "b")
                       .unionByName(pairs.select(F.col("a").alias("cls"), "a", "chunk", F.lit(None).cast("long").alias("b")).distinct()))
