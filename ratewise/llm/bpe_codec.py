@@ -23,10 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.llm.common import kernel, safe_segments
+from ratewise.llm.common import kernel, safe_segments, text_groups
 from ratewise.llm.token_counts import vocab_file
 
 SEGMENT_CHARS = 1 << 16
+GROUP_BYTES = 1 << 20
 #: Blanks as the pattern's matcher knows them (Unicode White_Space), in runs too long for it.
 _LONG_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
 
@@ -107,11 +108,28 @@ def decode(encoded: DataFrame, ranks_file: str = "byte_bpe_50k.tiktoken", ids_co
     return src.mapInArrow(run, f"{kinds}, decoded binary")
 
 
+def encode_and_decode(docs: DataFrame, ranks_file: str = "byte_bpe_50k.tiktoken", id_col: str = "doc_id",
+                      text_col: str = "text") -> DataFrame:
+    """(doc_id, ids, decoded): ``decode(encode(docs))`` in one pass, so one worker a task holds
+    the ranks and only a few hundred rows of ids at a time."""
+    kernel(docs)
+    src = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = _codec(ranks_file)
+        for b in text_groups(batches, "text", GROUP_BYTES):
+            ids = [_encode_text(enc, t) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), _lists(ids), pa.array(map(enc.decode_bytes, ids), pa.binary())],
+                                             ["doc_id", "ids", "decoded"])
+
+    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded binary")
+
+
 def round_trip(docs: DataFrame, ranks_file: str = "byte_bpe_50k.tiktoken", id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): digests of the ids
     (decimal, joined by one space) and of the bytes they decode to."""
-    both = decode(encode(docs, ranks_file, id_col, text_col), ranks_file)
+    both = encode_and_decode(docs, ranks_file, id_col, text_col)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
