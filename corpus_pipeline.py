@@ -66,7 +66,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the remaining texts, checked against the bytes they decode to."""
-    both = bpe_codec.decode(bpe_codec.encode(docs))
+    both = bpe_codec.encode_and_decode(docs)
     return both.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
