@@ -23,7 +23,7 @@ FROM (SELECT DISTINCT mid FROM rating_events) k JOIN sim s ON s.mid = k.mid
 QUALIFY rank <= {LIST_N}"""
 
 
-# the averages shown with a list are those of the newest 30 days of ratings, so items without one occur
+# the averages that stand in for a missing score are those of the newest 30 days of ratings, so items without one occur
 RECENT_DAYS = 30
 RECENT_AVG_SQL = f"""
 SELECT mid, round(avg(score), 6) AS avg FROM ratings WHERE ts > (SELECT max(ts) FROM ratings) - {RECENT_DAYS * 86400} GROUP BY mid"""
@@ -52,13 +52,14 @@ def topn_from_lists(fx: Fixtures):
 @query("hydrate_recs", sql=f"""
 SELECT t.mid AS key, t.rank, t.other AS mid, i.name, coalesce(a.avg, 0.0) AS avg
 FROM ({TOPN_SQL}) t JOIN items i ON i.mid = t.other
-LEFT JOIN ({RECENT_AVG_SQL}) a ON a.mid = t.other""",
+LEFT JOIN (SELECT mid, round(avg(score), 6) AS avg FROM ratings GROUP BY mid) a ON a.mid = t.other""",
        extra_views=SIM_VIEWS)
 def hydrate_recs(fx: Fixtures):
     """D11 + C17 + C18: list entries -> item rows with average score
     (0.0 without ratings); rank kept."""
     lists = item_lists(fx).select(F.col("mid").alias("key"), "rank", F.col("other").alias("mid"))
-    out = serving.hydrate(lists, fx.items().select("mid", "name"), recent_averages(fx))
+    avgs = average_score(fx.item_ratings()).select("mid", F.round("avg", 6).alias("avg"))
+    out = serving.hydrate(lists, fx.items().select("mid", "name"), avgs)
     return out.select("key", "rank", "mid", "name", "avg")
 
 

@@ -1,6 +1,10 @@
 from pyspark.sql import functions as F
 
 from ratewise.operators import maintain, serving
+from ratewise.plans.serving import hydrate_recs
+from ratewise.sources.fixtures import Fixtures
+
+from conftest import SF_SMALL
 
 
 def test_hybrid_keeps_duplicates_or_sums(spark):
@@ -53,3 +57,11 @@ def test_cold_start_uses_category_list(spark):
     top = spark.createDataFrame([("Small", 9, 4.0, 1)], "category string, mid int, avg double, rank long")
     got = {(r.uid, r.mid, r.source) for r in serving.cold_start(users, lists, top, 10).collect()}
     assert got == {(1, 7, "list"), (2, 9, "category")}
+
+
+def test_hydrated_averages_are_of_all_ratings(spark):
+    """Old ratings count as much as those of the last days."""
+    fx = Fixtures(spark, SF_SMALL)
+    every = {r.mid: r.avg for r in fx.item_ratings().groupBy("mid").agg(F.avg("score").alias("avg")).collect()}
+    rows = hydrate_recs(fx).select("mid", "avg").distinct().collect()
+    assert rows and all(abs(r.avg - every.get(r.mid, 0.0)) < 1e-6 for r in rows)
