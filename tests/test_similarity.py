@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -230,3 +231,40 @@ def test_hashed_item_similarity_equals_all_pairs(spark):
     want = {(ids[i], ids[j]): s[i, j] for i in range(len(ids)) for j in range(len(ids)) if i != j and s[i, j] > 0.6 + 1e-9}
     near = {(ids[i], ids[j]) for i in range(len(ids)) for j in range(len(ids)) if i != j and abs(s[i, j] - 0.6) <= 1e-9}
     assert got.keys() - near == want.keys() - near and all(abs(got[k] - want[k]) < 1e-6 for k in want if k in got)
+
+
+def test_best_products_equal_brute_force_and_skip_blocks(spark):
+    """Largest products with ties, a zero and a long vector, lists left aside, more items than a block; few of the pairs are scored."""
+    rng = np.random.default_rng(5)
+    items = rng.normal(size=(3000, 4)) * rng.uniform(0.2, 3, (3000, 1))
+    items[7], items[8:30] = 0, items[30]
+    asked = np.concatenate([rng.normal(size=(60, 4)), items[28:31], np.zeros((1, 4))])
+    out = [list(range(k % 3 * 20)) for k in range(len(asked))]
+    q = spark.createDataFrame([(k, v.tolist(), o or None) for k, (v, o) in enumerate(zip(asked, out))], "id long, v array<double>, out array<bigint>")
+    i = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(items)], "id long, v array<double>")
+    for block_rows in (50, 2048):
+        got = {}
+        for r in sim.best_products(q, i, 6, 0.5, digits=6, block_rows=block_rows).collect():
+            got.setdefault(r.id, {})[r["rank"]] = r.item
+        for k, v in enumerate(asked):
+            scores = items @ v
+            best = sorted((-round(float(x), 6), m) for m, x in enumerate(scores) if x > 0.5 and m not in out[k])[:6]
+            assert [m for _, m in sorted(got.get(k, {}).items())] == [m for _, m in best]
+
+
+def test_best_products_read_few_units(spark):
+    """Near neighbours on a circle: a query goes to a few of the units only."""
+    angle = np.linspace(0, 6.28, 20_000)
+    v = np.stack([np.cos(angle), np.sin(angle)], 1)
+    units = pd.DataFrame({"unit": range(64), "c": range(64), "band": 0, "far": 0.06, "top": 1.0, "n": 300})
+    pivots = np.stack([np.cos(np.arange(64) * 6.28 / 64), np.sin(np.arange(64) * 6.28 / 64)], 1)
+    rows = pd.DataFrame({"id": range(1000), "v": list(v[::20]), "out": [np.array([], np.int64)] * 1000,
+                         "out_unit": [np.array([], np.int32)] * 1000, "least": 0.9999})
+    packs = pd.concat(sim._choose_units(pivots, units, 10, 0.6, False)(iter([rows])))
+    assert 1000 <= packs["qid"].map(len).sum() < 4000
+
+
+def test_rounding_as_sql_does(spark):
+    x = np.array([0.1234565, -0.1234565, 0.9999995, 1e-7, 0.5, 2.0000005, 0.12345649999])
+    want = [r[0] for r in spark.createDataFrame([(float(a),) for a in x], "x double").select(F.round("x", 6)).collect()]
+    assert sim.half_up(x, 6).tolist() == want
