@@ -268,3 +268,17 @@ def test_rounding_as_sql_does(spark):
     x = np.array([0.1234565, -0.1234565, 0.9999995, 1e-7, 0.5, 2.0000005, 0.12345649999])
     want = [r[0] for r in spark.createDataFrame([(float(a),) for a in x], "x double").select(F.round("x", 6)).collect()]
     assert sim.half_up(x, 6).tolist() == want
+
+
+def test_item_pairs_are_not_exchanged(spark):
+    """Vector pairs meet as member arrays: all pairs of different items, vectors of more members than a row holds among them."""
+    n = sim.MEMBERS_A_ROW + 300
+    members = spark.range(n + 3).select(F.col("id").cast("int").alias("mid"), F.when(F.col("id") < n, "a").otherwise("b").alias("vkey"))
+    pairs = spark.createDataFrame([("a", "b", 0.7), ("b", "a", 0.7), ("a", "a", 1.0), ("b", "b", 1.0)], "vkey string, okey string, cos double")
+    arrays = sim.member_arrays(members, "vkey", "mid", "ms").select(F.size("ms").alias("n")).collect()
+    assert len(arrays) == 3 and max(r.n for r in arrays) <= sim.MEMBERS_A_ROW
+    out = sim.expand_vector_pairs(pairs, members, "vkey", "mid", "okey", "other")
+    got = out.groupBy("cos").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("mid", "other").alias("d"), F.sum((F.col("mid") == F.col("other")).cast("int")).alias("same"))
+    want = {0.7: 2 * 3 * n, 1.0: n * (n - 1) + 6}
+    assert {r.cos: r.n for r in got.collect()} == {r.cos: r.d for r in got.collect()} == want
+    assert all(r.same == 0 for r in got.collect())
