@@ -282,3 +282,31 @@ def test_item_pairs_are_not_exchanged(spark):
     want = {0.7: 2 * 3 * n, 1.0: n * (n - 1) + 6}
     assert {r.cos: r.n for r in got.collect()} == {r.cos: r.d for r in got.collect()} == want
     assert all(r.same == 0 for r in got.collect())
+
+
+def test_dense_pairs_are_made_where_they_are_found(spark):
+    """Classes of more members than an array holds, small blocks: all pairs of different ids once, and after the
+    kernel nothing is exchanged or joined."""
+    n = sim.MEMBERS_A_ROW + 200
+    rows = [(i, [1.0, 0.0]) for i in range(n)] + [(n, [0.9, 0.1]), (n + 1, [2.7, 0.3]), (n + 2, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    out = sim.cosine_pairs_dense(df, "id", "v", 0.5, block_rows=2)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan[:plan.index("MapInArrow")] and "Repartition" not in plan[:plan.index("MapInArrow")]
+    got = out.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("a", "b").alias("d"), F.sum((F.col("a") == F.col("b")).cast("int")).alias("same"),
+                  F.count_if(F.col("cos") == 1.0).alias("ones")).first()
+    assert got.n == got.d == n * (n - 1) + 2 * 2 * n + 2 and got.same == 0 and got.ones >= n * (n - 1) + 2
+
+
+def test_dense_blocks_are_copied_as_often_as_the_grid_is_wide(spark):
+    """Four times the blocks are four times the exchanged rows, not sixteen times."""
+    def copies(n):
+        blocks = spark.range(n).select(F.col("id").cast("int").alias("c"), F.lit(0).alias("s"))
+        rows = sim._cells(blocks, blocks, True).collect()
+        met = {}
+        for r in rows:
+            met.setdefault((r.p1, r.p2), ([], []))[r.side].append(r.c)
+        pairs = [tuple(sorted((x, y))) for (p1, p2), (held, come) in met.items() for x in come for y in held if p1 != p2 or x <= y]
+        assert sorted(pairs) == [(x, y) for x in range(n) for y in range(x, n)]  # each unordered pair meets once
+        return len(rows)
+    assert copies(80) <= 2.5 * copies(40)
