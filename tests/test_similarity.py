@@ -310,3 +310,16 @@ def test_dense_blocks_are_copied_as_often_as_the_grid_is_wide(spark):
         assert sorted(pairs) == [(x, y) for x in range(n) for y in range(x, n)]  # each unordered pair meets once
         return len(rows)
     assert copies(80) <= 2.5 * copies(40)
+
+
+def test_expanded_texts_meet_synonyms_once(spark):
+    """Distinct own terms and synonyms of each text, sorted; null keys and terms without synonyms among them,
+    and no second copy of the terms for their synonyms."""
+    from ratewise.plans import content
+    terms = spark.createDataFrame([(1, "b"), (1, "b"), (1, "z"), (2, "a"), (None, "b")], "mid int, term string")
+    syn = spark.createDataFrame([("b", "c", 1), ("b", "a", 2), ("b", "d", 3), ("a", "b", 1)], "word string, syn string, rank long")
+    sets = content.expanded_sets(terms, ["mid"], syn, 2)
+    assert {r.mid: r.t for r in sets.collect()} == {1: ["a", "b", "c", "z"], 2: ["a", "b"], None: ["a", "b", "c"]}
+    rows = content.expanded(terms, ["mid"], syn, 1)
+    assert sorted((r.mid or 0, r.term) for r in rows.collect()) == [(0, "b"), (0, "c"), (1, "b"), (1, "c"), (1, "z"), (2, "a"), (2, "b")]
+    assert "Union" not in rows._jdf.queryExecution().optimizedPlan().toString()
