@@ -4,6 +4,7 @@ one file per micro-batch, so state and history cross batch boundaries."""
 import tempfile
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,6 +99,33 @@ def test_state_keeps_the_newest_and_touches_only_the_batchs_users(spark):
     assert _rows(_state(spark, arrivals.base, "rated")) == {(5, 7), (5, 8), (5, 9), (6, 1)}
 
 
+class _List:
+    def __init__(self, rows):
+        self.rows, self.calls = rows, 0
+
+    def get(self):
+        self.calls += 1
+        return iter(self.rows)
+
+    def put(self, rows):
+        self.calls, self.rows = self.calls + 1, rows
+
+    def appendList(self, rows):
+        self.calls, self.rows = self.calls + 1, self.rows + rows
+
+
+def test_a_users_step_is_one_frame_and_four_state_calls():
+    processor = jobs.user_ratings(3, True)
+    processor.newest, processor.rated = _List([(1, 7, 2.0, 10), (2, 8, float("nan"), 11)]), _List([(7,), (8,)])
+    rows = pd.DataFrame({"event_id": [4, 3], "uid": [5, 5], "mid": [9, 7], "score": [1.0, 4.5], "ts": [12, 12]})
+    frames = list(processor.handleInputRows((5,), iter([rows]), None))
+    assert len(frames) == 1 and processor.newest.calls == processor.rated.calls == 2
+    got = [tuple(None if pd.isna(x) else x for x in r) for r in frames[0].itertuples(index=False)]
+    assert got == [("tail", 1, 5, 7, 2.0, 10), ("tail", 2, 5, 8, None, 11), ("rated", None, 5, 7, None, None), ("rated", None, 5, 8, None, None),
+                   ("event", 4, 5, 9, 1.0, 12), ("event", 3, 5, 7, 4.5, 12)]
+    assert [r[0] for r in processor.newest.rows] == [4, 3, 2] and processor.rated.rows == [(7,), (8,), (9,)]
+
+
 def test_recs_upsert_stream_equals_batch(spark, split_events):
     fx = Fixtures(spark, SF_SMALL)
     n = fx.table("part").count()
