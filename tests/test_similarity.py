@@ -208,6 +208,42 @@ def test_slices_leave_out_what_cannot_reach():
         assert np.allclose(c, full[a, b])
 
 
+def test_sparse_blocks_meet_once_and_go_to_few_cells(spark):
+    """Each block of one side meets each of the other once; it is not exchanged once a partner."""
+    left = sim.materialize(spark.range(0, 120, 1, 30).withColumnRenamed("id", "x").withColumn("y", F.lit(None).cast("long")))
+    right = sim.materialize(spark.range(0, 200, 1, 7).withColumnRenamed("id", "y").select(F.lit(None).cast("long").alias("x"), "y"))
+    rows = sim._sparse_cells(left, right).collect()
+    cells = {}
+    for r in rows:
+        cells.setdefault((r.p1, r.p2), ([], []))[r.side].append(r.y if r.side == 0 else r.x)
+    met = [(x, y) for held, come in cells.values() for x in come for y in held]
+    assert sorted(met) == [(x, y) for x in range(120) for y in range(200)]
+    assert len(rows) < 120 * 200 / 4 and max(len(held) for held, _ in cells.values()) <= 2 * sim.HELD_BLOCKS
+
+
+def test_bound_leaves_out_no_product_over_many_terms():
+    """Terms far more than slices: every product over the threshold is found, few pairs pass the bound."""
+    rng = np.random.default_rng(5)
+    def block(n):
+        t = [np.sort(rng.choice(50_000, size=40, replace=False)) for _ in range(n)]
+        for i in range(0, n, 7):
+            t[i] = np.unique(np.concatenate([np.arange(30), t[i][:10] + 30]))
+        x = [rng.normal(size=len(v)) + (np.arange(len(v)) < 30) * 2 for v in t]
+        return sim._csr([{"id": str(i), "t": v, "x": w / np.linalg.norm(w)} for i, (v, w) in enumerate(zip(t, x))])
+    left, right = block(90), block(80)
+    dense = []
+    for ids, o, t, x in (left, right):
+        m = np.zeros((len(ids), 50_031))
+        m[o, t] = x
+        dense.append(m)
+    full = dense[0] @ dense[1].T
+    a, b, c = sim.sliced_products(left, right, 0.4, 512)
+    assert set(zip(a.tolist(), b.tolist())) == set(zip(*map(list, np.nonzero(full > 0.4)))) and len(a) > 20
+    assert np.allclose(c, full[a, b])
+    bound = sim.slice_norms(left, 512, 50_031) @ sim.slice_norms(right, 512, 50_031).T
+    assert (bound > np.abs(full) - 1e-5).all() and (bound > 0.4).mean() < 0.2
+
+
 def test_zero_vector_never_similar(spark):
     df = spark.createDataFrame([(1, "a", 0.0), (2, "a", 1.0), (3, "a", 2.0)], "id long, term string, w double")
     got = sim.cosine_pairs_sparse(df, None, "id", "other", 0.6).where(F.col("id") == 1).count()
