@@ -50,6 +50,29 @@ def line_corpus(seed):
     return rows
 
 
+def test_only_lines_that_can_be_similar_are_verified(spark, monkeypatch):
+    """Lines that share most of a passage but lie clearly under the threshold leave no shingle set; near copies do."""
+    rng = random.Random(5)
+    rows, verified, keep = [], [], line_dedup.Scratch.keep
+    for i in range(40):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(54)]
+        rows += [(3 * i, " ".join(w)), (3 * i + 1, " ".join(w[:44] + [f"x{rng.randrange(10**6)}" for _ in range(10)]))]
+        if i < 4:
+            rows.append((3 * i + 2, " ".join(w[:53] + ["end"])))
+
+    def counted(self, df, name, release=True):
+        out = keep(self, df, name, release)
+        if name == "sets":
+            verified.append(out.count())
+        return out
+    monkeypatch.setattr(line_dedup.Scratch, "keep", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.clean_lines(docs).collect()}
+    assert got == brute_lines(rows) and sum(t == "" for t in got.values()) == 4
+    assert 8 <= sum(verified) <= 16  # 84 lines share shingles with another
+    assert line_dedup._filter_bits(10) == line_dedup.FILTER_BITS < line_dedup._filter_bits(2 * 10**6) <= line_dedup.FILTER_BITS + 4
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_lines_equal_brute_force(spark, seed):
     rows = line_corpus(seed) + [(900, None), (901, ""), (902, "\n\n"), (903, "a very long line " * 3000)]
