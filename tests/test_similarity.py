@@ -269,6 +269,31 @@ def test_hashed_item_similarity_equals_all_pairs(spark):
     assert got.keys() - near == want.keys() - near and all(abs(got[k] - want[k]) < 1e-6 for k in want if k in got)
 
 
+def test_a_wide_grid_of_sparse_blocks_comes_in_rounds(spark, monkeypatch):
+    """However many blocks there are, a round exchanges a block of the left side a fixed number of times; all
+    rounds together give the pairs of one."""
+    rng = random.Random(3)
+    rows = [(i, f"t{t}", rng.random() + 0.1) for i in range(90) for t in rng.sample(range(30), 6)]
+    l = spark.createDataFrame([(f"c{i}", t, w) for i, t, w in rows if i < 40], "cid string, term string, w double")
+    r = spark.createDataFrame([(i, t, w) for i, t, w in rows if i >= 40], "mid int, term string, w double")
+
+    def pairs():
+        return sorted((x.cid, x.mid, round(x.cos, 9)) for x in sim.cosine_pairs_sparse_blocked(l, r, "cid", "mid", 0.4, 3, 64).collect())
+    copies, cells = [], sim._sparse_cells
+
+    def seen(left, right, *more):
+        out = cells(left, right, *more)
+        copies.append(out.where("side = 1").count() / left.count())
+        return out
+    monkeypatch.setattr(sim, "_sparse_cells", seen)
+    once = pairs()
+    most, rounds = max(copies), len(copies)
+    copies.clear()
+    monkeypatch.setattr(sim, "HELD_BLOCKS", 1)
+    assert pairs() == once and once
+    assert len(copies) > rounds == 1 and max(copies) <= most
+
+
 def test_best_products_equal_brute_force_and_skip_blocks(spark):
     """Largest products with ties, a zero and a long vector, lists left aside, more items than a block; few of the pairs are scored."""
     rng = np.random.default_rng(5)
